@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.functions.fixed_values import (
@@ -57,20 +57,27 @@ def length_band(
 
 
 def contains_any(c: Column | str, phrases: Iterable[str] = REFUSAL_PHRASES) -> Column:
-    """True when the lower-cased text holds any phrase as a plain substring.
+    """True when the lower-cased text holds any phrase as a plain substring."""
+    return lowered_contains_any(F.lower(_col(c)), phrases)
 
-    A filter does not share sub-expressions, so ``lower(c)`` in an OR chain would
-    run once per phrase. Binding it to a lambda variable runs it once per row
-    (measured: half the time of the plain chain over 13 phrases, and a third of
-    the time of one alternation regex).
+
+def lowered_contains_any(lowered: Column | str, phrases: Iterable[str] = REFUSAL_PHRASES) -> Column:
+    """:func:`contains_any` for a text that is in lower case already.
+
+    A chain of plain substring tests takes a third of the time of one alternation regex.
+    """
+    hits = [F.contains(_col(lowered), F.lit(p.lower())) for p in phrases]
+    return reduce(or_, hits) if hits else F.lit(False)
+
+
+def bind(df: DataFrame, c: Column, name: str) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used afterwards.
+
+    A plain ``withColumn`` does not promise that: a filter on the column is pushed below it and
+    repeats its expression at every mention. The explode of a one-element array
+    keeps filters above it, and both stay inside generated code.
     """
-    phrases = list(phrases)
-    if not phrases:
-        return F.lit(False)
-    return F.exists(
-        F.array(F.lower(_col(c))),
-        lambda low: reduce(or_, [F.contains(low, F.lit(p.lower())) for p in phrases]),
-    )
+    return df.select("*", F.explode(F.array(c)).alias(name))
 
 
 def text_digest(c: Column | str) -> Column:

@@ -12,7 +12,7 @@ from prefspark.functions.fixed_values import (
     MIN_INSTRUCTION_CHARS,
     REFUSAL_PHRASES,
 )
-from prefspark.functions.text import contains_any, length_band, py_strip, text_digest
+from prefspark.functions.text import bind, length_band, lowered_contains_any, py_strip, text_digest
 
 
 def dedup_exact(df: DataFrame, column: str = "instruction") -> DataFrame:
@@ -37,8 +37,8 @@ def clean(
     bounds the text the phrase scan has to look at.
     """
     text = df.select(py_strip(column).alias("instruction"))
-    good = length_band("instruction", low, high) & ~contains_any("instruction", phrases)
-    return dedup_exact(text.filter(good))
+    text = bind(text.filter(length_band("instruction", low, high)), F.lower("instruction"), "_lower")
+    return dedup_exact(text.filter(~lowered_contains_any("_lower", phrases)))
 
 
 def clean_tally(
@@ -61,10 +61,12 @@ def clean_tally(
     """
     malformed = F.col("malformed") if "malformed" in df.columns else F.lit(False)
     text = df.select(malformed.alias("malformed"), py_strip(column).alias("instruction"))
+    in_band = length_band("instruction", low, high)
+    text = bind(text, F.when(in_band, F.lower("instruction")), "_lower")
     outcome = (
         F.when(F.col("malformed"), F.lit("malformed"))
-        .when(~length_band("instruction", low, high), F.lit("length"))
-        .when(contains_any("instruction", phrases), F.lit("blacklist"))
+        .when(F.col("_lower").isNull(), F.lit("length"))
+        .when(lowered_contains_any("_lower", phrases), F.lit("blacklist"))
         .otherwise(F.lit("kept"))
     )
     key: Column = text_digest("instruction") if digest_only else F.col("instruction")

@@ -42,22 +42,24 @@ def unseen(
     used_key = instruction_key(used) if used_key is None else used_key
     columns = prompts.columns
 
-    left = prompts.withColumn("_key", key).filter(F.col("_key") != "")
-    left = left.withColumn("_key", text_digest("_key"))
-    right = used.select(text_digest(used_key).alias("_key"))
+    left = prompts.withColumn("_text", key).filter(F.col("_text") != "")
+    right = used.select(used_key.alias("_text"))
+    digest = text_digest("_text").alias("_key")
+
+    def unused(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        return rows.select("*", digest).join(keys, "_key", "left_anti").select(*columns)
 
     if right.count() <= max_broadcast_keys:
-        return left.join(F.broadcast(right), "_key", "left_anti").select(*columns)
+        return unused(left, F.broadcast(right.select(digest)))
 
-    right = right.distinct()
-    hot = hot_keys(left, "_key")
-    is_hot = F.xxhash64("_key").isin(hot) if hot else F.lit(False)
-    cold_rows = left.filter(~is_hot).join(right.filter(~is_hot), "_key", "left_anti")
+    hot = hot_keys(left, "_text")
+    is_hot = F.xxhash64("_text").isin(hot) if hot else F.lit(False)
+    cold_rows = unused(left.filter(~is_hot), right.filter(~is_hot).select(digest).distinct())
     if not hot:
-        return cold_rows.select(*columns)
+        return cold_rows
     # At most HOT_KEYS distinct digests, give or take 64-bit collisions.
-    hot_rows = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), "_key", "left_anti")
-    return cold_rows.select(*columns).unionByName(hot_rows.select(*columns))
+    hot_used = right.filter(is_hot).select(digest).distinct()
+    return cold_rows.unionByName(unused(left.filter(is_hot), F.broadcast(hot_used)))
 
 
 def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> list[int]:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefspark.functions.text import is_blank
+from prefspark.functions.text import bind, is_blank
 
 _OPTIONS = {
     "mode": "PERMISSIVE",
@@ -28,8 +28,8 @@ def _struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _parse(value: Column, schema: T.StructType) -> Column:
-    """One JSON object as a struct; null when the line is anything else.
+def _envelope(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column, Column]:
+    """Parse ``value`` and return the rows, whether a line is one JSON object, and that object.
 
     The parser stops at the end of the first value, so ``{..} junk`` would pass
     as good. Each line is therefore parsed inside an enclosing object whose last
@@ -43,19 +43,17 @@ def _parse(value: Column, schema: T.StructType) -> Column:
             T.StructField("_malformed", T.StringType()),
         ]
     )
+    value = F.col("value")
     record = F.from_json(F.concat(F.lit('{"row":['), value, F.lit('],"end":true}')), envelope, _OPTIONS)
     alone = F.from_json(
         F.concat(F.lit('{"row":'), value, F.lit("}")), "row string, _malformed string", _OPTIONS
     )
     no_extra = F.when(value.rlike(r"\}\s*\]"), alone["_malformed"].isNull()).otherwise(F.lit(True))
-
-    def pick(r: Column) -> Column:
-        one = r["_malformed"].isNull() & r["end"] & (F.size(r["row"]) == 1)
-        return F.when(one & no_extra, F.get(r["row"], F.lit(0)))
-
-    # The one-element array binds the parsed record to a name and the explode
-    # keeps later filters above it, so each line is parsed once, not once per use.
-    return F.explode_outer(F.transform(F.array(record), pick))
+    r = F.col("_record")
+    row = F.get(r["row"], F.lit(0))
+    whole = r["_malformed"].isNull() & F.coalesce(r["end"], F.lit(False))
+    one_object = whole & (F.size(r["row"]) == 1) & row.isNotNull() & no_extra
+    return bind(lines.select("value"), record, "_record"), one_object, row
 
 
 def parse_lines(
@@ -88,24 +86,23 @@ def parse_lines(
     value = F.col("value")
     if on_error == "fail":
         lines = lines.filter(~is_blank(value))
-    rows = lines.select(value, _parse(value, schema).alias("_row"))
+    rows, parsed, row = _envelope(lines, schema)
 
-    parsed = F.col("_row").isNotNull()
-    if on_error == "skip":
+    out = []
+    if on_error == "keep":
+        rows = rows.select("value", F.when(parsed, row).alias("_row"))
+        row = F.col("_row")
+        out.append(row.isNull().alias("malformed"))
+    elif on_error == "skip":
         rows = rows.filter(parsed)
-    elif on_error == "fail":
+    else:
         check = F.when(~parsed, _stop("malformed JSON line", value))
         for name in required:
-            missing = F.col("_row")[name].isNull()
-            check = check.when(missing, _stop(f"field '{name}' missing in line", value))
+            check = check.when(row[name].isNull(), _stop(f"field '{name}' missing in line", value))
         rows = rows.filter(check.otherwise(F.lit(True)))
-
-    out = [F.col("_row")[f.name].alias(f.name) for f in schema.fields]
-    if on_error == "keep":
-        out.append((~parsed).alias("malformed"))
     if raw:
         out.append(value.alias(raw))
-    return rows.select(*out)
+    return rows.select(*[row[f.name].alias(f.name) for f in schema.fields], *out)
 
 
 def _stop(what: str, line: Column) -> Column:
