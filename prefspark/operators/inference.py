@@ -266,7 +266,7 @@ def generate_remote(
         answered = answered.filter(~failed)
     elif on_error == "raise":
         answered = answered.filter(
-            F.when(~failed, F.lit(True)).otherwise(F.raise_error("error").cast("boolean"))
+            F.when(~failed, F.lit(True)).otherwise(F.raise_error(F.col("error")).cast("boolean"))
         )
     output = F.when(~failed, py_strip("output")).alias("output")
     return answered.select("instruction", output, *(["error"] if on_error == "keep" else []))

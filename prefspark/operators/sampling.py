@@ -133,12 +133,15 @@ def head_n(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataF
     column = F.col(order[0])
     slack = 2 / _QUANTILE_ACCURACY
     cuts = [max(n / rows - slack, 0.0), min(n / rows + slack, 1.0)]
-    low, high = df.agg(F.percentile_approx(column, cuts, _QUANTILE_ACCURACY)).first()[0]
+    quantiles = df.agg(F.percentile_approx(column, cuts, _QUANTILE_ACCURACY)).first()[0]
+    if quantiles is None:
+        return top_n  # the order column is null throughout
+    low, high = quantiles
     below = column.isNull() | (column < F.lit(low))  # nulls sort first
     sure, band = df.filter(below), df.filter(~below & (column <= F.lit(high)))
     missing, band_rows = n - sure.count(), band.count()
     if not 0 <= missing <= band_rows or band_rows > rows // 2:
-        return top_n  # the order column is mostly null or mostly one value
+        return top_n  # it is mostly null or mostly one value
     return sure.unionByName(head_n(band, missing, order_by))
 
 
