@@ -24,6 +24,12 @@ def dedup_exact(df: DataFrame, column: str = "instruction") -> DataFrame:
     return df.select(column).distinct()
 
 
+def _stripped(df: DataFrame) -> DataFrame:
+    """Replace ``_raw`` by ``instruction``, each computed once per row."""
+    raw = bind(df, F.col("_raw"), "_bound")
+    return bind(raw, py_strip("_bound"), "instruction").drop("_raw", "_bound")
+
+
 def clean(
     df: DataFrame,
     column: str = "instruction",
@@ -36,7 +42,7 @@ def clean(
     Only that column is read. The length test runs first: it is the cheapest, and it
     bounds the text the phrase scan has to look at.
     """
-    text = df.select(py_strip(column).alias("instruction"))
+    text = _stripped(df.select(F.col(column).alias("_raw")))
     text = bind(text.filter(length_band("instruction", low, high)), F.lower("instruction"), "_lower")
     return dedup_exact(text.filter(~lowered_contains_any("_lower", phrases)))
 
@@ -60,7 +66,7 @@ def clean_tally(
     want the counts, so that no text is shuffled.
     """
     malformed = F.col("malformed") if "malformed" in df.columns else F.lit(False)
-    text = df.select(malformed.alias("malformed"), py_strip(column).alias("instruction"))
+    text = _stripped(df.select(malformed.alias("malformed"), F.col(column).alias("_raw")))
     in_band = length_band("instruction", low, high)
     text = bind(text, F.when(in_band, F.lower("instruction")), "_lower")
     outcome = (

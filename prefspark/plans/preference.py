@@ -5,10 +5,8 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from prefspark.functions.fixed_values import PREFERENCE_SAMPLE_SIZE
-from prefspark.functions.text import py_strip
 from prefspark.operators.inference import generate_candidates, judge
 from prefspark.operators.leakage import instruction_key, unseen
 from prefspark.operators.pairs import pairs_from_scores, pairs_passthrough
@@ -81,8 +79,7 @@ def preference_pairs(prompts, generator, judge_factory, template: str, system: s
     The table is staged after each model step: answers must not be asked for again, nor
     come out differently, when an executor is lost further down.
     """
-    rows = prompts.select(py_strip(instruction_key(prompts)).alias("instruction"))
-    rows = rows.filter(F.col("instruction") != "")
+    rows = prompts.select(instruction_key(prompts).alias("instruction"))
     candidates = stage_table(generate_candidates(rows, generator, n=n))
     scored = stage_table(judge(candidates, judge_factory, template, system))
     return pairs_from_scores(scored)
