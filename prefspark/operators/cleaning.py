@@ -25,9 +25,8 @@ def dedup_exact(df: DataFrame, column: str = "instruction") -> DataFrame:
 
 
 def _stripped(df: DataFrame) -> DataFrame:
-    """Replace ``_raw`` by ``instruction``, each computed once per row."""
-    raw = bind(df, F.col("_raw"), "_bound")
-    return bind(raw, py_strip("_bound"), "instruction").drop("_raw", "_bound")
+    """Replace ``_raw`` by ``instruction``, computed once per row."""
+    return bind(df, py_strip("_raw"), "instruction").drop("_raw")
 
 
 def clean(

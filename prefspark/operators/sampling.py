@@ -23,8 +23,8 @@ from prefspark.functions.text import seeded_hash
 _BUCKET_DIGITS = 4
 # Copies of one row that a single task numbers.
 _COPIES_PER_TASK = 1_000_000
-# Largest head kept in the memory of each task.
-_TOP_N_ROWS = 100_000
+# Largest head that every task keeps and one task merges.
+_TOP_N_ROWS = 1_000
 _QUANTILE_ACCURACY = 10_000
 
 
@@ -111,7 +111,7 @@ def sample_n(
 def head_n(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:
     """First ``n`` rows by ``order_by``; all rows when ``n`` is None.
 
-    A head of up to 100,000 rows is a top-n: every task keeps its own first ``n`` and
+    A head of up to 1,000 rows is a top-n: every task keeps its own first ``n`` and
     those are merged. A larger one is narrowed first, with approximate quantiles of the
     order column on either side of the cut: rows below the lower one all belong to
     the head, rows above the upper one never do, and the thin band between them is

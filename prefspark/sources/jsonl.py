@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +36,7 @@ def _envelope(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column
     The parser stops at the end of the first value, so ``{..} junk`` would pass
     as good. Each line is therefore parsed inside an enclosing object whose last
     key must be reached. Extra data can only get past that by closing the inner
-    array itself, and lines that hold such a bracket pair are parsed once more.
+    array itself, and lines with the characters that takes are parsed once more.
     """
     envelope = T.StructType(
         [
@@ -48,7 +50,9 @@ def _envelope(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column
     alone = F.from_json(
         F.concat(F.lit('{"row":'), value, F.lit("}")), "row string, _malformed string", _OPTIONS
     )
-    no_extra = F.when(value.rlike(r"\}\s*\]"), alone["_malformed"].isNull()).otherwise(F.lit(True))
+    after_brace = [F.contains(value, F.lit("}" + ch)) for ch in "] \t\r"]
+    could_close = F.contains(value, F.lit("]")) & reduce(or_, after_brace)
+    no_extra = F.when(could_close, alone["_malformed"].isNull()).otherwise(F.lit(True))
     r = F.col("_record")
     row = F.get(r["row"], F.lit(0))
     whole = r["_malformed"].isNull() & F.coalesce(r["end"], F.lit(False))
