@@ -1,4 +1,9 @@
-from prefspark.functions.prompts import chat_messages, render_chatml, render_judge_prompt
+from prefspark.functions.prompts import (
+    chat_messages,
+    fill_judge_template,
+    render_chatml,
+    render_judge_prompt,
+)
 from prefspark.functions.scores import parse_score
 from prefspark.functions.text import (
     contains_any,
@@ -15,6 +20,7 @@ from prefspark.functions.text import (
 __all__ = [
     "chat_messages",
     "contains_any",
+    "fill_judge_template",
     "first_present",
     "first_truthy",
     "is_blank",

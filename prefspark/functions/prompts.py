@@ -36,14 +36,10 @@ def render_chatml(user: Column | str, system: str = CODING_SYSTEM_PROMPT) -> Col
     return F.concat(F.lit(before), user, F.lit(after))
 
 
-def render_judge_prompt(
-    instruction: Column,
-    output: Column,
-    template: str,
-    system: str,
-    max_chars: int | None = JUDGE_TEXT_CHARS,
+def fill_judge_template(
+    instruction: Column, output: Column, template: str, max_chars: int | None = JUDGE_TEXT_CHARS
 ) -> Column:
-    """Fill ``{instruction}`` and ``{output}`` and lay the judge request out as text.
+    """Fill ``{instruction}`` and ``{output}`` of a judge template.
 
     The template is cut at its slots here, once, and the pieces are concatenated.
     Replacing slot names in the text would also replace them inside user text.
@@ -54,11 +50,21 @@ def render_judge_prompt(
     if max_chars is not None:
         fields = {k: truncate(v, max_chars) for k, v in fields.items()}
     pieces = _SLOT.split(template.replace("{{", "\0").replace("}}", "\1"))
-    parts = [F.lit(f"{system}\n\n")]
-    for i, piece in enumerate(pieces):
-        if i % 2:
-            parts.append(fields[piece])
-        elif piece:
-            parts.append(F.lit(piece.replace("\0", "{").replace("\1", "}")))
-    parts.append(F.lit(f"\n\n{JUDGE_SUFFIX}"))
+    parts = [
+        fields[piece] if i % 2 else F.lit(piece.replace("\0", "{").replace("\1", "}"))
+        for i, piece in enumerate(pieces)
+        if piece
+    ]
     return F.concat(*parts)
+
+
+def render_judge_prompt(
+    instruction: Column,
+    output: Column,
+    template: str,
+    system: str,
+    max_chars: int | None = JUDGE_TEXT_CHARS,
+) -> Column:
+    """A judge request as text: system prompt, filled template, and where the score goes."""
+    filled = fill_judge_template(instruction, output, template, max_chars)
+    return F.concat(F.lit(f"{system}\n\n"), filled, F.lit(f"\n\n{JUDGE_SUFFIX}"))

@@ -31,7 +31,12 @@ from prefspark.functions.fixed_values import (
     MAX_REQUESTS_IN_FLIGHT,
     STOP_STRINGS,
 )
-from prefspark.functions.prompts import render_chatml, render_judge_prompt
+from prefspark.functions.prompts import (
+    chat_messages,
+    fill_judge_template,
+    render_chatml,
+    render_judge_prompt,
+)
 from prefspark.functions.scores import parse_score
 from prefspark.functions.text import is_blank, py_strip
 
@@ -279,6 +284,7 @@ def judge(
     system: str,
     settings: GenerationSettings = JUDGEMENT,
     max_chars: int | None = JUDGE_TEXT_CHARS,
+    as_messages: bool = False,
     parse: Callable[[Column], Column] = parse_score,
     batch_size: int = JUDGE_BATCH_SIZE,
     partitions: int | None = None,
@@ -289,7 +295,8 @@ def judge(
     A blank response is not sent to the judge and scores null, and so does an answer
     ``parse`` finds no number in. The row stays whole: its requests are lined up inside
     the Arrow batch, asked in lots of ``batch_size``, and its verdicts take the shape of
-    its responses, so there is no explode, no join and no shuffle.
+    its responses, so there is no explode, no join and no shuffle. ``as_messages`` sends
+    chat messages instead of text, for a judge with a chat layout of its own.
     """
     if settings.answers != 1:
         raise ValueError("a judge gives one answer per request")
@@ -297,8 +304,13 @@ def judge(
     rows = rows.repartition(partitions) if partitions else rows
 
     def request(response: Column) -> Column:
-        text = render_judge_prompt(F.col("instruction"), response, template, system, max_chars)
-        return F.when(~is_blank(response), text)
+        instruction = F.col("instruction")
+        if as_messages:
+            filled = fill_judge_template(instruction, response, template, max_chars)
+            asked = chat_messages(filled, system)
+        else:
+            asked = render_judge_prompt(instruction, response, template, system, max_chars)
+        return F.when(~is_blank(response), asked)
 
     make_ask = _batch_worker(factory, settings, batch_size)
 

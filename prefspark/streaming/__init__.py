@@ -1,0 +1,3 @@
+from prefspark.streaming.jsonl import stream_jsonl
+
+__all__ = ["stream_jsonl"]

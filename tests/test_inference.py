@@ -174,6 +174,15 @@ def test_judge_scores_every_response_in_place(spark):
     ]
 
 
+def test_judge_can_be_sent_messages(spark):
+    def factory(settings):
+        return lambda ps: [[f"{len(p)}.{len(p[1]['content'])} {p[0]['content']}"] for p in ps]
+
+    df = spark.createDataFrame(ROWS, "instruction string, responses array<string>").coalesce(1)
+    got = judge(df, factory, "{instruction}:{output}", "S", as_messages=True).collect()
+    assert [r.scores for r in got] == [[2.4, None, 2.6, None, 2.6], [], None, [None, 2.4]]
+
+
 def test_judge_is_row_preserving_and_shuffle_free(spark, plan):
     df = spark.createDataFrame(ROWS, "instruction string, responses array<string>")
     text = plan(judge(df, length_judge, "{output}", "S"))
