@@ -25,6 +25,7 @@ from prefspark.functions.fixed_values import (  # noqa: E402
     GENERIC_SYSTEM_PROMPT,
     REFUSAL_PHRASES,
 )
+from prefspark.functions.text import bind  # noqa: E402
 from prefspark.operators.inference import BATCH_ANSWERS  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -54,7 +55,8 @@ def _padded(c: str) -> Column:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines out of documents: German ones are cut off, Spanish ones are blank."""
     d = _table(spark, sf_dir, "documents")
-    line = F.to_json(F.struct(_padded("text").alias("instruction"), "doc_id"))
+    d = bind(d, F.to_json(F.struct(_padded("text").alias("instruction"), "doc_id")), "line")
+    line = F.col("line")
     value = (
         F.when(F.col("lang") == "de", F.substring(line, F.lit(1), F.length(line) - 1))
         .when(F.col("lang") == "es", F.lit(" \t"))

@@ -53,6 +53,16 @@ def test_every_phrase_hits_in_any_case_without_word_boundaries(spark):
     assert values(spark, texts[:1], contains_any("t", [])) == [False]
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    phrases=st.lists(st.text("abz ", min_size=1, max_size=4), min_size=1, max_size=4),
+    texts=st.lists(st.text("abz AB", max_size=12), min_size=1, max_size=30),
+)
+def test_contains_any_agrees_with_python(spark, phrases, texts):
+    want = [any(p in t.lower() for p in phrases) for t in texts]
+    assert values(spark, texts, contains_any("t", phrases)) == want
+
+
 def test_fallbacks_differ_on_the_empty_string(spark):
     rows = [("a", "p"), ("", "p"), (None, "p"), (None, None), ("", None)]
     df = spark.createDataFrame(rows, "instruction string, prompt string").coalesce(1)
