@@ -5,7 +5,7 @@ Best and worst are picked inside the row's arrays: nothing is exploded or shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,20 +69,28 @@ def regroup_scores(flat: DataFrame, row_key: str) -> DataFrame:
     """Undo :func:`flatten_responses` on a table that now has a ``score`` per response.
 
     ``scores`` is in response order with nulls kept. ``row_key`` has to be unique
-    among the original rows, so a group is one row's responses and no larger; a
-    repeated position means it was not, and stops the query.
+    among the original rows. A key that is not stops the query before its rows are gathered:
+    within one shuffle by ``row_key`` they are sorted and every second row at the same
+    position is refused, so a gathered group is one row's responses and no larger.
 
     To score responses without this shuffle, use ``judge``, which keeps rows whole.
     """
+    repeated = F.raise_error(F.concat(F.lit(f"{row_key} is not unique: "), F.col(row_key).cast("string")))
+
+    def only_if(ok: Column) -> Column:
+        return F.when(ok, F.lit(True)).otherwise(repeated.cast("boolean"))
+
+    nth = F.row_number().over(Window.partitionBy(row_key, "pos").orderBy("pos"))
+    rows = flat.repartition(F.col(row_key)).withColumn("_nth", nth).filter(only_if(F.col("_nth") == 1))
     slot = F.struct("pos", "response", "score")
-    grouped = flat.groupBy(row_key).agg(
+    grouped = rows.groupBy(row_key).agg(
         F.first("instruction").alias("instruction"),
         F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), slot))).alias("_slots"),
+        F.count(F.lit(1)).alias("_rows"),
         F.max("pos").alias("_last"),
     )
-    unique = F.size("_slots") == F.coalesce(F.col("_last") + 1, F.lit(0))
-    repeated = F.raise_error(F.concat(F.lit(f"{row_key} is not unique: "), F.col(row_key).cast("string")))
-    return grouped.filter(F.when(unique, F.lit(True)).otherwise(repeated.cast("boolean"))).select(
+    positions = F.greatest(F.coalesce(F.col("_last") + 1, F.lit(0)), F.lit(1))
+    return grouped.filter(only_if(F.col("_rows") == positions)).select(
         row_key,
         "instruction",
         F.transform("_slots", lambda s: s["response"]).alias("responses"),

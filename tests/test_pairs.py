@@ -96,13 +96,20 @@ def test_flatten_and_regroup_keep_order_nulls_and_empty_rows(spark):
     }
 
 
-def test_regroup_refuses_a_key_that_is_not_unique(spark):
-    df = spark.createDataFrame([(1, "q", ["a"]), (1, "q", ["b"])], "id int, instruction string, responses array<string>")
+@pytest.mark.parametrize("second", [["b"], [], ["b", "c"], None])
+def test_regroup_refuses_a_key_that_is_not_unique(spark, second):
+    df = spark.createDataFrame([(1, "q", ["a"]), (1, "q", second)], "id int, instruction string, responses array<string>")
     flat = flatten_responses(df, "id").selectExpr("*", "1.0D as score")
     with pytest.raises(Exception, match="id is not unique"):
         regroup_scores(flat, "id").collect()
 
 
+def test_regroup_shuffles_once(spark, plan):
+    df = spark.createDataFrame([(1, "q", ["a"])], "id int, instruction string, responses array<string>")
+    regrouped = regroup_scores(flatten_responses(df, "id").selectExpr("*", "1.0D as score"), "id")
+    assert plan(regrouped).count("Exchange") == 1
+
+
 def test_metrics(spark):
     rows = [("a", ["x", " ", None]), ("b", []), ("c", None), ("d", ["y"])]
     df = spark.createDataFrame(rows, "instruction string, responses array<string>")
