@@ -419,7 +419,9 @@ def _seed_curation(spark, sf_dir):
 def _preference_chain(spark, sf_dir):
     left = po.clean(_documents(spark, sf_dir), phrases=PHRASES)
     picked = po.sample_n(po.unseen(left, _used(spark, sf_dir)), 200, 7, key="instruction")
-    return plans.preference_pairs(picked, _echo_model(), _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM)
+    return plans.preference_pairs(
+        picked, _echo_model(), _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM, partitions=8
+    )
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -9,7 +9,7 @@ from prefspark.functions.text import first_present, py_strip, text_digest
 
 # Used-key tables up to this many rows are broadcast: 32 bytes of digest each.
 MAX_BROADCAST_KEYS = 1_000_000
-# Size of the sketch that finds frequent keys in the large case.
+# Longest list of frequent keys to treat apart in the large case.
 HOT_KEYS = 1_000
 
 
@@ -63,7 +63,12 @@ def unseen(
 
 
 def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> list[int]:
-    """64-bit hashes of the most frequent keys: a bounded list from a mergeable sketch."""
-    sketch = F.expr(f"approx_top_k(xxhash64({key}), {limit}, {limit * 10})")
-    top = df.agg(sketch.alias("top")).first()["top"] or []
-    return [item["item"] for item in top if item["count"] > 1]
+    """64-bit hashes of keys that hold more than one in ``10 * limit`` rows, at most ``limit``.
+
+    They come from a mergeable sketch of fixed size, so its counts are estimates.
+    """
+    tracked = 10 * limit
+    top, rows = df.agg(
+        F.expr(f"approx_top_k(xxhash64({key}), {limit}, {tracked})"), F.count(F.lit(1))
+    ).first()
+    return [item["item"] for item in top or [] if item["count"] * tracked > rows]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from prefspark.functions.fixed_values import PREFERENCE_SAMPLE_SIZE
 from prefspark.operators.inference import generate_candidates, judge
@@ -73,13 +73,23 @@ def write_pairs(spark: SparkSession, in_path: str, out_path: str, form: str = "s
     return pairs.count()
 
 
-def preference_pairs(prompts, generator, judge_factory, template: str, system: str, n: int | None = None):
+def preference_pairs(
+    prompts: DataFrame,
+    generator,
+    judge_factory,
+    template: str,
+    system: str,
+    n: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
     """Prompts to pairs on DataFrames.
 
     The table is staged after each model step: answers must not be asked for again, nor
-    come out differently, when an executor is lost further down.
+    come out differently, when an executor is lost further down. ``partitions`` is the
+    number of tasks for each model step. A sample of a large table is small and would
+    otherwise sit in few of them.
     """
     rows = prompts.select(instruction_key(prompts).alias("instruction"))
-    candidates = stage_table(generate_candidates(rows, generator, n=n))
-    scored = stage_table(judge(candidates, judge_factory, template, system))
+    candidates = stage_table(generate_candidates(rows, generator, n=n, partitions=partitions))
+    scored = stage_table(judge(candidates, judge_factory, template, system, partitions=partitions))
     return pairs_from_scores(scored)

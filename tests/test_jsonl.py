@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -158,3 +159,14 @@ def test_stage_table_ends_the_lineage(spark, plan, tmp_path):
     df = stage_table(spark.range(10).selectExpr("id * 2 as x"), str(tmp_path / "s"))
     assert df.count() == 10 and "Range" not in plan(df)
     assert scratch_dir(spark) != scratch_dir(spark)
+
+
+@pytest.mark.parametrize("master,base,ok", [("spark://h:7077", None, False), ("local[2]", None, True), ("yarn", "hdfs:///cp/", True)])
+def test_scratch_dir_needs_shared_storage_on_a_cluster(master, base, ok):
+    settings = {"spark.master": master, "spark.checkpoint.dir": base}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default))
+    if ok:
+        assert scratch_dir(session).startswith(base or "/") and "//prefspark" not in scratch_dir(session)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(session)

@@ -63,6 +63,12 @@ def test_frequent_keys_are_not_shuffled(spark, plan):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_even_keys_are_not_called_frequent(spark):
+    df = spark.range(0, 50000, numPartitions=4).selectExpr("concat('k', id) as t")
+    assert leakage.hot_keys(df, "t", 10) == []
+    assert leakage.hot_keys(df.limit(0), "t", 10) == []
+
+
 def test_distinct_keys(spark):
     used = spark.createDataFrame(USED, "instruction string, prompt string")
     assert distinct_keys(used, instruction_key(used)).first()[0] == 3  # 'q', 'other', ''

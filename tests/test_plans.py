@@ -100,7 +100,7 @@ def test_model_steps_run_once_per_row(spark, tmp_path):
 
     judge = lambda s: lambda ps: [[str(len(p))] for p in ps]
     prompts = spark.createDataFrame([(f"q{i}",) for i in range(9)] + [(" ",)], "instruction string")
-    got = plans.preference_pairs(prompts, generator, judge, "{output}", "S", n=3)
+    got = plans.preference_pairs(prompts, generator, judge, "{output}", "S", n=3, partitions=4)
     assert got.count() == 9 and len(got.collect()) == 9
     assert all(len(r.chosen) == len(r.rejected) + 2 for r in got.collect())
     assert calls.value == 9
