@@ -7,6 +7,7 @@ deterministic stand-ins that SQL can restate. All queries run over whole tables.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -28,6 +29,20 @@ from prefspark.functions.fixed_values import (  # noqa: E402
 from prefspark.functions.text import bind  # noqa: E402
 from prefspark.operators.inference import BATCH_ANSWERS  # noqa: E402
 
+
+def _optional(name: str):
+    """A module that may have been left out of this copy of the repository, else None."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and (name == error.name or name.startswith(f"{error.name}.")):
+            return None
+        raise
+
+
+_llm = _optional("prefspark.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _llm else None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The refusal phrases do not occur in the driver tables, so two words that do are added.
@@ -428,6 +443,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = own_queries()
+    if _llm:
+        found |= _llm.queries()
+    if _pipeline:
+        found["pipeline"] = _pipeline.run
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = own_sql()
+    if _llm:
+        found |= _llm.oracle_sql()
+    if _pipeline and _pipeline.ORACLE_SQL:
+        found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean": _clean,
         "clean_report": _clean_report,
@@ -628,7 +661,7 @@ def _sql_preference_chain() -> str:
     """
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     padded_turn = _sql_padded("text")
     return {
         "clean": _sql_clean(_sql_padded("text")),
