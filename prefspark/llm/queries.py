@@ -13,6 +13,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark, sf_dir):
+    from prefspark.llm.linededup import drop_repeated_lines
+
+    return drop_repeated_lines(_table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op3_bpe_round_trip(spark, sf_dir):
     import public_tokenizers
 
@@ -27,6 +35,19 @@ def op3_bpe_round_trip(spark, sf_dir):
     )
 
 
+def op5_simhash(spark, sf_dir):
+    from prefspark.llm.simhash import near_duplicates
+
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_quality_rules(spark, sf_dir):
+    from prefspark.llm.quality import judge_quality
+
+    return judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 TOKEN_LIMIT = 1024
 
 
@@ -41,8 +62,34 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe_round_trip, op10_token_counts)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_bpe_round_trip, op5_simhash, op9_quality_rules, op10_token_counts)}
+
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _sql_ascii_lower(x: str) -> str:
+    return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": f"""
+          WITH lines AS (
+            SELECT rid, doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM (
+              SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+          ), keyed AS (
+            SELECT *, {_sql_ascii_lower(f"trim(line, {_SPACE})")} AS k FROM lines
+          ), repeated AS (
+            SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40
+            GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+          ), marked AS (
+            SELECT rid, keyed.doc_id, pos, line, coalesce(keyed.doc_id < keeper, false) AS dropped
+            FROM keyed LEFT JOIN repeated USING (k)
+          )
+          SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+                 CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
+                 sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+          FROM marked GROUP BY rid
+        """,
+    }
