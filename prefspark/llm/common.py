@@ -26,6 +26,11 @@ def ship_by_value(module_name: str) -> None:
 ship_by_value(__name__)
 
 
+def plain_column(df: DataFrame, name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"].alias(name)
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` as long and ``text`` as string; every other column is left behind."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -57,16 +62,33 @@ def arrow_schema(ddl: str):
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def arrow_map(df: DataFrame, worker: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` for a worker that turns one batch into a list of columns."""
+def by_bytes(batch, column: int, limit: int) -> Iterator:
+    """Slices of a batch with about ``limit`` bytes of text each, a longer text by itself."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
+    slice_of = np.cumsum(sizes) // limit
+    cuts = np.flatnonzero(np.append(True, slice_of[1:] != slice_of[:-1])).tolist()
+    for at, end in zip(cuts, [*cuts[1:], len(sizes)]):
+        yield batch.slice(at, end - at)
+
+
+def arrow_map(df: DataFrame, worker: Callable, schema: str, limit: int | None = None) -> DataFrame:
+    """``mapInArrow`` for a worker that turns one batch into a list of columns.
+
+    With ``limit``, the worker gets slices of about so many bytes of the second column.
+    """
     fields = arrow_schema(schema)
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            if batch.num_rows:
-                columns = [pa.array(v, f.type) if not isinstance(v, pa.Array) else v for v, f in zip(worker(batch), fields)]
+            if not batch.num_rows:
+                continue
+            for part in by_bytes(batch, 1, limit) if limit else (batch,):
+                columns = [pa.array(v, f.type) if not isinstance(v, pa.Array) else v for v, f in zip(worker(part), fields)]
                 yield pa.RecordBatch.from_arrays(columns, schema=fields)
 
     return df.mapInArrow(run, schema)

@@ -20,10 +20,10 @@ Results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import SPACE, arrow_map, arrow_schema, id_and_text, ship_by_value, stage_table, text_bytes
+from prefspark.llm.common import SPACE, arrow_map, arrow_schema, id_and_text, plain_column, ship_by_value, stage_table, text_bytes
 
 ship_by_value(__name__)
 
@@ -133,7 +133,7 @@ def drop_repeated_lines(
 
 
 def _without(docs: DataFrame, drops: DataFrame, min_chars: int) -> DataFrame:
-    others = F.struct(*[_plain(docs, c) for c in docs.columns if c != "text"])
+    others = F.struct(*[plain_column(docs, c) for c in docs.columns if c != "text"])
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), others.alias("doc"))
     joined = packed.join(drops.hint("shuffle_hash"), "doc_id", "left").select("text", "drops", "doc")
     out_type = f"n_lines long, n_dropped long, kept_text string, doc {joined.schema['doc'].dataType.simpleString()}"
@@ -157,6 +157,3 @@ def _without(docs: DataFrame, drops: DataFrame, min_chars: int) -> DataFrame:
 
     return joined.mapInArrow(run, out_type)
 
-
-def _plain(df: DataFrame, name: str) -> Column:
-    return df["`" + name.replace("`", "``") + "`"].alias(name)

@@ -42,6 +42,14 @@ def op5_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_substring_dedup(spark, sf_dir):
+    from prefspark.llm.substrings import drop_repeats
+
+    return drop_repeats(_table(spark, sf_dir, "documents")).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op9_quality_rules(spark, sf_dir):
     from prefspark.llm.quality import judge_quality
 
@@ -62,7 +70,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_line_dedup, op3_bpe_round_trip, op5_simhash, op9_quality_rules, op10_token_counts)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_bpe_round_trip, op5_simhash, op7_substring_dedup, op9_quality_rules, op10_token_counts)}
 
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
