@@ -13,6 +13,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op1_url_filter(spark, sf_dir):
+    from prefspark.llm.urlfilter import judge_urls
+
+    return judge_urls(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"), URL_RULES)
+
+
 def op2_line_dedup(spark, sf_dir):
     from prefspark.llm.linededup import drop_repeated_lines
 
@@ -35,6 +44,24 @@ def op3_bpe_round_trip(spark, sf_dir):
     )
 
 
+def op4_secret_scan(spark, sf_dir):
+    from prefspark.llm.secrets import secret_spans, span_text
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return secret_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        number("assign"),
+        number("access"),
+        number("hex"),
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.array_sort(F.concat("base", "live"))).alias("spans"),
+        F.size("live").cast("long").alias("n_live"),
+        F.col("examples").cast("long").alias("n_examples"),
+    )
+
+
 def op5_simhash(spark, sf_dir):
     from prefspark.llm.simhash import near_duplicates
 
@@ -42,6 +69,23 @@ def op5_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+SHARDS = 8
+
+
+def op6_sharding(spark, sf_dir):
+    from prefspark.llm.sharding import shard_documents
+
+    return shard_documents(_table(spark, sf_dir, "documents"), SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_substring_dedup(spark, sf_dir):
     from prefspark.llm.substrings import drop_repeats
 
@@ -50,6 +94,20 @@ def op7_substring_dedup(spark, sf_dir):
     )
 
 
+def op8_decontamination(spark, sf_dir):
+    from prefspark.llm.decontaminate import decontaminate
+
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near_items",
+    )
+
+
 def op9_quality_rules(spark, sf_dir):
     from prefspark.llm.quality import judge_quality
 
@@ -70,7 +128,19 @@ def op10_token_counts(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_line_dedup, op3_bpe_round_trip, op5_simhash, op7_substring_dedup, op9_quality_rules, op10_token_counts)}
+    found = (
+        op1_url_filter,
+        op2_line_dedup,
+        op3_bpe_round_trip,
+        op4_secret_scan,
+        op5_simhash,
+        op6_sharding,
+        op7_substring_dedup,
+        op8_decontamination,
+        op9_quality_rules,
+        op10_token_counts,
+    )
+    return {f.__name__: f for f in found}
 
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
