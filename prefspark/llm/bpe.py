@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-A block of the corpus (one Arrow batch, bounded in rows and bytes) is cut into its distinct
+A block of the corpus (``BLOCK_BYTES`` of text) is cut into its distinct
 pre-tokens, which are laid end to end as bytes. An inverted index leads from the token a
 pair would form to the positions of that pair in all words of the block. The merges are
 replayed over the whole block in rank order, each at all its positions at once, and only the
@@ -25,10 +25,11 @@ from prefspark.llm.pretokens import Chunker
 
 ship_by_value(__name__)
 
-# Bytes of distinct pre-tokens that are replayed together.
+# Bytes of text in a block, and of distinct pre-tokens that are replayed together.
+BLOCK_BYTES = 8_000_000
 REPLAY_BYTES = 8_000_000
 # Chunks that a task remembers between blocks.
-REMEMBERED_CHUNKS = 400_000
+REMEMBERED_CHUNKS = 300_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -218,7 +219,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, *, decoded: bool = Fa
         return out
 
     schema = "doc_id long, n_tokens long, ids binary" + (", decoded binary" if decoded else "")
-    return arrow_map(id_and_text(docs), work, schema)
+    return arrow_map(id_and_text(docs), work, schema, BLOCK_BYTES)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
