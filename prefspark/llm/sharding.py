@@ -78,7 +78,7 @@ def minimax_cuts(sums: DataFrame, shards: int) -> tuple[int, list[int]]:
         steps = min(WAYS, high - low + 1)
         tried = sorted({low + (high - low) * i // max(1, steps - 1) for i in range(steps)})
         found = _greedy(sums, tried, shards)
-        fits = [own[-1] + c >= total for own, c in zip(found, tried)]
+        fits = [max(own, default=0) + c >= total for own, c in zip(found, tried)]
         first = fits.index(True)
         high, cuts = tried[first], found[first]
         low = tried[first - 1] + 1 if first else high
@@ -91,7 +91,9 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     # Copies are combined in each task, so a group of very many is one row per task.
     sums = stage_table(_running_sums(rows.groupBy("group").agg(F.sum("size").alias("size"))))
     _, cuts = minimax_cuts(sums, shards)
-    last = sums.agg(*[F.max(F.when(F.col("upto") <= c, F.col("group"))).alias(f"g{i}") for i, c in enumerate(cuts)]).first()
+    last = sums.agg(
+        F.count("*"), *[F.max(F.when(F.col("upto") <= c, F.col("group"))).alias(f"g{i}") for i, c in enumerate(cuts)]
+    ).first()[1:]
     shard = F.lit(0)
     for boundary in last:
         if boundary is None:  # nothing lies before the cut

@@ -280,10 +280,13 @@ def _extend(window: int, n_parts: int):
                     spans = [s["spans"] for s in piece.column(3)[i].as_py() if s["tag"] == tags[-1]]
                     words = memo.of(text.split())
                     most = len(words) - window + 1
-                    for low, high in np.concatenate([np.frombuffer(s, "<u4").reshape(-1, 2) for s in spans]).tolist() if spans else ():
-                        high = min(high + 1, most)
+                    spans = [np.frombuffer(s, "<u4").reshape(-1, 2).tolist() for s in spans]
+                    done = 0  # repeated rows bring their spans more than once
+                    for low, high in sorted(s for own in spans for s in own):
+                        low, high = max(low, done), min(high + 1, most)
                         if high <= low:
                             continue
+                        done = high
                         own = words[low : high + window - 1]
                         hashes.append(rolling(own, window, _BASES[0]))
                         parts.append(rolling(own, window, _BASES[1]))

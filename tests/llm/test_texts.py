@@ -1,0 +1,306 @@
+"""Line, substring and near dedup, quality, sharding and secrets against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+xxhash = pytest.importorskip("xxhash")
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from prefspark.llm import quality  # noqa: E402
+from prefspark.llm.components import components  # noqa: E402
+from prefspark.llm.linededup import drop_repeated_lines  # noqa: E402
+from prefspark.llm.secrets import KINDS, secret_spans  # noqa: E402
+from prefspark.llm.sharding import shard_documents  # noqa: E402
+from prefspark.llm.simhash import near_duplicates  # noqa: E402
+from prefspark.llm.substrings import drop_repeats  # noqa: E402
+
+SPACE = b" \t\n\x0b\f\r"
+
+
+def same(got, want):
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
+# --- line dedup -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("batches", [1, 4, 7])
+def test_line_dedup(docs, rows, batches):
+    key = lambda line: line.encode().strip(SPACE).lower().decode()
+    holders = defaultdict(set)
+    for i, text, _ in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= 40:
+                holders[key(line)].add(i)
+    want = []
+    for i, text, _ in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if i is None or len(holders[key(x)]) < 5 or i == max(holders[key(x)])]
+        want.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    assert any(w[2] for w in want)
+    found = drop_repeated_lines(docs, batches=batches)
+    same(found.select("doc.doc_id", "n_lines", "n_dropped", "kept_text").collect(), want)
+    assert found.select("doc.*").columns == [c for c in docs.columns if c != "text"]
+
+
+# --- substring dedup --------------------------------------------------------------
+
+
+def windows(words, n):
+    return [tuple(words[s : s + n]) for s in range(len(words) - n + 1)]
+
+
+@pytest.mark.parametrize("window", [50, 8])
+def test_substring_dedup(docs, rows, window):
+    first = {}
+    for i, text, _ in rows:
+        for w in windows((text or "").encode().split(), window) if i is not None else ():
+            first[w] = min(i, first.get(w, i))
+    want = []
+    for i, text, _ in rows:
+        words = (text or "").encode().split()
+        gone = set()
+        for s, w in enumerate(windows(words, window) if i is not None else ()):
+            if first[w] < i:
+                gone.update(range(s, s + window))
+        kept = b" ".join(w for k, w in enumerate(words) if k not in gone).decode()
+        want.append((i, len(words), len(gone), kept))
+    assert any(w[2] for w in want)
+    same(drop_repeats(docs, window).select("doc.doc_id", "n_words", "n_removed", "kept_text").collect(), want)
+
+
+# --- SimHash ----------------------------------------------------------------------
+
+
+def slow_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[s : s + 3]) for s in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_duplicates(docs, rows):
+    prints = [(i, slow_fingerprint(t)) for i, t, _ in rows]
+    ids = sorted({i for i, _ in prints if i is not None})
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in prints:
+        for j, b in prints:
+            if i is not None and j is not None and (a ^ b).bit_count() <= 3:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    # rows that share an id belong to their own fingerprint's component; the fixture's twin differs
+    fp_root = {}
+    for i, a in prints:
+        if i is not None:
+            fp_root.setdefault(a, i)
+    got = near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.fp % 2**64) for r in got if r.doc_id is not None) == sorted(p for p in prints if p[0] is not None)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None
+        elif r.doc_id != 60:
+            assert r.component_id == find(r.doc_id)
+
+
+def test_near_duplicates_of_close_prints(spark):
+    """Links between prints that differ in few bits, against all pairs."""
+    from prefspark.llm.simhash import class_links
+
+    rng = random.Random(11)
+    centres = [rng.getrandbits(64) for _ in range(12)]
+    prints = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for c in centres for _ in range(60)}
+    rows = [(k, p - 2**64 if p >= 2**63 else p) for k, p in enumerate(sorted(prints))]
+    links = class_links(spark.createDataFrame(rows, "id long, fp long"))
+    values = [p for _, p in rows]
+    for a, b in links.collect():
+        assert ((values[a] ^ values[b]) % 2**64).bit_count() <= 64
+    got = {r.node: r.root for r in components(links).collect()}
+    root = list(range(len(values)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(values):
+        for j in range(i):
+            if ((a ^ values[j]) % 2**64).bit_count() <= 3:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    assert {i: got.get(i, i) for i in range(len(values))} == {i: find(i) for i in range(len(values))}
+
+
+def test_components_of_long_paths(spark):
+    rng = random.Random(2)
+    order = rng.sample(range(200), 200)
+    links = list(zip(order[:100], order[1:100])) + list(zip(order[100:], order[101:])) + [(5, 5)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: min(part) for part in (order[:100], order[100:]) for i in part}
+
+
+# --- quality ----------------------------------------------------------------------
+
+
+def slow_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = Counter(zip(words, words[1:], words[2:]))
+    covered = {k for s, g in enumerate(zip(words, words[1:], words[2:])) if grams[g] > 1 for k in range(s, s + 3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    failed = n < 50 or 100 * len(covered) > 50 * n
+    return n, sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed
+
+
+def test_quality_counts(spark, docs, rows):
+    no_labels = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality.judge_quality(docs, no_labels).collect()
+    want = [(i, *slow_counts(t)) for i, t, _ in rows]
+    same([r[:7] for r in got], want)
+    assert all(r.kept != r.base_failed for r in got)
+
+
+def test_repeat_words_with_large_codes():
+    import numpy as np
+
+    ids = np.array([5, 6, 7, 8, 5, 6, 7, 1, 2])
+    assert quality._repeat_words(ids) == quality._repeat_words(ids + (1 << 22)) == 6
+
+
+def test_viterbi_is_the_best_path():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        scores, moves = rng.normal(size=(6, 2)), rng.normal(size=(2, 2)).tolist()
+        value = lambda p: sum(scores[t, k] for t, k in enumerate(p)) + sum(moves[a][b] for a, b in zip(p, p[1:]))
+        assert tuple(quality.viterbi(scores, moves)) == max(itertools.product((0, 1), repeat=6), key=value)
+
+
+def test_quality_held_out(spark):
+    """Trained on some labelled documents, the field tells others apart."""
+    rng = random.Random(4)
+
+    def document(good):
+        words = [rng.choice(["river", "stone", "walks", "under", "bright", "morning"]) + str(rng.randint(0, 99)) for _ in range(80)]
+        if good:
+            return "\n".join(" ".join(words[k : k + 20]).replace("0", "o") + "." for k in range(0, 80, 20))
+        return "\n".join(" | ".join(w.upper() + "$$" for w in words[k : k + 3]) for k in range(0, 80, 3))
+
+    texts = [(i, document(i % 2 == 0)) for i in range(120)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(60)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality.judge_quality(table, labels).collect()}
+    assert all(kept[i] == (i % 2 == 0) for i in range(60, 120))
+    assert sorted(r.doc_id for r in quality.keep_good(table, labels).collect()) == [i for i in range(120) if i % 2 == 0]
+
+
+# --- sharding ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("shards", [8, 1, 50])
+def test_sharding(docs, rows, shards):
+    got = shard_documents(docs, shards).collect()
+    sized = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == sized
+    slots = defaultdict(list)
+    for r in got:
+        assert 0 <= r.shard < shards
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    homes = defaultdict(set)
+    for r in got:
+        homes[r.size, r.text_crc32].add(r.shard)
+    assert all(len(h) == 1 for (size, _), h in homes.items() if size > 1)  # null and '' share size and CRC
+    if shards == 8:
+        load = Counter()
+        for r in got:
+            load[r.shard] += r.size
+        assert max(load.values()) <= -(-sum(load.values()) // 8) + max(Counter({k: k[1] * n for k, n in sized.items()}).values())
+
+
+def test_smallest_capacity(spark):
+    from prefspark.llm.sharding import _running_sums, minimax_cuts
+
+    rng = random.Random(9)
+    sizes = [(rng.getrandbits(63) - 2**62, rng.choice([1, 3, 10, 200])) for _ in range(60)]
+    sums = _running_sums(
+        spark.createDataFrame(sizes, "group long, size long")
+    )
+    ordered = [s for _, s in sorted(sizes)]
+    assert [r.upto for r in sums.orderBy("group").collect()] == [sum(ordered[: k + 1]) for k in range(60)]
+
+    def feasible(capacity):
+        shards, load = 1, 0
+        for s in ordered:
+            shards, load = (shards + 1, s) if load + s > capacity else (shards, load + s)
+        return shards <= 5
+
+    capacity, cuts = minimax_cuts(sums, 5)
+    assert feasible(capacity) and not feasible(capacity - 1)
+    assert len(cuts) == 4
+
+
+# --- secrets ----------------------------------------------------------------------
+
+
+def slow_base(text):
+    found = []
+    for rank, (kind, pattern, group, least) in enumerate(KINDS):
+        for m in re.finditer(pattern, text or ""):
+            if len(m.group(group)) >= least:
+                found.append((m.start(), rank, kind, m.end()))
+    return [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
+
+
+def test_secret_spans(docs, rows):
+    got = secret_spans(docs).collect()
+    shown = lambda spans: [f"{s.kind}:{s.start}:{s.end}" for s in spans]
+    same([(r.doc_id, shown(r.base)) for r in got], [(i, slow_base(t)) for i, t, _ in rows])
+    text_of = {i: t or "" for i, t, _ in rows if i != 60}
+    live = [(r.doc_id, s) for r in got for s in r.live]
+    assert live and all(text_of[i][s.start : s.end] == s.value for i, s in live if i in text_of)
+    # one owner's token is live; the one that six documents of several owners carry is not
+    assert {s.value for _, s in live} == {"aZ3k9QwX7bT2mL5pR8vN"}
+    assert sum(r.examples for r in got) == 6
+
+
+# --- empty tables -----------------------------------------------------------------
+
+
+def test_empty_tables(spark, no_docs):
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    for found in (
+        drop_repeated_lines(no_docs),
+        drop_repeats(no_docs),
+        near_duplicates(no_docs),
+        quality.judge_quality(no_docs, labels),
+        quality.keep_good(no_docs, labels),
+        shard_documents(no_docs),
+        secret_spans(no_docs),
+    ):
+        assert found.collect() == []
+
+
+def test_digests_of_the_query(spark):
+    """The thin query hashes what the operator returns."""
+    text = "one\ntwo"
+    table = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = drop_repeated_lines(table).select(F.sha2("kept_text", 256).alias("h")).first()
+    assert row.h == hashlib.sha256(text.encode()).hexdigest()

@@ -1,0 +1,78 @@
+"""BPE encoding and token counts against the libraries themselves."""
+
+import random
+
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+tiktoken = pytest.importorskip("tiktoken")
+tokenizers = pytest.importorskip("tokenizers")
+np = pytest.importorskip("numpy")
+
+from prefspark.llm.bpe import MergeReplay, decode, encode, read_ranks  # noqa: E402
+from prefspark.llm.pretokens import Chunker  # noqa: E402
+from prefspark.llm.tokencount import count_tokens  # noqa: E402
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+JSON = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(RANKS, "rb") as f:
+        ranks = read_ranks(f.read())
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), MergeReplay(ranks)
+
+
+def odd_texts(n):
+    rng = random.Random(3)
+    alphabet = " \n\t\r\x1c\x85\xa0　  aabbtheé中文'sld12#!..🙂\x00́ªⅫ²"
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(n)]
+
+
+def test_replay_equals_the_library_on_odd_texts(library):
+    encoding, replay = library
+    chunker = Chunker(PATTERN)
+    for text in [*odd_texts(3000), "a" * 2001, "ab" * 700, " " * 99, "x  y", "\n \nz", "it's 'd"]:
+        words = [w.encode() for c in chunker.chunks(text) for w in chunker.pre_tokens(c)]
+        ids = np.frombuffer(b"".join(replay.encode(words)), "<u4").tolist()
+        assert ids == encoding.encode_ordinary(text), repr(text)
+
+
+def test_replay_where_a_merge_enables_a_lower_rank():
+    # "bc" (rank 260) makes "abc" (rank 256) possible at once, before the second "bc".
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"cb": 258, b"bc": 260, b"cab": 300}
+    replay = MergeReplay(ranks)
+    encoding = tiktoken.Encoding("t", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    for word in {"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(2000)}:
+        (ids,) = replay.encode([word.encode()])
+        assert np.frombuffer(ids, "<u4").tolist() == encoding.encode_ordinary(word), word
+
+
+def test_encode_and_decode(spark, docs, rows, library):
+    encoding, _ = library
+    found = encode(docs, RANKS, PATTERN, decoded=True)
+    assert found.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    got = [(r.doc_id, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in found.collect()]
+    want = [(i, len(e := encoding.encode_ordinary(t or "")), e, (t or "").encode()) for i, t, _ in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    back = decode(found, RANKS).collect()
+    assert sorted(bytes(r.decoded) for r in back) == sorted(w[3] for w in want)
+
+
+def test_count_tokens(spark, docs, rows):
+    specials = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", " <|endoftext|"]
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*specials, *odd_texts(400)])], "doc_id long, text string")
+    table = docs.select("doc_id", "text").unionByName(more)
+    tokenizer = tokenizers.Tokenizer.from_file(JSON)
+    got = sorted(map(tuple, count_tokens(table, JSON, PATTERN).collect()), key=repr)
+    texts = [(r.doc_id, r.text or "") for r in table.collect()]
+    want = sorted(((i, len(t.encode()), len(tokenizer.encode(t, add_special_tokens=False).ids)) for i, t in texts), key=repr)
+    assert got == want
+
+
+def test_empty_tables(no_docs):
+    assert encode(no_docs, RANKS, PATTERN).collect() == []
+    assert count_tokens(no_docs, JSON, PATTERN).collect() == []
