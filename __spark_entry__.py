@@ -2,7 +2,7 @@
 
 The driver tables have no instruction columns, so every query first aliases a table into
 shape (``_documents``, ``_turns``, ``_groups``) and its SQL does the same. Models are
-deterministic stand-ins that SQL can restate. All queries run over whole tables.
+deterministic stand-ins that SQL can restate. All queries run over whole tables and texts.
 """
 
 from __future__ import annotations
@@ -49,6 +49,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 PHRASES = (*REFUSAL_PHRASES, "license", "worthless")
 PADDING = "\t 　"
 JUDGE_TEMPLATE = "Question:\n{instruction}\n\nAnswer:\n{output}\n\nRate it."
+JSON_TEMPLATE = '{{"question": "{instruction}", "answer": {{{output}}}}}'
 JUDGE_SYSTEM = "You rate answers from 0 to 9."
 
 
@@ -63,18 +64,38 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").withColumn("instruction", F.col("text"))
 
 
+def _blanked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which one in ten has nothing but white space."""
+    blank = F.col("doc_id") % 10 == 3
+    return _documents(spark, sf_dir).withColumn("instruction", F.when(blank, F.lit(PADDING)).otherwise(F.col("text")))
+
+
+def _with_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which thirteen in fourteen end in one of the refusal phrases, in mixed case."""
+    phrases = F.array(*[F.lit(p.swapcase()) for p in REFUSAL_PHRASES])
+    at = (F.col("doc_id") % (len(REFUSAL_PHRASES) + 1)).cast("int")
+    planted = F.concat("text", F.lit(" "), F.coalesce(F.get(phrases, at), F.lit("")))
+    return _table(spark, sf_dir, "documents").withColumn("instruction", planted)
+
+
 def _padded(c: str) -> Column:
     return F.concat(F.lit(PADDING), F.col(c), F.lit(PADDING))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines out of documents: German ones are cut off, Spanish ones are blank."""
+    line = F.col("value")
+    cut = F.when(F.col("lang") == "de", F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    return _whole_lines(spark, sf_dir).withColumn("value", cut)
+
+
+def _whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with German lines whole, for the scans that stop at a malformed line."""
     d = _table(spark, sf_dir, "documents")
     d = bind(d, F.to_json(F.struct(_padded("text").alias("instruction"), "doc_id")), "line")
     line = F.col("line")
     value = (
-        F.when(F.col("lang") == "de", F.substring(line, F.lit(1), F.length(line) - 1))
-        .when(F.col("lang") == "es", F.lit(" \t"))
+        F.when(F.col("lang") == "es", F.lit(" \t"))
         .otherwise(line)
     )
     return d.select(value.alias("value"), "lang")
@@ -131,7 +152,7 @@ def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("instruction")
     )
     answer = t.filter(F.col("role") == "assistant").select("conv_id", "turn", F.col("text").alias("chosen"))
-    rejected = F.when(F.length("chosen") < 200, F.lit("")).otherwise(F.substring("chosen", 1, 20))
+    rejected = F.when(F.length("chosen") < 200, F.lit("")).otherwise(F.col("instruction"))
     return user.join(answer, ["conv_id", "turn"], "left").withColumn("rejected", rejected)
 
 
@@ -149,7 +170,7 @@ def _echo_model() -> Callable:
     def factory(settings):
         def answer(prompts):
             n = settings.answers
-            return [[f" \t{i + 1}/{n} {len(p)} {p[-(280 + 11 * i) :]}" for i in range(n)] for p in prompts]
+            return [[f" \t{i + 1}/{n} {len(p)} {p}{'#' * i}" for i in range(n)] for p in prompts]
 
         return answer
 
@@ -203,7 +224,7 @@ def _length_band(spark, sf_dir):
 
 
 def _contains_any(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", pf.contains_any("text", PHRASES).alias("hit"))
+    return _with_phrases(spark, sf_dir).select("doc_id", pf.contains_any("instruction", PHRASES).alias("hit"))
 
 
 def _dedup_exact(spark, sf_dir):
@@ -217,12 +238,12 @@ def _jsonl_tolerant(spark, sf_dir):
 
 
 def _jsonl_strict(spark, sf_dir):
-    lines = _lines(spark, sf_dir).filter(F.col("lang") != "de")
+    lines = _whole_lines(spark, sf_dir)
     return sources.parse_lines(lines, "doc_id bigint, instruction string, missing string", on_error="fail")
 
 
 def _jsonl_required(spark, sf_dir):
-    lines = _lines(spark, sf_dir).filter(F.col("lang") != "de")
+    lines = _whole_lines(spark, sf_dir)
     return sources.parse_lines(
         lines, "doc_id bigint, instruction string", on_error="fail", required=["instruction"]
     )
@@ -235,10 +256,13 @@ def _verbatim_lines(spark, sf_dir):
 
 
 def _optional_source(spark, sf_dir):
-    nothing = sources.read_jsonl(
-        spark, sources.scratch_dir(spark), "instruction string, prompt string", "fail", missing_ok=True
+    there = sources.scratch_dir(spark)
+    labelled = _used(spark, sf_dir)
+    sources.write_jsonl(labelled, there)
+    used = sources.read_jsonl(
+        spark, [there, sources.scratch_dir(spark)], "instruction string, prompt string", "fail", missing_ok=True
     )
-    return po.unseen(_documents(spark, sf_dir).select("doc_id", "instruction"), nothing)
+    return po.unseen(_blanked(spark, sf_dir).select("doc_id", "instruction"), used)
 
 
 def _jsonl_round_trip(spark, sf_dir):
@@ -264,10 +288,16 @@ def _registry(spark, sf_dir):
             "file_name": "pairs.jsonl",
             "ranking": True,
             "columns": {"prompt": "instruction", "chosen": "chosen", "rejected": "rejected"},
-        }
+        },
+        "dialogue_answers": {
+            "file_name": "pairs.jsonl",
+            "columns": {"prompt": "instruction", "response": "chosen"},
+        },
     }
     sources.register_datasets(spark, info, base)
-    return spark.table("dialogue_pairs")
+    pairs = spark.table("dialogue_pairs").withColumn("response", F.lit(None).cast("string"))
+    answers = spark.table("dialogue_answers")
+    return pairs.unionByName(answers, allowMissingColumns=True)
 
 
 def _first_present(spark, sf_dir):
@@ -295,17 +325,18 @@ def _chatml(spark, sf_dir):
 
 def _judge_prompt(spark, sf_dir):
     g = _groups(spark, sf_dir).select("group_id", "instruction", F.posexplode("responses").alias("pos", "r"))
-    text = pf.render_judge_prompt(F.col("instruction"), F.col("r"), JUDGE_TEMPLATE, JUDGE_SYSTEM)
+    text = pf.render_judge_prompt(F.col("instruction"), F.col("r"), JSON_TEMPLATE, JUDGE_SYSTEM)
     return g.select("group_id", F.col("pos").cast("bigint").alias("pos"), text.alias("rendered"))
 
 
 def _unseen(spark, sf_dir):
-    d = _documents(spark, sf_dir).withColumn("instruction", _padded("instruction"))
+    d = _blanked(spark, sf_dir).withColumn("instruction", _padded("instruction"))
     return po.unseen(d, _used(spark, sf_dir))
 
 
 def _unseen_shuffled(spark, sf_dir):
-    d = _documents(spark, sf_dir).withColumn("instruction", _padded("instruction"))
+    hot = F.when(F.col("doc_id") % 3 == 0, F.lit("one instruction for a third of all rows"))
+    d = _blanked(spark, sf_dir).withColumn("instruction", F.coalesce(hot, _padded("instruction")))
     return po.unseen(d, _used(spark, sf_dir), max_broadcast_keys=0)
 
 
@@ -325,6 +356,14 @@ def _head_n(spark, sf_dir):
     return po.head_n(_table(spark, sf_dir, "documents"), 100, "doc_id")
 
 
+def _head_n_large(spark, sf_dir):
+    return po.head_n(_table(spark, sf_dir, "events"), 5_000, ["ts", "event_id"])
+
+
+def _head_n_text(spark, sf_dir):
+    return po.head_n(_table(spark, sf_dir, "documents"), 900, ["text", "doc_id"])
+
+
 def _holdout_split(spark, sf_dir):
     train, held_out = po.holdout_split(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return train.withColumn("held_out", F.lit(False)).unionByName(held_out.withColumn("held_out", F.lit(True)))
@@ -374,12 +413,13 @@ def _regroup_scores(spark, sf_dir):
 
 
 def _generate(spark, sf_dir):
-    return po.generate(_turns(spark, sf_dir).withColumn("instruction", _padded("text")), _echo_model())
+    d = _blanked(spark, sf_dir).withColumn("instruction", _padded("instruction"))
+    return po.generate(d, _echo_model())
 
 
 def _generate_unstripped(spark, sf_dir):
     return po.generate(
-        _turns(spark, sf_dir).withColumn("instruction", _padded("text")),
+        _blanked(spark, sf_dir).withColumn("instruction", _padded("instruction")),
         _echo_model(),
         settings=BATCH_ANSWERS,
         prompt=pf.render_chatml("instruction", GENERIC_SYSTEM_PROMPT),
@@ -398,8 +438,13 @@ def _generate_remote_drop(spark, sf_dir):
     return po.generate_remote(_turns(spark, sf_dir), _flaky_remote(), prompt=pf.chat_messages("instruction"))
 
 
+def _generate_remote_failures(spark, sf_dir):
+    asked = _generate_remote(spark, sf_dir)
+    return asked.groupBy("error").agg(F.count("*").alias("requests"))
+
+
 def _generate_candidates(spark, sf_dir):
-    out = po.generate_candidates(_turns(spark, sf_dir), _echo_model())
+    out = po.generate_candidates(_blanked(spark, sf_dir), _echo_model())
     out = out.select("instruction", F.posexplode("responses").alias("pos", "response"))
     return out.withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -415,25 +460,35 @@ def _scores_by_row(scored: DataFrame) -> DataFrame:
 
 
 def _judge(spark, sf_dir):
-    return _scores_by_row(po.judge(_groups(spark, sf_dir), _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM))
+    g = _groups(spark, sf_dir)
+    return _scores_by_row(po.judge(g, _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM, max_chars=8000))
 
 
 def _judge_whole_texts(spark, sf_dir):
     g = _groups(spark, sf_dir)
-    return _scores_by_row(po.judge(g, _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM, max_chars=None))
+    return _scores_by_row(po.judge(g, _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM))
 
 
 def _parse_score(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", pf.parse_score("props").alias("score"))
+    n = F.col("event_id")
+    verdict = (
+        F.when(n % 4 == 0, F.concat(F.lit("Score: -"), n % 7, F.lit(".25 of 9")))
+        .when(n % 4 == 1, F.concat(F.lit("about "), n % 50, F.lit(".5, not 3")))
+        .when(n % 4 == 2, F.lit("no number - at all."))
+        .otherwise(F.col("props"))
+    )
+    return _table(spark, sf_dir, "events").select("event_id", pf.parse_score(verdict).alias("score"))
 
 
 def _seed_curation(spark, sf_dir):
-    return po.sample_n(po.clean(_documents(spark, sf_dir), phrases=PHRASES), 100, 42, key="instruction")
+    cleaned = sources.stage_table(po.clean(_documents(spark, sf_dir), phrases=PHRASES))
+    return po.sample_n(cleaned, 100, 42, key="instruction")
 
 
 def _preference_chain(spark, sf_dir):
     left = po.clean(_documents(spark, sf_dir), phrases=PHRASES)
-    picked = po.sample_n(po.unseen(left, _used(spark, sf_dir)), 200, 7, key="instruction")
+    unused = sources.stage_table(po.unseen(left, _used(spark, sf_dir)))
+    picked = po.sample_n(unused, 200, 7, key="instruction")
     return plans.preference_pairs(picked, _echo_model(), _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM)
 
 
@@ -487,6 +542,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_copies": _sample_copies,
         "sample_all": _sample_all,
         "head_n": _head_n,
+        "head_n_large": _head_n_large,
+        "head_n_text": _head_n_text,
         "holdout_split": _holdout_split,
         "used_keys": _used_keys,
         "request_metrics": _request_metrics,
@@ -499,6 +556,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "generate_unstripped": _generate_unstripped,
         "generate_remote": _generate_remote,
         "generate_remote_drop": _generate_remote_drop,
+        "generate_remote_failures": _generate_remote_failures,
         "generate_candidates": _generate_candidates,
         "judge": _judge,
         "judge_whole_texts": _judge_whole_texts,
@@ -572,6 +630,10 @@ _SQL_LINES = f"""
   FROM documents
 """
 
+_SQL_BLANKED = f"""
+  SELECT *, CASE WHEN doc_id % 10 = 3 THEN {_lit(PADDING)} ELSE text END AS instruction FROM documents
+"""
+
 _SQL_GROUPS = f"""
   SELECT group_id, lang, responses, scores, 'Prompt ' || group_id AS prompt,
          CASE WHEN lang = 'fr' THEN '' ELSE 'Question ' || group_id END AS instruction
@@ -600,7 +662,7 @@ _SQL_PAIRS = f"""
 
 _SQL_DIALOGUES = """
   SELECT u.conv_id, u.text AS instruction, a.text AS chosen,
-         CASE WHEN length(a.text) < 200 THEN '' ELSE left(a.text, 20) END AS rejected
+         CASE WHEN length(a.text) < 200 THEN '' ELSE u.text END AS rejected
   FROM (SELECT * FROM conversations WHERE role = 'user') u
   LEFT JOIN (SELECT * FROM conversations WHERE role = 'assistant') a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -619,12 +681,12 @@ _SQL_TURN_KEYS = """
 
 _SQL_USED = "SELECT d.text AS prompt FROM documents d JOIN labels q ON d.doc_id = q.doc_id"
 
-_SQL_UNSEEN = f"""
-  SELECT doc_id, text, lang, source, n_chars, {_sql_padded('text')} AS instruction
-  FROM documents d
-  WHERE {_sql_strip('text')} <> ''
-    AND NOT EXISTS (SELECT 1 FROM ({_SQL_USED}) u WHERE {_sql_strip('u.prompt')} = {_sql_strip('d.text')})
-"""
+def _sql_unseen(instruction: str) -> str:
+    return f"""
+      SELECT * FROM (SELECT doc_id, text, lang, source, n_chars, {instruction} AS instruction FROM ({_SQL_BLANKED})) d
+      WHERE {_sql_strip('d.instruction')} <> ''
+        AND NOT EXISTS (SELECT 1 FROM ({_SQL_USED}) u WHERE {_sql_strip('u.prompt')} = {_sql_strip('d.instruction')})
+    """
 
 
 def _sql_clean(text: str) -> str:
@@ -635,7 +697,7 @@ def _sql_clean(text: str) -> str:
 
 
 def _sql_echo(prompt: str, n: int = 1, i: str = "1") -> str:
-    return f"({_lit(' ' + chr(9))} || {i} || '/{n} ' || length({prompt}) || ' ' || right({prompt}, 269 + 11 * {i}))"
+    return f"({_lit(' ' + chr(9))} || {i} || '/{n} ' || length({prompt}) || ' ' || {prompt} || repeat('#', {i} - 1))"
 
 
 def _sql_preference_chain() -> str:
@@ -649,7 +711,7 @@ def _sql_preference_chain() -> str:
         SELECT instruction, i, {reply} AS response FROM picked, (SELECT unnest(range(1, 5)) AS i)
       ), scored AS (
         SELECT instruction, i, response,
-               {_sql_verdict(_sql_judge_prompt('instruction', 'response'), 'response')} AS score
+               {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score
         FROM answered
       ), lists AS (
         SELECT instruction, list(response ORDER BY i) AS responses, list(score ORDER BY i) AS scores
@@ -662,7 +724,7 @@ def _sql_preference_chain() -> str:
 
 
 def own_sql() -> dict[str, str]:
-    padded_turn = _sql_padded("text")
+    padded = _sql_padded("instruction")
     return {
         "clean": _sql_clean(_sql_padded("text")),
         "clean_report": f"""
@@ -684,7 +746,11 @@ def own_sql() -> dict[str, str]:
         """,
         "strip_edges": f"SELECT doc_id, {_sql_strip(_sql_padded('text'))} AS stripped FROM documents",
         "length_band": "SELECT doc_id, length(text) BETWEEN 20 AND 2500 AS in_band FROM documents",
-        "contains_any": f"SELECT doc_id, {_sql_hits('text')} AS hit FROM documents",
+        # Documents end in refusal phrase number doc_id % 14, and 13 stands for none.
+        "contains_any": """
+          SELECT doc_id, doc_id % 14 < 13 OR contains(lower(text), 'license')
+                         OR contains(lower(text), 'worthless') AS hit FROM documents
+        """,
         "dedup_exact": "SELECT DISTINCT text AS instruction FROM documents",
         "jsonl_tolerant_scan": f"""
           SELECT CASE WHEN lang NOT IN ('de', 'es') THEN instruction END AS instruction,
@@ -696,21 +762,23 @@ def own_sql() -> dict[str, str]:
         """,
         "jsonl_strict_scan": f"""
           SELECT doc_id, instruction, CAST(NULL AS VARCHAR) AS missing
-          FROM ({_SQL_LINES}) WHERE lang NOT IN ('de', 'es')
+          FROM ({_SQL_LINES}) WHERE lang <> 'es'
         """,
         "jsonl_required_field": f"""
-          SELECT doc_id, instruction FROM ({_SQL_LINES}) WHERE lang NOT IN ('de', 'es')
+          SELECT doc_id, instruction FROM ({_SQL_LINES}) WHERE lang <> 'es'
         """,
         "verbatim_lines": f"""
           SELECT CASE lang WHEN 'de' THEN left(line, length(line) - 1) ELSE line END AS value
           FROM ({_SQL_LINES}) WHERE lang <> 'es'
         """,
         "optional_source": f"""
-          SELECT doc_id, text AS instruction FROM documents WHERE {_sql_strip('text')} <> ''
+          SELECT doc_id, instruction FROM ({_sql_unseen('instruction')})
         """,
         "jsonl_round_trip": _SQL_SLOTS,
         "dataset_registry": f"""
-          SELECT instruction AS prompt, chosen, rejected FROM ({_SQL_DIALOGUE_PAIRS})
+          SELECT instruction AS prompt, chosen, rejected, NULL::VARCHAR AS response FROM ({_SQL_DIALOGUE_PAIRS})
+          UNION ALL
+          SELECT instruction, NULL, NULL, chosen FROM ({_SQL_DIALOGUE_PAIRS})
         """,
         "first_present": f"""
           SELECT conv_id, turn, coalesce(instruction, prompt, '') AS value FROM ({_SQL_TURN_KEYS})
@@ -727,19 +795,25 @@ def own_sql() -> dict[str, str]:
         """,
         "render_chatml": f"SELECT conv_id, turn, {_sql_chatml('text')} AS rendered FROM conversations",
         "render_judge_prompt": f"""
-          SELECT group_id, pos, {_sql_judge_prompt('instruction', 'response')} AS rendered
+          SELECT group_id, pos, {_lit(JUDGE_SYSTEM + chr(10) * 2 + '{"question": "')} || instruction
+                 || '", "answer": {{' || response || {_lit('}}' + chr(10) * 2 + 'Score:')} AS rendered
           FROM ({_SQL_SLOTS})
         """,
-        "unseen": _SQL_UNSEEN,
-        "unseen_shuffled": _SQL_UNSEEN,
+        "unseen": _sql_unseen(_sql_padded("instruction")),
+        "unseen_shuffled": _sql_unseen(
+            "CASE WHEN doc_id % 3 = 0 THEN 'one instruction for a third of all rows' "
+            f"ELSE {_sql_padded('instruction')} END"
+        ),
         "sample_n": "SELECT * FROM documents ORDER BY md5('42|' || doc_id), doc_id LIMIT 100",
         "sample_copies": """
           SELECT lang, source FROM (
             SELECT lang, source, row_number() OVER (PARTITION BY lang, source) - 1 AS copy FROM documents
-          ) ORDER BY md5('42|' || lang || '|' || source || '|' || copy), lang, source LIMIT 100
+          ) ORDER BY md5('42|' || sha256('{"lang":"' || lang || '","source":"' || source || '"}') || '|' || copy) LIMIT 100
         """,
         "sample_all": "SELECT * FROM labels",
         "head_n": "SELECT * FROM documents ORDER BY doc_id LIMIT 100",
+        "head_n_large": "SELECT * FROM events ORDER BY ts, event_id LIMIT 5000",
+        "head_n_text": "SELECT * FROM documents ORDER BY text, doc_id LIMIT 900",
         "holdout_split": """
           SELECT doc_id, text,
                  CAST('0x' || substr(md5('42|' || doc_id), 1, 8) AS BIGINT) / 4294967296.0 < 0.05 AS held_out
@@ -764,13 +838,13 @@ def own_sql() -> dict[str, str]:
           FROM ({_SQL_SLOTS})
         """,
         "generate": f"""
-          SELECT text AS instruction, {_sql_strip(_sql_echo(_sql_chatml('text')))} AS output
-          FROM conversations WHERE {_sql_strip('text')} <> ''
+          SELECT {_sql_strip('instruction')} AS instruction,
+                 {_sql_strip(_sql_echo(_sql_chatml(_sql_strip('instruction'))))} AS output
+          FROM ({_SQL_BLANKED}) WHERE {_sql_strip('instruction')} <> ''
         """,
         "generate_unstripped": f"""
-          SELECT {padded_turn} AS instruction,
-                 {_sql_echo(_sql_chatml(padded_turn, GENERIC_SYSTEM_PROMPT))} AS output
-          FROM conversations
+          SELECT {padded} AS instruction, {_sql_echo(_sql_chatml(padded, GENERIC_SYSTEM_PROMPT))} AS output
+          FROM ({_SQL_BLANKED})
         """,
         "generate_remote": f"""
           SELECT text AS instruction,
@@ -784,11 +858,15 @@ def own_sql() -> dict[str, str]:
                  CASE WHEN length(text) < 100 THEN '' ELSE {_sql_strip("'system: ' || text")} END AS output
           FROM conversations WHERE {_sql_strip('text')} <> '' AND length(text) <= 300
         """,
+        "generate_remote_failures": """
+          SELECT CASE WHEN length(text) > 300 THEN 'TimeoutError: too long' END AS error, count(*) AS requests
+          FROM conversations WHERE text <> '' GROUP BY 1
+        """,
         "generate_candidates": f"""
-          SELECT text AS instruction, i - 1 AS pos,
-                 {_sql_strip(_sql_echo(_sql_chatml('text'), 4, 'i'))} AS response
-          FROM (SELECT text, unnest(range(1, 5)) AS i FROM conversations)
-          WHERE {_sql_strip('text')} <> ''
+          SELECT instruction, i - 1 AS pos,
+                 {_sql_strip(_sql_echo(_sql_chatml('instruction'), 4, 'i'))} AS response
+          FROM (SELECT {_sql_strip('instruction')} AS instruction, unnest(range(1, 5)) AS i FROM ({_SQL_BLANKED}))
+          WHERE instruction <> ''
         """,
         "judge": f"""
           SELECT instruction, pos, response,
@@ -801,8 +879,11 @@ def own_sql() -> dict[str, str]:
           FROM ({_SQL_SLOTS})
         """,
         "parse_score": r"""
-          SELECT event_id,
-                 TRY_CAST(regexp_extract(props, '(-?[0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) AS score
+          SELECT event_id, CASE event_id % 4
+                   WHEN 0 THEN -CAST(event_id % 7 AS DOUBLE) - 0.25
+                   WHEN 1 THEN CAST(event_id % 50 AS DOUBLE) + 0.5
+                   WHEN 2 THEN NULL
+                   ELSE TRY_CAST(regexp_extract(props, '(-?[0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) END AS score
           FROM events
         """,
         "seed_curation": f"""

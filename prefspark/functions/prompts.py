@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,13 +12,9 @@ from prefspark.functions.fixed_values import (
     CHAT_TURN_START,
     CODING_SYSTEM_PROMPT,
     JUDGE_SUFFIX,
-    JUDGE_TEXT_CHARS,
 )
 from prefspark.functions.text import truncate
 
-_SLOT = re.compile(r"\{(instruction|output)\}")
-
-
 def chat_messages(user: Column | str, system: str = CODING_SYSTEM_PROMPT) -> Column:
     """``[{role: system, content}, {role: user, content}]``."""
     user = F.col(user) if isinstance(user, str) else user
@@ -36,25 +32,35 @@ def render_chatml(user: Column | str, system: str = CODING_SYSTEM_PROMPT) -> Col
     return F.concat(F.lit(before), user, F.lit(after))
 
 
+def _judge_pieces(template: str) -> list[tuple[str, str | None]]:
+    """(text, slot behind it) of a judge template, by the rules of ``str.format``."""
+    pieces = []
+    for text, slot, form, conversion in Formatter().parse(template):
+        if slot is not None and (slot not in ("instruction", "output") or form or conversion):
+            raise ValueError(f"a judge template has the slots {{instruction}} and {{output}}, not {{{slot}}}")
+        pieces.append((text, slot))
+    if "output" not in [slot for _, slot in pieces]:
+        raise ValueError("a judge template needs the slot {output}")
+    return pieces
+
+
 def fill_judge_template(
-    instruction: Column, output: Column, template: str, max_chars: int | None = JUDGE_TEXT_CHARS
+    instruction: Column, output: Column, template: str, max_chars: int | None = None
 ) -> Column:
-    """Fill ``{instruction}`` and ``{output}`` of a judge template.
+    """Fill ``{instruction}`` and ``{output}`` of a judge template, as ``str.format`` would.
 
     The template is cut at its slots here, once, and the pieces are concatenated.
-    Replacing slot names in the text would also replace them inside user text.
-    ``max_chars`` limits both fields by code points; None sends them whole. Doubled
-    braces in the template stand for single ones.
+    Replacing slot names in the text would also replace them inside user text. Any other slot
+    is an error. Texts go whole unless ``max_chars`` limits both fields by code points. A null
+    field reads as the empty string.
     """
-    fields = {"instruction": instruction, "output": output}
+    fields = {"instruction": F.coalesce(instruction, F.lit("")), "output": F.coalesce(output, F.lit(""))}
     if max_chars is not None:
         fields = {k: truncate(v, max_chars) for k, v in fields.items()}
-    pieces = _SLOT.split(template.replace("{{", "\0").replace("}}", "\1"))
-    parts = [
-        fields[piece] if i % 2 else F.lit(piece.replace("\0", "{").replace("\1", "}"))
-        for i, piece in enumerate(pieces)
-        if piece
-    ]
+    parts = []
+    for text, slot in _judge_pieces(template):
+        parts += [F.lit(text)] if text else []
+        parts += [fields[slot]] if slot else []
     return F.concat(*parts)
 
 
@@ -63,7 +69,7 @@ def render_judge_prompt(
     output: Column,
     template: str,
     system: str,
-    max_chars: int | None = JUDGE_TEXT_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
     """A judge request as text: system prompt, filled template, and where the score goes."""
     filled = fill_judge_template(instruction, output, template, max_chars)

@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 from prefspark.functions.fixed_values import (
     CANDIDATES_PER_PROMPT,
     JUDGE_BATCH_SIZE,
-    JUDGE_TEXT_CHARS,
     MAX_REQUESTS_IN_FLIGHT,
     STOP_STRINGS,
 )
@@ -151,6 +150,16 @@ def _instructions(df: DataFrame, strip: bool) -> DataFrame:
     return df.withColumn("instruction", py_strip("instruction")).filter(F.col("instruction") != "")
 
 
+def model_tasks(df: DataFrame) -> int:
+    """Tasks of a model step when none are given: the session's slots or its shuffle partitions.
+
+    A sample of a large table sits in few small partitions; without this one model would work
+    while the others wait.
+    """
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def generate_candidates(
     df: DataFrame,
     factory: ModelFactory,
@@ -165,7 +174,7 @@ def generate_candidates(
     if n is not None:
         settings = replace(settings, answers=n)
     rows = _instructions(df.select("instruction"), strip=True)
-    rows = rows.repartition(partitions) if partitions else rows
+    rows = rows.repartition(partitions or model_tasks(df))
     prompt = render_chatml("instruction") if prompt is None else prompt
     make_ask = _batch_worker(factory, settings, batch_size)
 
@@ -194,12 +203,12 @@ def generate(
     ``strip_input`` strips instructions and leaves out empty ones; without it every
     row is answered as it is. ``prompt`` is what the model gets to see: text by
     default, or a :func:`chat_messages` column. ``partitions`` sets how many tasks call
-    the model, and ``profile`` which executors they run on.
+    the model (:func:`model_tasks` by default), and ``profile`` which executors they run on.
     """
     if settings.answers != 1:
         raise ValueError("generate asks for one answer; use generate_candidates for more")
     rows = _instructions(df.select("instruction"), strip_input)
-    rows = rows.repartition(partitions) if partitions else rows
+    rows = rows.repartition(partitions or model_tasks(df))
     prompt = render_chatml("instruction") if prompt is None else prompt
     make_ask = _batch_worker(factory, settings, batch_size)
 
@@ -224,10 +233,10 @@ def generate_remote(
 ) -> DataFrame:
     """``(instruction, output)`` from a model that answers one request at a time.
 
-    At most ``max_in_flight`` requests are open at once over the whole cluster: the bound
-    is divided by the number of tasks that can run together (``task_slots``, by default
-    the cores of the session), and with more slots than requests the rows go to
-    ``max_in_flight`` tasks of one request each. Speculative execution would add to it.
+    At most ``max_in_flight`` requests are open at once, however many tasks the cluster can run:
+    the rows go to K tasks (``task_slots``, by default the cores of the session, and no more
+    than requests), each with ``max_in_flight // K`` requests. Speculative execution
+    would add to it.
 
     A request that raises does not disturb the others. With ``drop`` its row is left
     out, with ``keep`` it stays with its message in ``error`` and no output, with ``raise``
@@ -237,11 +246,9 @@ def generate_remote(
         raise ValueError(f"on_error must be drop, keep or raise, not {on_error!r}")
     if max_in_flight < 1:
         raise ValueError("max_in_flight must be at least 1")
-    slots = task_slots or df.sparkSession.sparkContext.defaultParallelism
-    rows = _instructions(df.select("instruction"), strip=True)
-    if slots > max_in_flight:
-        rows = rows.repartition(max_in_flight)
-    per_task = max(1, max_in_flight // slots)
+    tasks = min(max_in_flight, task_slots or df.sparkSession.sparkContext.defaultParallelism)
+    rows = _instructions(df.select("instruction"), strip=True).repartition(tasks)
+    per_task = max_in_flight // tasks
     prompt = render_chatml("instruction") if prompt is None else prompt
 
     def make_worker():
@@ -283,7 +290,7 @@ def judge(
     template: str,
     system: str,
     settings: GenerationSettings = JUDGEMENT,
-    max_chars: int | None = JUDGE_TEXT_CHARS,
+    max_chars: int | None = None,
     as_messages: bool = False,
     parse: Callable[[Column], Column] = parse_score,
     batch_size: int = JUDGE_BATCH_SIZE,
@@ -295,13 +302,14 @@ def judge(
     A blank response is not sent to the judge and scores null, and so does an answer
     ``parse`` finds no number in. The row stays whole: its requests are lined up inside
     the Arrow batch, asked in lots of ``batch_size``, and its verdicts take the shape of
-    its responses, so there is no explode, no join and no shuffle. ``as_messages`` sends
-    chat messages instead of text, for a judge with a chat layout of its own.
+    its responses, so there is no explode and no join. Texts go whole unless ``max_chars`` cuts
+    both. ``as_messages`` sends chat messages instead of text, for a judge with a chat
+    layout of its own.
     """
     if settings.answers != 1:
         raise ValueError("a judge gives one answer per request")
     rows = df.select("instruction", "responses")
-    rows = rows.repartition(partitions) if partitions else rows
+    rows = rows.repartition(partitions or model_tasks(df))
 
     def request(response: Column) -> Column:
         instruction = F.col("instruction")

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prefspark.functions.text import first_present, py_strip, text_digest
+from prefspark.sources.staging import stage_table
 
 # Used-key tables up to this many rows are broadcast: 32 bytes of digest each.
 MAX_BROADCAST_KEYS = 1_000_000
-# Longest list of frequent keys to treat apart in the large case.
-HOT_KEYS = 1_000
 
 
 def instruction_key(df: DataFrame) -> Column:
@@ -31,12 +30,11 @@ def unseen(
     Rows come back whole and unstripped, duplicates included. Keys are compared by
     SHA-256, so the used side is 32 bytes a row however long its texts are.
 
-    The size of ``used`` is counted first. Up to ``max_broadcast_keys`` rows it is
-    broadcast, and ``prompts`` is neither shuffled nor sorted. Beyond that the join
-    is shuffled, with frequent keys taken out: one key may cover a third of all
-    prompts and would end up in one task. A sketch over ``prompts`` names at most
-    ``HOT_KEYS`` frequent keys, whose rows stay where they are and meet only the
-    used keys of that short list. Which path a row takes never changes the result.
+    The distinct digests of ``used`` are staged and counted. Up to ``max_broadcast_keys`` of them are
+    broadcast, and ``prompts`` is neither shuffled nor sorted. Beyond that both sides
+    are shuffled by digest. A key may cover a third of all prompts; the large
+    partition it makes is on the left of an anti join, which adaptive execution splits. Each
+    side is computed once either way.
     """
     key = instruction_key(prompts) if key is None else key
     used_key = instruction_key(used) if used_key is None else used_key
@@ -46,29 +44,10 @@ def unseen(
     right = used.select(used_key.alias("_text"))
     digest = text_digest("_text").alias("_key")
 
-    def unused(rows: DataFrame, keys: DataFrame) -> DataFrame:
-        return rows.select("*", digest).join(keys, "_key", "left_anti").select(*columns)
-
-    if right.count() <= max_broadcast_keys:
-        return unused(left, F.broadcast(right.select(digest)))
-
-    hot = hot_keys(left, "_text")
-    is_hot = F.xxhash64("_text").isin(hot) if hot else F.lit(False)
-    cold_rows = unused(left.filter(~is_hot), right.filter(~is_hot).select(digest).distinct())
-    if not hot:
-        return cold_rows
-    # At most HOT_KEYS distinct digests, give or take 64-bit collisions.
-    hot_used = right.filter(is_hot).select(digest).distinct()
-    return cold_rows.unionByName(unused(left.filter(is_hot), F.broadcast(hot_used)))
-
-
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> list[int]:
-    """64-bit hashes of keys that hold more than one in ``10 * limit`` rows, at most ``limit``.
-
-    They come from a mergeable sketch of fixed size, so its counts are estimates.
-    """
-    tracked = 10 * limit
-    top, rows = df.agg(
-        F.expr(f"approx_top_k(xxhash64({key}), {limit}, {tracked})"), F.count(F.lit(1))
-    ).first()
-    return [item["item"] for item in top or [] if item["count"] * tracked > rows]
+    keys = stage_table(right.select(digest).distinct())
+    if keys.count() <= max_broadcast_keys:
+        keys = F.broadcast(keys)
+    else:
+        # A merge join: Spark may not turn it into a broadcast on the estimated size.
+        keys = keys.hint("merge")
+    return left.select("*", digest).join(keys, "_key", "left_anti").select(*columns)

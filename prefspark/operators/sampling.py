@@ -17,15 +17,18 @@ from prefspark.functions.fixed_values import (
     PREFERENCE_SAMPLE_SIZE,
     SFT_SAMPLE_SEED,
 )
-from prefspark.functions.text import seeded_hash
+from prefspark.functions.text import seeded_hash, text_digest
+from prefspark.sources.staging import stage_table
 
 # Leading hex digits of the hash that name a bucket: 4 digits are 65,536 buckets.
 _BUCKET_DIGITS = 4
 # Copies of one row that a single task numbers.
 _COPIES_PER_TASK = 1_000_000
-# Largest head that every task keeps and one task merges.
-_TOP_N_ROWS = 1_000
-_QUANTILE_ACCURACY = 10_000
+# Samples up to this many rows are broadcast back to the scan, as 32-byte digests.
+_MAX_BROADCAST_ROWS = 1_000_000
+# Steps a numeric range is cut into, and rows that are sorted once the cut is that close.
+_RANGE_STEPS = 65_536
+_SORTED_ROWS = 1_000
 
 
 def number_copies(df: DataFrame, name: str = "_copy") -> DataFrame:
@@ -35,10 +38,13 @@ def number_copies(df: DataFrame, name: str = "_copy") -> DataFrame:
     with very many copies is first cut into ranges that go to different tasks.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return _spread(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), columns, name)
 
+
+def _spread(counted: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """One row for each of the ``_n`` copies of a row, numbered from 0."""
     few = counted.filter(F.col("_n") <= _COPIES_PER_TASK).select(
-        *columns, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias(name)
+        *columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias(name)
     )
     size = F.lit(_COPIES_PER_TASK).cast("bigint")
     ranges = counted.filter(F.col("_n") > _COPIES_PER_TASK).withColumn(
@@ -46,8 +52,8 @@ def number_copies(df: DataFrame, name: str = "_copy") -> DataFrame:
     )
     last = F.least(F.col("_from") + size, F.col("_n")) - 1
     # The number is given: adaptive execution would merge these few rows into one task.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = ranges.repartition(tasks, "_from").select(
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = ranges.repartition(tasks, F.xxhash64(*columns), "_from").select(
         *columns, F.explode(F.sequence(F.col("_from"), last)).alias(name)
     )
     return few.unionByName(many)
@@ -61,93 +67,176 @@ def sample_n(
 ) -> DataFrame:
     """Exactly ``n`` rows without replacement, or all rows where there are fewer.
 
-    ``key`` names columns that tell rows apart. Without it whole rows are
-    compared, and copies are drawn one by one like any other row.
+    ``key`` names columns that tell rows apart. The rows with the ``n`` smallest key hashes are
+    taken by a filter: no row is shuffled or sorted. Where the filter ends is found on
+    the hashes alone. A histogram over 65,536 hash buckets, at most that many small rows, names
+    the bucket in which the sample ends, and only the hashes of that bucket are put in
+    order. A key that repeats just where the sample would end stops the query.
+
+    Without ``key`` whole rows are compared, and copies are drawn one by one like any
+    other row. Rows are counted and drawn by 32-byte digests of their JSON form, which are
+    staged; at most ``n`` digests meet the rows again, so of the rows themselves only
+    drawn ones are shuffled.
 
-    The rows with the ``n`` smallest hashes are taken, but not by sorting and not by
-    merging ``n`` rows from every task into one. A histogram over 65,536 hash
-    buckets, at most that many small rows, shows in which bucket the sample ends.
-    Rows of later buckets are dropped during the scan, and only the bucket in
-    question is ranked. About ``n`` rows are shuffled, evenly, whatever the size of ``df``.
+    ``df`` is computed two or three times, each time with the columns needed. Stage a costly
+    one first.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     if n == 0:
         return df.limit(0)
-    columns = df.columns
     if key is None:
-        keys = [*columns, "_copy"]
-        df = number_copies(df)
-    else:
-        keys = [key] if isinstance(key, str) else list(key)
-    hashed = df.withColumn("_hash", seeded_hash(seed, *keys))
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, _BUCKET_DIGITS))
+        return _sample_whole_rows(df, n, seed)
+    keys = [key] if isinstance(key, str) else list(key)
+    hashed = seeded_hash(seed, *keys)
+    end = _nth_hash(df.select(hashed.alias("_hash")), n)
+    # No end: fewer than n rows in all, and every hex digit sorts before 'g'.
+    upto = F.coalesce(end["hash"], F.lit("g"))
+    stop = F.raise_error(F.lit(f"sample_n: {', '.join(keys)} repeats where the sample of {n} rows ends")).cast("boolean")
+    return df.filter(F.when(F.coalesce(end["over"], F.lit(False)), stop).otherwise(hashed <= upto))
+
 
-    histogram = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    upto = F.sum("_rows").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
-    ends_here = (F.col("_upto") >= n) & (F.col("_upto") - F.col("_rows") < n)
+def _nth_hash(hashes: DataFrame, n: int) -> Column:
+    """The ``n``-th smallest ``_hash`` and whether it is there more often than needed; null for fewer.
+
+    One scalar over two passes of the hash column.
+    """
+    bucketed = hashes.select("_hash", F.substring("_hash", 1, _BUCKET_DIGITS).alias("_bucket"))
+    before = Window.rowsBetween(Window.unboundedPreceding, 0)
+    histogram = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    upto = F.sum("_rows").over(before.orderBy("_bucket"))
+    reached = F.col("_upto") >= n
     edge = (
         histogram.withColumn("_upto", upto)
-        .filter(ends_here)
-        .select(
-            F.struct(
-                F.col("_bucket").alias("bucket"),
-                (n - (F.col("_upto") - F.col("_rows"))).alias("need"),
-            )
-        )
+        .filter(reached & (F.col("_upto") - F.col("_rows") < n))
+        .select(F.struct(F.col("_bucket").alias("bucket"), (F.col("_upto") - F.col("_rows")).alias("below")))
         .scalar()
     )
-    # No such bucket: fewer than n rows in all, and every hex digit sorts before 'g'.
-    last_bucket = F.coalesce(edge["bucket"], F.lit("g"))
-    by_hash = Window.partitionBy("_bucket").orderBy("_hash", *keys)
+    inside = bucketed.filter(F.col("_bucket") == edge["bucket"]).groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    total = F.sum("_rows").over(before.orderBy("_hash")) + edge["below"]
     return (
-        hashed.filter(F.col("_bucket") <= last_bucket)
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .filter((F.col("_bucket") < last_bucket) | (F.col("_rank") <= edge["need"]))
-        .select(*columns)
+        inside.withColumn("_upto", total)
+        .filter(reached & (F.col("_upto") - F.col("_rows") < n))
+        .select(F.struct(F.col("_hash").alias("hash"), (F.col("_upto") > n).alias("over")))
+        .scalar()
     )
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of the row as JSON, nulls included."""
+    row = F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+    return text_digest(F.to_json(row, {"ignoreNullFields": "false"}))
+
+
+def _sample_whole_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
+    columns = df.columns
+    digests = df.select(row_digest(df).alias("_digest"))
+    counted = stage_table(digests.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")))
+    copies = _spread(counted, ["_digest"], "_copy")
+    drawn_as = seeded_hash(seed, F.lower(F.hex("_digest")), "_copy")
+    end = _nth_hash(copies.select(drawn_as.alias("_hash")), n)
+    drawn = copies.filter(drawn_as <= F.coalesce(end["hash"], F.lit("g")))
+    drawn = drawn.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    if n <= _MAX_BROADCAST_ROWS:
+        drawn = F.broadcast(drawn)
+    rows = df.select("*", row_digest(df).alias("_digest")).join(drawn, "_digest")
+    # Copies are identical: one of them stands for all that were drawn.
+    return _spread(rows.dropDuplicates(["_digest"]), columns, "_copy").select(*columns)
+
+
 def head_n(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:
     """First ``n`` rows by ``order_by``; all rows when ``n`` is None.
 
-    A head of up to 1,000 rows is a top-n: every task keeps its own first ``n`` and
-    those are merged. A larger one is narrowed first, with approximate quantiles of the
-    order column on either side of the cut: rows below the lower one all belong to
-    the head, rows above the upper one never do, and the thin band between them is
-    cut again. That needs a single numeric, date or timestamp column; other orders
-    stay a top-n.
+    The place of the cut is narrowed down before any row is gathered. A number, date or
+    timestamp is cut into 65,536 equal steps between its extremes, a text by the two bytes
+    behind the common prefix. Rows of lower steps belong to the head, rows of
+    higher ones do not, and the step with the cut is narrowed further until it has at most
+    1,000 rows, which are sorted. Each round is one histogram of at most 65,793 rows,
+    computed here. Rows that are equal in one column are cut by the next column, rows
+    that are equal in all by :func:`sample_n`. Nulls sort first, NaN last.
+
+    Any ``n`` and any order take this way, and no task ever holds ``n`` rows.
     """
     if n is None:
         return df
     if n < 0:
         raise ValueError("n must not be negative")
-    order = [order_by] if isinstance(order_by, str) else list(order_by)
-    top_n = df.orderBy(*order).limit(n)
-    if n <= _TOP_N_ROWS or len(order) > 1 or not _has_quantiles(df, order[0]):
-        return top_n
+    if n == 0:
+        return df.limit(0)
+    return _head(df, n, [order_by] if isinstance(order_by, str) else list(order_by))
 
-    rows = df.count()
-    if n >= rows:
-        return df
-    column = F.col(order[0])
-    slack = 2 / _QUANTILE_ACCURACY
-    cuts = [max(n / rows - slack, 0.0), min(n / rows + slack, 1.0)]
-    quantiles = df.agg(F.percentile_approx(column, cuts, _QUANTILE_ACCURACY)).first()[0]
-    if quantiles is None:
-        return top_n  # the order column is null throughout
-    low, high = quantiles
-    below = column.isNull() | (column < F.lit(low))  # nulls sort first
-    sure, band = df.filter(below), df.filter(~below & (column <= F.lit(high)))
-    missing, band_rows = n - sure.count(), band.count()
-    if not 0 <= missing <= band_rows or band_rows > rows // 2:
-        return top_n  # it is mostly null or mostly one value
-    return sure.unionByName(head_n(band, missing, order_by))
-
-
-def _has_quantiles(df: DataFrame, column: str) -> bool:
-    kind = df.schema[column].dataType
-    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+def _head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    if not order:
+        return sample_n(df, n, 0)
+    sure = None
+    while True:
+        step, tied = _steps(df, order[0])
+        # An ordered list of at most 65,793 (step, rows).
+        histogram = df.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+        below, edge = 0, None
+        for row in histogram:
+            if below + row.n >= n:
+                edge = row
+                break
+            below += row.n
+        if edge is None:
+            head = df
+        elif edge.n == n - below:
+            head = df.filter(step.eqNullSafe(F.lit(edge.step)) | _before(step, edge.step))
+        else:
+            if below:
+                lower = df.filter(_before(step, edge.step))
+                sure = lower if sure is None else sure.unionByName(lower)
+            df, n = df.filter(step.eqNullSafe(F.lit(edge.step))), n - below
+            if edge.n <= _SORTED_ROWS:
+                head = df.orderBy(*order).limit(n)
+            elif edge.step is None or tied(edge.step):
+                head = _head(df, n, order[1:])
+            else:
+                continue
+        return head if sure is None else sure.unionByName(head)
+
+
+def _before(step: Column, edge) -> Column:
+    return F.lit(False) if edge is None else step.isNull() | (step < F.lit(edge))
+
+
+def _steps(df: DataFrame, name: str):
+    """(a column that never decreases along the order, whether a value of it means equal rows)."""
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        low, high = df.agg(F.min(column), F.max(column)).first()
+        low, high = (low or "").encode(), (high or "").encode()
+        shared = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+        length = shared + 2
+        step = F.hex(F.substring(column.cast("binary"), 1, length))
+        return step, lambda value: len(value) < 2 * length  # a shorter value is the whole text
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        number = column.cast("double")
+        plain = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+        odd = F.when(number == float("-inf"), F.lit(-1)).when(number == float("inf"), F.lit(_RANGE_STEPS))
+        odd = odd.when(F.isnan(number), F.lit(_RANGE_STEPS + 1))
+    else:
+        if isinstance(kind, T.DateType):
+            number = F.unix_date(column)
+        elif isinstance(kind, T.TimestampType):
+            number = F.unix_micros(column)
+        elif isinstance(kind, T.TimestampNTZType):
+            number = F.unix_micros(F.to_timestamp_ltz(column.cast("string")))
+        elif isinstance(kind, (T.NumericType, T.BooleanType)):
+            number = column.cast("int") if isinstance(kind, T.BooleanType) else column
+        else:
+            raise ValueError(f"head_n cannot order by {name}: {kind.simpleString()}")
+        plain = number if isinstance(kind, T.DecimalType) else number.cast("decimal(20,0)")
+        odd = F.lit(None).cast("int")
+    low, high = df.agg(F.min(plain), F.max(plain)).first()
+    if low is None or low == high:
+        one = F.when(plain.isNotNull(), F.lit(0)).otherwise(odd)
+        return one, lambda value: True
+    share = (plain - F.lit(low)).cast("double") / float(high - low)
+    step = F.least(F.floor(share * (_RANGE_STEPS - 1)), F.lit(_RANGE_STEPS - 1)).cast("int")
+    return F.when(plain.isNotNull(), step).otherwise(odd), lambda value: not 0 <= value < _RANGE_STEPS
 
 
 def holdout_flag(fraction: float, seed: int, *key: Column | str) -> Column:

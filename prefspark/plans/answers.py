@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,29 +13,64 @@ from prefspark.functions.prompts import render_chatml
 from prefspark.functions.text import py_strip
 from prefspark.operators.inference import BATCH_ANSWERS, generate, generate_remote
 from prefspark.operators.sampling import head_n
-from prefspark.sources.jsonl import read_jsonl, write_jsonl
+from prefspark.sources.jsonl import FILE_ORDER, parse_lines, read_jsonl, read_ordered, write_jsonl
+from prefspark.sources.staging import stages
 
 
 def seed_instructions(
-    spark: SparkSession, path: str, max_samples: int | None = None, order_by: str = "instruction"
+    spark: SparkSession,
+    path: str,
+    max_samples: int | None = None,
+    order_by: str | Sequence[str] = FILE_ORDER,
 ) -> DataFrame:
-    """Stripped, non-empty instructions, or the first ``max_samples`` of them."""
-    rows = read_jsonl(spark, path, "instruction string", on_error="fail")
-    rows = rows.select(py_strip("instruction").alias("instruction")).filter(F.col("instruction") != "")
-    return head_n(rows, max_samples, order_by)
+    """Stripped, non-empty instructions, or the first ``max_samples`` of them, in file order."""
+    if max_samples is None:
+        rows = read_jsonl(spark, path, "instruction string", on_error="fail")
+    else:
+        rows = parse_lines(read_ordered(spark, path), "instruction string", on_error="fail", keep=FILE_ORDER)
+    rows = rows.withColumn("instruction", py_strip("instruction")).filter(F.col("instruction") != "")
+    return head_n(rows, max_samples, order_by).select("instruction")
 
 
-def answer_seeds(spark: SparkSession, path: str, out_path: str, factory, max_samples: int | None = None, **options) -> None:
+def answer_seeds(
+    spark: SparkSession,
+    path: str,
+    out_path: str,
+    factory,
+    max_samples: int | None = None,
+    order_by: str | Sequence[str] = FILE_ORDER,
+    **options,
+) -> None:
     """Answer each seed prompt with a model that runs inside the tasks."""
-    write_jsonl(generate(seed_instructions(spark, path, max_samples), factory, **options), out_path)
+    write_jsonl(generate(seed_instructions(spark, path, max_samples, order_by), factory, **options), out_path)
 
 
 def answer_seeds_remotely(
-    spark: SparkSession, path: str, out_path: str, factory, max_samples: int | None = None, **options
-) -> None:
-    """Answer each seed prompt by bounded concurrent requests; failed ones are left out."""
-    rows = seed_instructions(spark, path, max_samples)
-    write_jsonl(generate_remote(rows, factory, **options), out_path)
+    spark: SparkSession,
+    path: str,
+    out_path: str,
+    factory,
+    max_samples: int | None = None,
+    order_by: str | Sequence[str] = FILE_ORDER,
+    failures_path: str | None = None,
+    **options,
+) -> dict[str, int]:
+    """Answer each seed prompt by bounded concurrent requests.
+
+    Failed requests are left out of the answers. Returns how many rows were ``written`` and how
+    many ``failed``; ``failures_path`` takes the latter with their error messages.
+    """
+    rows = seed_instructions(spark, path, max_samples, order_by)
+    with stages(spark) as stage:
+        asked = stage(generate_remote(rows, factory, on_error="keep", **options))
+        failed = F.col("error").isNotNull()
+        write_jsonl(asked.filter(~failed).drop("error"), out_path)
+        if failures_path:
+            write_jsonl(asked.filter(failed).select("instruction", "error"), failures_path)
+        counts = asked.agg(F.count_if(~failed).alias("written"), F.count_if(failed).alias("failed")).first().asDict()
+    if counts["failed"]:
+        warnings.warn(f"{counts['failed']} requests failed and are not in {out_path}", stacklevel=2)
+    return counts
 
 
 def answer_all(spark: SparkSession, path: str, out_path: str, factory, **options) -> None:

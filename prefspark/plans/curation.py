@@ -10,7 +10,7 @@ from prefspark.functions.fixed_values import SFT_SAMPLE_SEED, SFT_SAMPLE_SIZE
 from prefspark.operators.cleaning import clean_tally, kept_instructions, report_from_tally
 from prefspark.operators.sampling import sample_n
 from prefspark.sources.jsonl import read_jsonl, read_lines, write_jsonl, write_lines
-from prefspark.sources.staging import stage_table
+from prefspark.sources.staging import stages
 
 
 def clean_corpus(spark: SparkSession, raw_path: str, clean_path: str, **rules) -> dict[str, int]:
@@ -20,9 +20,10 @@ def clean_corpus(spark: SparkSession, raw_path: str, clean_path: str, **rules) -
     counts come from that table.
     """
     rows = read_jsonl(spark, raw_path, "instruction string", on_error="keep")
-    tally = stage_table(clean_tally(rows, **rules))
-    write_jsonl(kept_instructions(tally), clean_path)
-    return report_from_tally(tally).first().asDict()
+    with stages(spark) as stage:
+        tally = stage(clean_tally(rows, **rules))
+        write_jsonl(kept_instructions(tally), clean_path)
+        return report_from_tally(tally).first().asDict()
 
 
 def sample_seeds(

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from prefspark.functions.fixed_values import PREFERENCE_SAMPLE_SIZE
 from prefspark.operators.inference import generate_candidates, judge
 from prefspark.operators.leakage import instruction_key, unseen
+from prefspark.operators.metrics import distinct_keys
 from prefspark.operators.pairs import pairs_from_scores, pairs_passthrough
 from prefspark.operators.sampling import sample_n
 from prefspark.sources.jsonl import read_jsonl, write_jsonl, write_lines
-from prefspark.sources.staging import stage_table
+from prefspark.sources.staging import stage_table, stages
 
 _KEYS = "instruction string, prompt string"
 
@@ -24,20 +25,26 @@ def pick_prompts(
     out_path: str,
     seed: int,
     n: int = PREFERENCE_SAMPLE_SIZE,
-) -> int:
-    """Write ``n`` pseudo-random prompts not in ``used_path``; returns how many.
+) -> dict[str, int]:
+    """Write ``n`` pseudo-random prompts not in ``used_path``.
 
-    Lines are written back as they were read, with all their fields. A used-prompt
-    file that does not exist counts as empty.
+    Returns the number of distinct ``used`` keys, of ``unused`` rows and of rows ``written``. Lines
+    are written back as they were read, with all their fields. A used-prompt file that
+    does not exist counts as empty.
     """
     prompts = read_jsonl(spark, prompts_path, _KEYS, on_error="fail", raw="_line")
     used = read_jsonl(spark, used_path, _KEYS, on_error="fail", missing_ok=True)
-    picked = sample_n(unseen(prompts, used).select("_line"), n, seed)
-    write_lines(picked, out_path, column="_line")
-    written = spark.read.text(out_path).count()
-    if written < n:
-        warnings.warn(f"asked for {n} prompts, only {written} are unused", stacklevel=2)
-    return written
+    with stages(spark) as stage:
+        unused = stage(unseen(prompts, used).select("_line"))
+        write_lines(sample_n(unused, n, seed), out_path, column="_line")
+        counts = {
+            "used": distinct_keys(used, instruction_key(used), "used_keys").first()[0],
+            "unused": unused.count(),
+            "written": spark.read.text(out_path).count(),
+        }
+    if counts["written"] < n:
+        warnings.warn(f"asked for {n} prompts, only {counts['written']} are unused", stacklevel=2)
+    return counts
 
 
 def write_candidates(spark: SparkSession, prompts_path: str, out_path: str, factory, **options) -> None:
@@ -68,9 +75,10 @@ def write_pairs(spark: SparkSession, in_path: str, out_path: str, form: str = "s
         pairs = pairs_passthrough(read_jsonl(spark, in_path, schema, on_error="fail"))
     else:
         raise ValueError(f"form must be scores or pairs, not {form!r}")
-    pairs = stage_table(pairs)
-    write_jsonl(pairs, out_path)
-    return pairs.count()
+    with stages(spark) as stage:
+        pairs = stage(pairs)
+        write_jsonl(pairs, out_path)
+        return pairs.count()
 
 
 def preference_pairs(

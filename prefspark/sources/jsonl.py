@@ -57,7 +57,7 @@ def _envelope(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column
     row = F.get(r["row"], F.lit(0))
     whole = r["_malformed"].isNull() & F.coalesce(r["end"], F.lit(False))
     one_object = whole & (F.size(r["row"]) == 1) & row.isNotNull() & no_extra
-    return bind(lines.select("value"), record, "_record"), one_object, row
+    return bind(lines, record, "_record"), one_object, row
 
 
 def parse_lines(
@@ -66,6 +66,7 @@ def parse_lines(
     on_error: str = "skip",
     required: Sequence[str] = (),
     raw: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Parse the ``value`` column of ``lines`` into the columns of ``schema``.
 
@@ -78,6 +79,8 @@ def parse_lines(
     raw
         name of a column to carry the unparsed line in, for writing rows back
         with fields the schema does not know
+    keep
+        columns of ``lines`` to carry along
 
     A line that is valid JSON but no object counts as malformed. So does one whose
     field does not fit its declared type. Null and missing fields read alike.
@@ -90,12 +93,12 @@ def parse_lines(
     value = F.col("value")
     if on_error == "fail":
         lines = lines.filter(~is_blank(value))
-    rows, parsed, row = _envelope(lines, schema)
+    rows, parsed, row = _envelope(lines.select("value", *keep), schema)
 
     out = []
     if on_error == "keep":
-        rows = rows.select("value", F.when(parsed, row).alias("_row"))
-        row = F.col("_row")
+        rows = rows.select("value", *keep, F.when(parsed, row).alias("_parsed"))
+        row = F.col("_parsed")
         out.append(row.isNull().alias("malformed"))
     elif on_error == "skip":
         rows = rows.filter(parsed)
@@ -106,22 +109,47 @@ def parse_lines(
         rows = rows.filter(check.otherwise(F.lit(True)))
     if raw:
         out.append(value.alias(raw))
-    return rows.select(*[row[f.name].alias(f.name) for f in schema.fields], *out)
+    return rows.select(*[row[f.name].alias(f.name) for f in schema.fields], *out, *keep)
 
 
 def _stop(what: str, line: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"{what}: "), F.substring(line, 1, 200))).cast("boolean")
 
 
+# Where a line stands: file, first byte of the part of the file that was read, row behind it.
+FILE_ORDER = ("_file", "_block", "_row")
+
+
 def _text(spark: SparkSession, path: str | Sequence[str], missing_ok: bool) -> DataFrame:
-    paths = path if isinstance(path, str) else list(path)
-    try:
+    paths = [path] if isinstance(path, str) else list(path)
+    if not missing_ok:
         return spark.read.text(paths)
-    except AnalysisException as e:
-        if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        warnings.warn(f"{path} not found, read as empty", stacklevel=3)
-        return spark.createDataFrame([], "value string")
+    there, absent = [], []
+    for p in paths:  # one by one: an absent path must not take the others with it
+        try:
+            there.append(spark.read.text(p))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            absent.append(p)
+    if absent:
+        warnings.warn(f"{', '.join(absent)} not found, read as empty", stacklevel=3)
+    return reduce(DataFrame.unionByName, there) if there else spark.createDataFrame([], "value string")
+
+
+def read_ordered(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines in ``value`` with their place in the ``FILE_ORDER`` columns.
+
+    Rows are numbered as they are read. A file's parts are told apart by their first byte,
+    so the numbers order the lines of a part however the parts are dealt out.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    return lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
 
 
 def read_jsonl(
@@ -135,7 +163,7 @@ def read_jsonl(
 ) -> DataFrame:
     """Read JSON Lines files; see :func:`parse_lines` for the error policies.
 
-    ``missing_ok`` reads a path that does not exist as an empty table.
+    ``missing_ok`` reads each path that does not exist as an empty table and names it in a warning.
     """
     return parse_lines(_text(spark, path, missing_ok), schema, on_error, required, raw)
 

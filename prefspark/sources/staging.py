@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,20 @@ def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_dir(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A :func:`stage_table` whose tables are removed at the end of the block."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        paths.append(scratch_dir(spark))
+        return stage_table(df, paths[-1])
+
+    try:
+        yield stage
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,9 +5,11 @@ import pytest
 from pyspark.errors import PySparkException
 
 from prefspark.sources import (
+    FILE_ORDER,
     parse_lines,
     read_jsonl,
     read_lines,
+    read_ordered,
     register_datasets,
     scratch_dir,
     stage_table,
@@ -113,6 +115,26 @@ def test_missing_path(spark, tmp_path):
     with pytest.warns(UserWarning, match="read as empty"):
         df = read_jsonl(spark, path, "instruction string", "fail", raw="line", missing_ok=True)
     assert df.columns == ["instruction", "line"] and df.count() == 0
+    there = tmp_path / "there.jsonl"
+    there.write_text('{"instruction": "a"}\n')
+    with pytest.warns(UserWarning, match="none.jsonl not found"):
+        df = read_jsonl(spark, [path, str(there)], "instruction string", missing_ok=True)
+    assert [r.instruction for r in df.collect()] == ["a"]
+    assert read_jsonl(spark, [str(there)], "instruction string", missing_ok=True).count() == 1
+
+
+def test_file_order(spark, tmp_path):
+    for name, count in (("b", 3000), ("a", 40)):
+        (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"instruction": "{name}{count - i}"}}\n' for i in range(count)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        lines = read_ordered(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 4
+        rows = parse_lines(lines, "instruction string", "fail", keep=FILE_ORDER)
+        got = [r.instruction for r in rows.orderBy(*FILE_ORDER).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [f"a{40 - i}" for i in range(40)] + [f"b{3000 - i}" for i in range(3000)]
 
 
 def test_round_trip_keeps_nulls_and_unescaped_text(spark, tmp_path):

@@ -39,34 +39,34 @@ def test_nothing_used(spark):
         assert [r[0] for r in unseen(prompts, used, max_broadcast_keys=limit).collect()] == ["a"]
 
 
-def test_frequent_keys_are_not_shuffled(spark, plan):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_frequent_key_in_the_shuffled_join(spark, plan):
+    # Two keys make up two thirds of the prompts; one of them is used.
+    prompts = spark.range(0, 60000, numPartitions=4).selectExpr(
+        "case id % 3 when 0 then 'hot used' when 1 then 'hot new' else concat('k', id) end as instruction",
+        "sha2(string(id), 256) as more",
+    )
+    used = spark.range(0, 60000, 4).selectExpr("concat('k', id) as instruction").union(
+        spark.createDataFrame([("hot used",)], "instruction string")
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        # Two keys make up two thirds of the prompts; one of them is used.
-        prompts = spark.range(0, 60000, numPartitions=4).selectExpr(
-            "case id % 3 when 0 then 'hot used' when 1 then 'hot new' else concat('k', id) end as instruction", "id"
-        )
-        used = spark.range(0, 60000, 4).selectExpr("concat('k', id) as instruction").union(
-            spark.createDataFrame([("hot used",)], "instruction string")
-        )
-        hot = leakage.hot_keys(prompts.withColumn("t", F.col("instruction")), "t", 10)
-        wanted = prompts.filter("instruction like 'hot%'").select(F.xxhash64("instruction")).distinct().collect()
-        assert {r[0] for r in wanted} <= set(hot) and len(hot) <= 10
         got = unseen(prompts, used, max_broadcast_keys=10)
-        text = plan(got)
-        assert "SortMergeJoin" in text and "BroadcastHashJoin" in text and "Union" in text
         rows = got.groupBy((F.col("instruction") == "hot new").alias("h")).count().collect()
         cold = sum(1 for i in range(60000) if i % 3 == 2 and i % 4)
         assert {r.h: r["count"] for r in rows} == {True: 20000, False: cold}
         assert got.count() == 20000 + cold
+        got.collect()
+        text = plan(got)
+        assert "SortMergeJoin(skew=true)" in text and "BroadcastHashJoin" not in text
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_even_keys_are_not_called_frequent(spark):
-    df = spark.range(0, 50000, numPartitions=4).selectExpr("concat('k', id) as t")
-    assert leakage.hot_keys(df, "t", 10) == []
-    assert leakage.hot_keys(df.limit(0), "t", 10) == []
+        for k in settings:
+            spark.conf.unset(k)
 
 
 def test_distinct_keys(spark):

@@ -5,6 +5,7 @@ import pytest
 from pyspark import cloudpickle
 
 from prefspark import plans
+from prefspark.sources.jsonl import FILE_ORDER, read_ordered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -47,11 +48,22 @@ def test_corpus_to_answers(spark, tmp_path):
 
     plans.answer_seeds(spark, sample, out, echo, max_samples=4)
     got = read(spark, out)
-    assert sorted(r["instruction"] for r in got) == sorted(r["instruction"] for r in seeds)[:4]
+    ordered = [json.loads(r.value)["instruction"] for r in read_ordered(spark, sample).orderBy(*FILE_ORDER).collect()]
+    assert sorted(r["instruction"] for r in got) == sorted(ordered[:4]) and len(seeds) == 10
+    plans.answer_seeds(spark, sample, out, echo, max_samples=4, order_by="instruction")
+    assert {r["instruction"] for r in read(spark, out)} == set(sorted(ordered)[:4])
+    plans.answer_seeds(spark, sample, out, echo, max_samples=4)
+    got = read(spark, out)
     assert all(list(r) == ["instruction", "output"] and r["output"] == r["output"].strip() for r in got)
 
-    plans.answer_seeds_remotely(spark, sample, out, lambda s: lambda p: "x" if "1" in p[-60:] else 1 / 0)
-    assert {r["output"] for r in read(spark, out)} == {"x"}
+    failures = str(tmp_path / "failures")
+    with pytest.warns(UserWarning, match="requests failed"):
+        counts = plans.answer_seeds_remotely(
+            spark, sample, out, lambda s: lambda p: "x" if "1" in p[-60:] else 1 / 0, failures_path=failures
+        )
+    assert {r["output"] for r in read(spark, out)} == {"x"} and len(read(spark, out)) == counts["written"]
+    assert {r["error"] for r in read(spark, failures)} == {"ZeroDivisionError: division by zero"}
+    assert len(read(spark, failures)) == counts["failed"] == 10 - counts["written"]
     plans.answer_all(spark, sample, out, echo)
     assert len(read(spark, out)) == 10 and all(r["output"].startswith(" 0 ") for r in read(spark, out))
     with pytest.raises(Exception, match="'instruction' missing"):
@@ -64,12 +76,13 @@ def test_prompts_to_pairs(spark, tmp_path):
     used = write(tmp_path / "used.jsonl", [{"prompt": f"q{i} ", "output": "o"} for i in range(5)])
     picked, cands, scored, pairs = (str(tmp_path / n) for n in ("picked", "cands", "scored", "pairs"))
 
-    assert plans.pick_prompts(spark, prompts, used, picked, n=17, seed=1) == 17
+    assert plans.pick_prompts(spark, prompts, used, picked, n=17, seed=1) == {"used": 5, "unused": 17, "written": 17}
     rows = read(spark, picked)
     # Lines come back with their unknown fields; the line that occurs twice is there twice.
     assert sum(r.get("meta") == {"n": 5} for r in rows) == 2 and {"prompt": "q20"} in rows
     with pytest.warns(UserWarning):
-        assert plans.pick_prompts(spark, prompts, str(tmp_path / "none"), str(tmp_path / "p2"), n=50, seed=1) == 22
+        counts = plans.pick_prompts(spark, prompts, str(tmp_path / "none"), str(tmp_path / "p2"), n=50, seed=1)
+    assert counts == {"used": 0, "unused": 22, "written": 22}
 
     plans.write_candidates(spark, picked, cands, echo)
     rows = read(spark, cands)

@@ -26,6 +26,26 @@ def test_judge_prompt_does_not_fill_slots_inside_user_text(spark):
     assert got == "S\n\nQ {output} A {instruction} {x} {output}\n\nScore:"
 
 
+@pytest.mark.parametrize(
+    "template",
+    ["{output}", "{{{instruction}}} {output}", '{{"q": "{instruction}", "a": {{"{output}": [{{}}]}}}}', "{output}}}{{{output}"],
+)
+def test_judge_template_is_filled_as_format_does(spark, template):
+    got = one(spark, render_judge_prompt(F.col("i"), F.col("o"), template, "S"), i="in {x}", o="{{out}}")
+    assert got == "S\n\n" + template.format(instruction="in {x}", output="{{out}}") + "\n\nScore:"
+
+
+@pytest.mark.parametrize("template", ["{answer}{output}", "{instruction}", "{output!r}", "{output:>9}", "{}{output}", "{output"])
+def test_judge_template_with_another_slot_is_refused(template):
+    with pytest.raises(ValueError):
+        render_judge_prompt(F.lit("i"), F.lit("o"), template, "S")
+
+
+def test_judge_prompt_without_instruction(spark):
+    expr = render_judge_prompt(F.lit(None).cast("string"), F.col("o"), "{instruction}|{output}", "S")
+    assert one(spark, expr, i="", o="a") == "S\n\n|a\n\nScore:"
+
+
 @pytest.mark.parametrize("limit,n", [(8000, 8000), (None, 9000)])
 def test_judge_prompt_truncates_by_code_points(spark, limit, n):
     expr = render_judge_prompt(F.col("i"), F.col("o"), "{instruction}{output}", "", limit)
