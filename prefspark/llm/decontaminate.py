@@ -39,6 +39,11 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
+def text_hash(text: Column) -> Column:
+    """With the id, what tells documents apart; equal ones get equal verdicts."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def _small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
@@ -72,13 +77,14 @@ def _anchors(items: DataFrame, tokens: DataFrame, window: int) -> DataFrame:
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(per document, matches).
 
-    The first has ``row``, ``doc_id`` and ``n_words``. The second has a line per document ``row``
+    The first has ``row``, ``doc_id``, ``text_hash`` (:func:`text_hash`) and ``n_words``. The second has a line per document ``row``
     and item: ``item_id``, ``hits`` (sorted positions of hit words; empty for a mere proximity match).
     """
     tokens = stage_table(
         docs.select(
             F.monotonically_increasing_id().alias("row"),
             F.col("doc_id").cast("long").alias("doc_id"),
+            text_hash(F.col("text")).alias("text_hash"),
             word_hashes(F.col("text").cast("string")).alias("tokens"),
         )
     )
@@ -86,7 +92,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     items = stage_table(
         items.filter(F.size("terms") > 0).distinct().select(F.monotonically_increasing_id().alias("item"), "item_id", "terms")
     )
-    per_document = tokens.select("row", "doc_id", F.size("tokens").cast("long").alias("n_words"))
+    per_document = tokens.select("row", "doc_id", "text_hash", F.size("tokens").cast("long").alias("n_words"))
 
     anchors = stage_table(_anchors(items, tokens, window))
     listed = _small(anchors.select("term").distinct(), BROADCAST_TERMS)
@@ -129,7 +135,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_hit``, ``items`` (sorted ids with phrases) and ``n_near_items``."""
+    """``doc_id``, ``n_words``, ``n_hit``, ``items`` (sorted ids with phrases), ``n_near_items``, ``text_hash``."""
     per_document, matches = find_overlaps(docs, benchmark, window)
     matches = stage_table(matches)
     words = matches.select("row", F.explode("hits").alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
@@ -151,5 +157,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.coalesce("n_near_items", F.lit(0)).alias("n_near_items"),
+            "text_hash",
         )
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents without any phrase of the benchmark, with all their columns."""
+    found = decontaminate(docs, benchmark, window).filter("n_hit > 0")
+    gone = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash(F.col("text")) == F.col("_hash"))
+    return docs.join(gone, same, "left_anti")

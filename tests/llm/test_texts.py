@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-xxhash = pytest.importorskip("xxhash")
+pytest.importorskip("xxhash")
 
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -20,7 +20,7 @@ from prefspark.llm.sharding import shard_documents  # noqa: E402
 from prefspark.llm.simhash import near_duplicates  # noqa: E402
 from prefspark.llm.substrings import drop_repeats  # noqa: E402
 
-SPACE = b" \t\n\x0b\f\r"
+from .brute import fingerprint, quality_counts, without_repeated_lines  # noqa: E402
 
 
 def same(got, want):
@@ -32,17 +32,11 @@ def same(got, want):
 
 @pytest.mark.parametrize("batches", [1, 4, 7])
 def test_line_dedup(docs, rows, batches):
-    key = lambda line: line.encode().strip(SPACE).lower().decode()
-    holders = defaultdict(set)
-    for i, text, _ in rows:
-        for line in (text or "").split("\n"):
-            if i is not None and len(key(line)) >= 40:
-                holders[key(line)].add(i)
+    kept = without_repeated_lines([(i, t) for i, t, _ in rows])
     want = []
-    for i, text, _ in rows:
-        lines = (text or "").split("\n")
-        kept = [x for x in lines if i is None or len(holders[key(x)]) < 5 or i == max(holders[key(x)])]
-        want.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    for (i, text, _), (_, left) in zip(rows, kept):
+        n, m = (text or "").count("\n") + 1, left.count("\n") + 1
+        want.append((i, n, n - m, left))
     assert any(w[2] for w in want)
     found = drop_repeated_lines(docs, batches=batches)
     same(found.select("doc.doc_id", "n_lines", "n_dropped", "kept_text").collect(), want)
@@ -78,17 +72,8 @@ def test_substring_dedup(docs, rows, window):
 # --- SimHash ----------------------------------------------------------------------
 
 
-def slow_fingerprint(text):
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    shingles = [b" ".join(words[s : s + 3]) for s in range(max(1, len(words) - 2))]
-    hashes = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
 def test_near_duplicates(docs, rows):
-    prints = [(i, slow_fingerprint(t)) for i, t, _ in rows]
+    prints = [(i, fingerprint(t)) for i, t, _ in rows]
     ids = sorted({i for i, _ in prints if i is not None})
     root = {i: i for i in ids}
 
@@ -155,21 +140,10 @@ def test_components_of_long_paths(spark):
 # --- quality ----------------------------------------------------------------------
 
 
-def slow_counts(text):
-    text = text or ""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text)
-    grams = Counter(zip(words, words[1:], words[2:]))
-    covered = {k for s, g in enumerate(zip(words, words[1:], words[2:])) if grams[g] > 1 for k in range(s, s + 3)}
-    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-    n = len(words)
-    failed = n < 50 or 100 * len(covered) > 50 * n
-    return n, sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed
-
-
 def test_quality_counts(spark, docs, rows):
     no_labels = spark.createDataFrame([], "doc_id long, quality int")
     got = quality.judge_quality(docs, no_labels).collect()
-    want = [(i, *slow_counts(t)) for i, t, _ in rows]
+    want = [(i, *quality_counts(t)) for i, t, _ in rows]
     same([r[:7] for r in got], want)
     assert all(r.kept != r.base_failed for r in got)
 
