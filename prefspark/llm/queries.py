@@ -104,7 +104,6 @@ def op8_decontamination(spark, sf_dir):
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "n_near_items",
     )
 
 
@@ -150,6 +149,37 @@ def _sql_ascii_lower(x: str) -> str:
     return f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+_SQL_WORDS = (
+    f"regexp_extract_all({_sql_ascii_lower("coalesce(text, '')")}, "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+def _sql_spans(kind: str, rank: int, pattern: str, group: int, keep: str) -> str:
+    """Spans of one kind: a match starts behind all pieces up to it and all matches before it."""
+    return f"""
+      SELECT rid, doc_id, source, '{kind}' AS kind, {rank} AS rank, v,
+             sum(length(piece)) OVER w + sum(length(m)) OVER w - length(m) AS a,
+             sum(length(piece)) OVER w + sum(length(m)) OVER w AS b
+      FROM (
+        SELECT rid, doc_id, source, unnest(range(len(ms))) AS i, unnest(ms) AS m, unnest(vs) AS v,
+               unnest(pieces[1:len(ms)]) AS piece
+        FROM (SELECT rid, doc_id, source, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {group}) AS vs,
+                     string_split_regex(t, '{pattern}') AS pieces FROM texts))
+      WINDOW w AS (PARTITION BY rid ORDER BY i) QUALIFY {keep}
+    """
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" for c in word)
+
+
+_SQL_ASSIGN = (
+    f"({'|'.join(map(_any_case, ('password', 'passwd', 'secret', 'token')))}|{_any_case('api')}_?{_any_case('key')})"
+    "[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": f"""
@@ -170,4 +200,79 @@ def oracle_sql() -> dict[str, str]:
                  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
           FROM marked GROUP BY rid
         """,
+        "op4_secret_scan": f"""
+          WITH texts AS (
+            SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+          ), base AS (
+            {_sql_spans("assign", 0, _SQL_ASSIGN, 2, "length(v) >= 6")}
+            UNION ALL {_sql_spans("access", 1, "AKIA[A-Z0-9]+", 0, "length(v) >= 20")}
+            UNION ALL {_sql_spans("hex", 2, "[0-9a-f]+", 0, "length(v) >= 24")}
+          ), wide AS (
+            SELECT * FROM ({_sql_spans("live", 3, "[A-Za-z0-9+/_=-]{16,}", 0, "true")})
+            WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
+          ), ownership AS (
+            SELECT v, count(DISTINCT (doc_id, coalesce(source, ''))) <= 3 AND count(DISTINCT coalesce(source, '')) <= 1 AS live
+            FROM wide GROUP BY v
+          ), judged AS (
+            SELECT wide.*, live FROM wide JOIN ownership USING (v)
+          ), every AS (
+            SELECT rid, kind, rank, a, b FROM base UNION ALL SELECT rid, kind, rank, a, b FROM judged WHERE live
+          ), per_text AS (
+            SELECT rid, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+                   count(*) FILTER (WHERE kind = 'hex') AS n_hex, count(*) FILTER (WHERE kind = 'live') AS n_live,
+                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (WHERE kind <> 'live') AS base,
+                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans
+            FROM every GROUP BY rid
+          )
+          SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+                 sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+                 coalesce(n_examples, 0) AS n_examples
+          FROM texts LEFT JOIN per_text USING (rid)
+          LEFT JOIN (SELECT rid, count(*) AS n_examples FROM judged WHERE NOT live GROUP BY rid) USING (rid)
+        """,
+        "op7_substring_dedup": f"""
+          WITH texts AS (
+            SELECT row_number() OVER () AS rid, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+          ), windows AS (
+            SELECT rid, doc_id, s, array_to_string(ws[s:s + 49], ' ') AS w FROM (
+              SELECT *, unnest(range(1, len(ws) - 48)) AS s FROM texts WHERE len(ws) >= 50)
+          ), hit AS (
+            SELECT DISTINCT rid, unnest(range(s, s + 50)) AS pos FROM windows
+            JOIN (SELECT w, min(doc_id) AS first FROM windows GROUP BY w) USING (w) WHERE first < doc_id
+          ), kept AS (
+            SELECT rid, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM (
+              SELECT rid, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM texts)
+            ANTI JOIN hit USING (rid, pos) GROUP BY rid
+          )
+          SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+                 sha256(coalesce(t, '')) AS kept_sha256
+          FROM texts LEFT JOIN kept USING (rid)
+        """,
+        "op8_decontamination": f"""
+          WITH texts AS (
+            SELECT row_number() OVER () AS rid, doc_id, {_SQL_WORDS} AS ws FROM documents
+          ), items AS (
+            SELECT item_id, ws, least(10, len(ws)) AS size FROM (SELECT item_id, {_SQL_WORDS} AS ws FROM benchmark)
+            WHERE len(ws) > 0
+          ), phrases AS (
+            SELECT DISTINCT item_id, size, array_to_string(ws[s:s + size - 1], ' ') AS w FROM (
+              SELECT *, unnest(range(1, len(ws) - size + 2)) AS s FROM items)
+          ), windows AS (
+            SELECT rid, s, size, array_to_string(ws[s:s + size - 1], ' ') AS w FROM (
+              SELECT rid, ws, size, unnest(range(1, len(ws) - size + 2)) AS s
+              FROM texts, (SELECT DISTINCT size FROM items) WHERE len(ws) >= size)
+          ), hits AS (
+            SELECT rid, s, size, item_id FROM windows JOIN phrases USING (size, w)
+          ), positions AS (
+            SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(s, s + size)) AS pos FROM hits) GROUP BY rid
+          ), found AS (
+            SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY rid
+          )
+          SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+                 coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+                 coalesce(n_hit, 0) > 0 AS contaminated
+          FROM texts LEFT JOIN positions USING (rid) LEFT JOIN found USING (rid)
+        """,
     }

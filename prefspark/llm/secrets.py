@@ -19,6 +19,8 @@ Results
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +35,16 @@ KINDS = (
 # Matches that are too short are dropped, so patterns that allow none give the same spans and
 # far fewer pieces. For assignments a short match may cover the start of another, so it stays.
 _SCANS = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
-# Candidates: runs of 16 or more token characters with a digit and letters of both cases.
-WIDE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,200}[0-9])(?=[A-Z0-9+/_=-]{0,200}[a-z])(?=[a-z0-9+/_=-]{0,200}[A-Z])[A-Za-z0-9+/_=-]{16,}"
+# Candidates: runs of 16 or more token characters, with a digit and letters of both cases.
+WIDE = r"[A-Za-z0-9+/_=-]{16,}"
 MAX_REPOSITORIES = 3
 MAX_OWNERS = 1
 
 _SPANS = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
-def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
-    """Spans of the matches, from the matches and the pieces between them."""
+def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, keep: Callable[[Column], Column]) -> Column:
+    """Spans of the matches whose measured group is to be kept, from the pieces between matches."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     pieces = F.split(text, pattern, -1)
@@ -58,7 +60,7 @@ def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least:
         lambda acc, x: F.struct(
             (acc["at"] + x["gap"] + x["long"]).alias("at"),
             F.when(
-                F.char_length(x["value"]) >= least,
+                keep(x["value"]),
                 F.concat(
                     acc["found"],
                     F.array(
@@ -80,6 +82,10 @@ def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, least:
     return F.when(F.regexp_like(text, F.lit(pattern)), placed).otherwise(F.array().cast(_SPANS))
 
 
+def _mixed(value: Column) -> Column:
+    return value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")
+
+
 def secret_spans(
     docs: DataFrame,
     repository: str = "doc_id",
@@ -94,7 +100,7 @@ def secret_spans(
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = [
-        _spans(F.col("t"), kind, rank, _SCANS.get(kind, pattern), group, least)
+        _spans(F.col("t"), kind, rank, _SCANS.get(kind, pattern), group, lambda v, least=least: F.char_length(v) >= least)
         for rank, (kind, pattern, group, least) in enumerate(KINDS)
     ]
     found = (
@@ -109,7 +115,7 @@ def secret_spans(
             "repository",
             "owner",
             F.array_sort(F.concat(*base)).alias("base"),
-            _spans(F.col("t"), "live", len(KINDS), WIDE, 0, 1).alias("wide"),
+            _spans(F.col("t"), "live", len(KINDS), WIDE, 0, _mixed).alias("wide"),
             F.monotonically_increasing_id().alias("row"),
         )
     )
