@@ -37,7 +37,8 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _PROBES = "part int, block long, runs binary, gaps binary, hashes binary, ids array<long>, tags array<int>"
 _HITS = "block long, runs binary, gaps binary, ids array<long>, tags array<int>"
 _WINDOWS = "part int, ids binary, tags binary, counts binary, gaps binary, hashes binary"
-_TAKEN = "doc_id long, tag int, starts binary"
+_TAKEN = "bucket int, ids binary, tags binary, counts binary, gaps binary"
+_BY_DOC = "doc_id long, taken array<struct<tag:int,starts:binary>>"
 
 
 # --- hashes ----------------------------------------------------------------------
@@ -73,7 +74,13 @@ def rolling(words, length: int, base: int):
     powers = np.cumprod(np.full(n, base, np.uint64))
     inverse = np.cumprod(np.full(n, pow(base, -1, 1 << 64), np.uint64))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers)])
-    mixed = (sums[length:] - sums[:-length]) * inverse[: n - length + 1]
+    return _mix((sums[length:] - sums[:-length]) * inverse[: n - length + 1])
+
+
+def _mix(mixed):
+    """Spread each 64-bit number over all its bits."""
+    import numpy as np
+
     mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
     mixed = (mixed ^ mixed >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
     return mixed ^ mixed >> np.uint64(31)
@@ -314,7 +321,8 @@ def _extend(window: int, n_parts: int):
     return run
 
 
-def _take():
+def _take(n_parts: int):
+    """Starts of windows that a smaller document starts, packed by part and bucket of ids."""
     schema = arrow_schema(_TAKEN)
 
     def run(batches):
@@ -334,10 +342,36 @@ def _take():
             found = np.flatnonzero(smallest[code] < ids[which])
             if not len(found):
                 continue
-            cuts = np.flatnonzero(np.append(True, which[found][1:] != which[found][:-1]))
-            runs = which[found][cuts]
-            starts = np.split(place[found].astype("<u4"), cuts[1:])
-            yield _batch(list(zip(ids[runs].tolist(), tags[runs].tolist(), [s.tobytes() for s in starts])), schema)
+            out = []
+            buckets = _mix(ids.view(np.uint64)) % np.uint64(n_parts)
+            for bucket, at in _by_part(buckets[which[found]].astype(np.int64), n_parts):
+                runs, counts, gaps = _pack(which[found][at], place[found][at])
+                out.append((bucket, ids[runs].tobytes(), tags[runs].tobytes(), counts.astype("<u4").tobytes(), gaps))
+            yield _batch(out, schema)
+
+    return run
+
+
+def _gather():
+    """Per document, the packed starts of all parts."""
+    schema = arrow_schema(_BY_DOC)
+
+    def run(batches):
+        import numpy as np
+
+        for _, rows in _groups(batches, 0):
+            counts = [np.frombuffer(r[3], "<u4").astype(np.int64) for r in rows]
+            place = np.concatenate([_places(c, r[4]) for c, r in zip(counts, rows)])
+            counts = np.concatenate(counts)
+            ids = np.repeat(np.concatenate([np.frombuffer(r[1], "<i8") for r in rows]), counts)
+            tags = np.repeat(np.concatenate([np.frombuffer(r[2], "<i4") for r in rows]), counts)
+            order = np.lexsort((place, tags, ids))
+            ids, tags, place = ids[order], tags[order], place[order].astype("<u4")
+            cuts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])))
+            found: dict[int, list] = {}
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ids)]):
+                found.setdefault(int(ids[a]), []).append({"tag": int(tags[a]), "starts": place[a:b].tobytes()})
+            yield _batch(list(found.items()), schema)
 
     return run
 
@@ -405,9 +439,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     taken = (
         windows.repartition("part")
         .sortWithinPartitions("part")
-        .mapInArrow(_take(), _TAKEN)
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("tag", "starts")).alias("taken"))
+        .mapInArrow(_take(n_parts), _TAKEN)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_gather(), _BY_DOC)
     )
     joined = placed.join(taken.hint("shuffle_hash"), "doc_id", "left").select("text", "tag", "taken", "doc")
     doc_type = joined.schema["doc"].dataType.simpleString()
