@@ -182,6 +182,53 @@ _SQL_ASSIGN = (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_url_filter": f"""
+          WITH cut AS (
+            SELECT row_number() OVER () AS rid, page_id, coalesce(url, '') AS url,
+                   CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+          ), parsed AS (
+            SELECT *, {_sql_ascii_lower("regexp_extract(rest, '^[^/?#]*')")} AS host,
+                   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut
+          ), tokenized AS (
+            SELECT *, CASE WHEN host = '' THEN [] ELSE list_distinct(
+                     list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'host=' || x)
+                  || list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: x <> ''), lambda x: 'path=' || x)
+                  || list_transform(list_filter(list_transform(
+                       string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: string_split(x, '=')[1]),
+                       lambda x: x <> ''), lambda x: 'key=' || x)) END AS tokens
+            FROM parsed
+          ), baskets AS (
+            SELECT tokens, bad FROM tokenized JOIN (
+              SELECT doc_id, bool_or(quality = 0) AS bad FROM labels
+              WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id) ON doc_id = page_id
+            WHERE len(tokens) > 0 OR bad
+          ), counted AS (
+            SELECT s, count(*) AS n, count(*) FILTER (WHERE bad) AS n_bad FROM (
+              SELECT bad, list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS s
+              FROM (SELECT *, unnest(range(1, CAST(1 AS BIGINT) << len(tokens))) AS mask FROM baskets)) GROUP BY s
+          ), whole AS (
+            SELECT count(*) AS n_all, count(*) FILTER (WHERE bad) AS n_all_bad FROM baskets
+          ), rules AS (
+            SELECT s FROM counted, whole
+            WHERE n_bad >= greatest(10, ceil(CAST(0.005 AS DOUBLE) * n_all))
+              AND CAST(n_bad AS DOUBLE) / n >= CAST(0.6 AS DOUBLE)
+              AND (CAST(n_bad AS DOUBLE) / n) / (CAST(n_all_bad AS DOUBLE) / n_all) >= CAST(1.5 AS DOUBLE)
+          ), fired AS (
+            SELECT rid, count(*) AS n_mined FROM tokenized, rules WHERE list_has_all(tokens, s) GROUP BY rid
+          ), ruled AS (
+            SELECT *, CASE
+              WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM tokenized
+          )
+          SELECT page_id, host, path, rule,
+                 CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+                      WHEN n_mined > 0 THEN 'block' ELSE 'allow' END AS verdict,
+                 coalesce(n_mined, 0) AS n_mined
+          FROM ruled LEFT JOIN fired USING (rid)
+        """,
         "op2_line_dedup": f"""
           WITH lines AS (
             SELECT rid, doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM (

@@ -114,7 +114,8 @@ def bucket_links(ids, fps, start: int):
     for r in range(0, n, BLOCK):
         for c in range(r, n, BLOCK):
             differ = chain[r : r + BLOCK, None] ^ chain[None, c : c + BLOCK]
-            near = np.bitwise_count(differ >> np.uint64(16)) <= 2  # the chain of three segments
+            near = np.bitwise_count(differ >> np.uint64(32)) <= 1  # the chain of two segments
+            near &= np.bitwise_count(differ >> np.uint64(16)) <= 2  # of three
             near &= np.bitwise_count(differ) <= MAX_BITS
             rows, columns = np.nonzero(np.triu(near, 1) if r == c else near)
             if not len(rows):

@@ -12,7 +12,7 @@ broadcast while there are at most ``BROADCAST_RULES`` of them, else joined by a
 
 Results
 - null URL, or one without ``://``: empty host and path, no rule, no token, allowed
-- no labelled page, or no bad one: no mined rule; null labels and ids are ignored
+- no labelled page, or fewer than ``min_count``, or no bad one: no mined rule; null labels and ids are ignored
 - repeated rows: one result row each; other columns are ignored
 """
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from prefspark.llm.common import ascii_lower, stage_table
 
 MIN_SUPPORT = 0.005
+# Labelled pages that must bear a rule out however few there are in all.
+MIN_COUNT = 10
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 1.5
 BROADCAST_RULES = 100_000
@@ -66,7 +68,7 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine_rules(
-    baskets: DataFrame, min_support: float, min_confidence: float, min_lift: float
+    baskets: DataFrame, min_support: float, min_count: int, min_confidence: float, min_lift: float
 ) -> DataFrame | None:
     """Rules that lead to a bad label: ``rule_id``, ``tokens``, ``confidence`` and the index ``key``.
 
@@ -80,7 +82,11 @@ def mine_rules(
     items = stage_table(items.filter(F.size("items") > 0))
     if not items.filter(F.array_contains("items", _BAD)).head(1):
         return None
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    # Half a page less, as the share is rounded up to a number of pages again.
+    support = max(min_support, (min_count - 0.5) / items.count())
+    if support > 1:
+        return None
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     bad = model.associationRules.filter(
         (F.col("consequent")[0] == _BAD) & (F.col("lift") >= min_lift) & (F.size("antecedent") > 0)
     )
@@ -97,6 +103,7 @@ def judge_urls(
     rules: Mapping[str, str],
     *,
     min_support: float = MIN_SUPPORT,
+    min_count: int = MIN_COUNT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
 ) -> DataFrame:
@@ -117,7 +124,7 @@ def judge_urls(
     parsed = stage_table(parsed)
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("page_id"))
     known = known.agg(F.bool_or(F.col("quality") == 0).alias("bad"))
-    mined = mine_rules(parsed.join(known, "page_id").select("tokens", "bad"), min_support, min_confidence, min_lift)
+    mined = mine_rules(parsed.join(known, "page_id").select("tokens", "bad"), min_support, min_count, min_confidence, min_lift)
     rule = fitting_rule(F.col("host"), F.col("path"), rules).alias("rule")
     if mined is None:
         judged = parsed.select("page_id", "host", "path", rule, F.lit(0).cast("long").alias("n_mined"))

@@ -88,7 +88,7 @@ def test_mined_rules(spark):
     labelled = [(i, 0 if bad(u) != (i % 29 == 0) else 1) for i, u in pages if i % 3] + [(None, 0), (5, None)]
     labels = spark.createDataFrame(labelled, "doc_id long, quality int")
     got = judge_urls(
-        spark.createDataFrame(pages, "page_id long, url string"), labels, RULES, min_support=0.03, min_confidence=0.7, min_lift=1.5
+        spark.createDataFrame(pages, "page_id long, url string"), labels, RULES, min_support=0.03, min_count=3, min_confidence=0.7, min_lift=1.5
     ).collect()
     url_of = dict(pages)
     baskets = [(slow_tokens(url_of[i]), q == 0) for i, q in labelled if i is not None and q is not None]
