@@ -1,15 +1,16 @@
 """Token counts without token ids: pieces per distinct pre-token, joined to frequencies.
 
 1. Each block of documents (one Arrow batch) is turned into posting lists: for every
-   distinct pre-token of the block, the documents that hold it and how often.
-2. Posting lists are shuffled by pre-token and sorted, so a pre-token of the whole corpus is
-   met in one place and its pieces are counted once. Its count is joined to
-   the posting lists there, and each task adds up the tokens per document of a block.
+   distinct pre-token of the block, the documents that hold it and how often. The lists of
+   a block that fall into the same bucket of pre-token hashes travel as one packed row.
+2. Rows are shuffled and sorted by bucket, so a pre-token of the whole corpus is met in one
+   place and its pieces are counted once. Its count is joined to the posting lists
+   there, and each task adds up the tokens per document of a block.
 3. These partial sums meet per block, beside the block's document ids, and are added.
 
-A pre-token that every document holds has one posting list per block, so frequent
-words put no more rows than blocks into one task. No step holds more than a block or the
-bounded sums of ``SUMS_AT_ONCE`` documents.
+A pre-token that every document holds has one posting list per block, so frequent words
+put no more rows than blocks into one task. No step holds more than a block, the pre-tokens of
+one of ``8 * spark.sql.shuffle.partitions`` buckets, or the sums of ``SUMS_AT_ONCE`` documents.
 
 Results
 - null and empty texts: 0 bytes, 0 tokens; null ``doc_id`` is kept as null
@@ -22,9 +23,8 @@ from __future__ import annotations
 from itertools import count
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from prefspark.llm.common import arrow_schema, id_and_text, ship_by_value
+from prefspark.llm.common import arrow_schema, id_and_text, ship_by_value, text_bytes
 from prefspark.llm.pretokens import Chunker
 
 ship_by_value(__name__)
@@ -34,7 +34,10 @@ BLOCK_DOCS = 65_536
 # Documents whose sums a task holds before it hands them on.
 SUMS_AT_ONCE = 4_000_000
 
-_POSTINGS = "term string, block long, size int, places binary, counts binary, ids array<long>, bytes array<long>"
+_POSTINGS = (
+    "bucket int, block long, size int, terms binary, term_sizes binary, list_sizes binary, places binary,"
+    " counts binary, ids array<long>, bytes array<long>"
+)
 _SUMS = "block long, places binary, sums binary, ids array<long>, bytes array<long>"
 
 
@@ -47,10 +50,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str) -> DataFram
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    postings = id_and_text(docs).mapInArrow(_index_blocks(shared, pattern), _POSTINGS)
-    # Rows that carry a block's ids have no term and are dealt out by block.
-    met = postings.repartition(F.coalesce("term", F.concat(F.lit("\n"), F.col("block").cast("string"))))
-    sums = met.sortWithinPartitions("term").mapInArrow(_add_pieces(shared), _SUMS)
+    n_buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = id_and_text(docs).mapInArrow(_index_blocks(shared, pattern, n_buckets), _POSTINGS)
+    met = postings.repartition("bucket").sortWithinPartitions("bucket")
+    sums = met.mapInArrow(_add_pieces(shared), _SUMS)
     return sums.groupBy("block").applyInArrow(_add_block, "doc_id long, n_bytes long, n_tokens long")
 
 
@@ -63,13 +66,19 @@ def _load(shared):
     return Tokenizer.from_str(shared.value)
 
 
-def _index_blocks(shared, pattern: str):
+def _rows(rows: list[tuple], schema):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def _index_blocks(shared, pattern: str, n_buckets: int):
     schema = arrow_schema(_POSTINGS)
 
     def run(batches):
         import numpy as np
-        import pyarrow as pa
         import regex
+        import xxhash
         from pyspark import TaskContext
 
         chunker = Chunker(pattern)
@@ -79,17 +88,17 @@ def _index_blocks(shared, pattern: str):
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_DOCS):
                 batch = whole.slice(at, BLOCK_DOCS)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
                 code_of: dict[str, int] = {}
                 chunk_codes: dict[str, list[int]] = {}
-                codes, owners, n_bytes = [], [], []
+                codes, n_bytes = [], []
 
                 def codes_of(chunk, words):
                     found = chunk_codes[chunk] = [code_of.setdefault(w, len(code_of)) for w in words]
                     return found
 
-                for place, text in enumerate(texts):
-                    n_bytes.append(len(text.encode()))
+                for text in text_bytes(batch.column(1)):
+                    n_bytes.append(len(text))
+                    text = text.decode()
                     own: list[int] = []
                     parts = cut(text) if cut and any(s in text for s in special) else (text,)
                     for i, part in enumerate(parts):
@@ -98,24 +107,21 @@ def _index_blocks(shared, pattern: str):
                             continue
                         for chunk in chunker.chunks(part):
                             own += chunk_codes.get(chunk) or codes_of(chunk, chunker.pre_tokens(chunk))
-                    codes.append(np.array(own, np.int64))
-                    owners.append(np.full(len(own), place, np.int64))
-                block = next(numbers)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None], pa.string()),
-                        pa.array([block]),
-                        pa.array([len(texts)], pa.int32()),
-                        pa.array([None], pa.binary()),
-                        pa.array([None], pa.binary()),
-                        pa.array([batch.column(0).to_pylist()], schema.field("ids").type),
-                        pa.array([n_bytes], schema.field("bytes").type),
-                    ],
-                    schema=schema,
-                )
+                    codes.append(np.array(own, np.int32))
+                chunk_codes.clear()
+                block, size = next(numbers), len(n_bytes)
+                yield _rows([(block % n_buckets, block, size, *[None] * 5, batch.column(0).to_pylist(), n_bytes)], schema)
                 if not code_of:
                     continue
-                pair = np.concatenate(codes) << 16 | np.concatenate(owners)
+                # Number the pre-tokens anew, by bucket, so that each bucket's lists lie together.
+                words = [w.encode() for w in code_of]
+                bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % n_buckets for w in words), np.int64, len(words))
+                order = np.argsort(bucket, kind="stable")
+                new_code = np.empty(len(order), np.int64)
+                new_code[order] = np.arange(len(order))
+                lengths = np.fromiter(map(len, codes), np.int64, size)
+                pair = new_code[np.concatenate(codes)] << 16 | np.repeat(np.arange(size), lengths)
+                codes.clear()
                 pair.sort()
                 starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
                 times = np.diff(np.append(starts, len(pair)))
@@ -123,28 +129,31 @@ def _index_blocks(shared, pattern: str):
                 # A count has 8 bits; more occurrences take further postings.
                 spread = -(-times // 255)
                 pair, last = np.repeat(pair, spread), np.cumsum(spread) - 1
-                part = np.full(len(pair), 255, np.int64)
-                part[last] = times - 255 * (spread - 1)
-                places = (pair & 0xFFFF).astype("<u2").tobytes()
-                parts = part.astype(np.uint8).tobytes()
-                ends = np.cumsum(np.bincount(pair >> 16, minlength=len(code_of)))
-                n = len(code_of)
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                nulls = pa.nulls(n, schema.field("ids").type)
-                batch_out = pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(list(code_of), pa.string()),
-                        pa.array(np.full(n, block)),
-                        pa.array(np.full(n, len(texts), np.int32)),
-                        pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets * 2), pa.py_buffer(places)]),
-                        pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(parts)]),
-                        nulls,
-                        nulls,
-                    ],
-                    schema=schema,
-                )
-                for i in range(0, n, 50_000):
-                    yield batch_out.slice(i, 50_000)
+                parts = np.full(len(pair), 255, np.uint8)
+                parts[last] = times - 255 * (spread - 1)
+                list_sizes = np.bincount(pair >> 16, minlength=len(order))
+                list_ends = np.cumsum(list_sizes)
+                places = (pair & 0xFFFF).astype("<u2")
+                cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])).tolist()
+                rows = []
+                for a, b in zip(cuts, [*cuts[1:], len(order)]):
+                    own = [words[i] for i in order[a:b].tolist()]
+                    low, high = int(list_ends[a - 1]) if a else 0, int(list_ends[b - 1])
+                    rows.append(
+                        (
+                            int(bucket[order[a]]),
+                            block,
+                            size,
+                            b"".join(own),
+                            np.fromiter(map(len, own), "<u4", b - a).tobytes(),
+                            list_sizes[a:b].astype("<u4").tobytes(),
+                            places[low:high].tobytes(),
+                            parts[low:high].tobytes(),
+                            None,
+                            None,
+                        )
+                    )
+                yield _rows(rows, schema)
 
     return run
 
@@ -154,60 +163,54 @@ def _add_pieces(shared):
 
     def run(batches):
         import numpy as np
-        import pyarrow as pa
 
         tokenizer = _load(shared)
-        last: tuple[str | None, int] = (None, 0)
-        base: dict[int, int] = {}
-        sums = np.zeros(0)
-
-        def out(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema
-            )
+        sums: dict[int, np.ndarray] = {}
 
         def partial():
             rows = []
-            ends = [*list(base.values())[1:], len(sums)]
-            for (block, a), b in zip(base.items(), ends):
-                places = np.flatnonzero(sums[a:b])
-                rows.append((block, places.astype("<u2").tobytes(), sums[a:b][places].astype("<i8").tobytes(), None, None))
-            return out(rows)
-
+            for block, total in sums.items():
+                places = np.flatnonzero(total)
+                rows.append((block, places.astype("<u2").tobytes(), total[places].astype("<i8").tobytes(), None, None))
+            sums.clear()
+            return _rows(rows, schema)
+
+        def join(rows):
+            """Count the pieces of a bucket's pre-tokens and add them to its documents."""
+            code_of: dict[bytes, int] = {}
+            codes = []
+            for row in rows:
+                ends = np.cumsum(np.frombuffer(row["term_sizes"], "<u4").astype(np.int64)).tolist()
+                terms = row["terms"]
+                words = [terms[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+                codes.append([code_of.setdefault(w, len(code_of)) for w in words])
+            found = tokenizer.encode_batch([w.decode() for w in code_of], add_special_tokens=False)
+            pieces = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
+            for row, own in zip(rows, codes):
+                counts = np.frombuffer(row["counts"], np.uint8)
+                weight = np.repeat(pieces[own], np.frombuffer(row["list_sizes"], "<u4")) * counts
+                added = np.bincount(np.frombuffer(row["places"], "<u2"), weights=weight, minlength=row["size"])
+                if row["block"] in sums:
+                    sums[row["block"]] += added
+                else:
+                    sums[row["block"]] = added
+
+        bucket, held = None, []
         for batch in batches:
-            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            head = np.asarray(column["ids"].is_valid())
-            if head.any():
-                chosen = batch.filter(pa.array(head))
-                yield out([(b, None, None, i, n) for b, i, n in zip(*(chosen.column(c).to_pylist() for c in (1, 5, 6)))])
-                batch = batch.filter(pa.array(~head))
-                if not batch.num_rows:
+            for row in batch.to_pylist():
+                if row["ids"] is not None:
+                    yield _rows([(row["block"], None, None, row["ids"], row["bytes"])], schema)
                     continue
-                column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            # Terms are sorted: equal ones stand together, at most one runs on from the batch before.
-            terms = column["term"].dictionary_encode()
-            distinct = terms.dictionary.to_pylist()
-            new = [t for t in distinct if t != last[0]]
-            found = {t: len(e.ids) for t, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False))}
-            if last[0] is not None:
-                found[last[0]] = last[1]
-            pieces = np.array([found[t] for t in distinct])[np.asarray(terms.indices)]
-            last = (distinct[-1], found[distinct[-1]])
-            blocks, sizes = np.asarray(column["block"]), np.asarray(column["size"])
-            for b, s in zip(*np.unique(np.stack([blocks, sizes]), axis=1).tolist()):
-                if b not in base:
-                    base[b] = len(sums)
-                    sums = np.append(sums, np.zeros(s))
-            counts = np.frombuffer(b"".join(column["counts"].to_pylist()), np.uint8)
-            places = np.frombuffer(b"".join(column["places"].to_pylist()), "<u2")
-            lengths = np.fromiter(map(len, column["counts"].to_pylist()), np.int64, len(blocks))
-            known, code = np.unique(blocks, return_inverse=True)
-            slot = np.repeat(np.array([base[b] for b in known.tolist()])[code], lengths) + places
-            sums += np.bincount(slot, weights=np.repeat(pieces, lengths) * counts, minlength=len(sums))
-            if len(sums) > SUMS_AT_ONCE:
-                yield partial()
-                base, sums = {}, np.zeros(0)
-        if base:
+                if row["bucket"] != bucket:
+                    if held:
+                        join(held)
+                    bucket, held = row["bucket"], []
+                    if sum(map(len, sums.values())) > SUMS_AT_ONCE:
+                        yield partial()
+                held.append(row)
+        if held:
+            join(held)
+        if sums:
             yield partial()
 
     return run
