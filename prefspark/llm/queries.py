@@ -256,7 +256,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL {_sql_spans("hex", 2, "[0-9a-f]+", 0, "length(v) >= 24")}
           ), wide AS (
             SELECT * FROM ({_sql_spans("live", 3, "[A-Za-z0-9+/_=-]{16,}", 0, "true")})
-            WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')
+            WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
           ), ownership AS (
             SELECT v, count(DISTINCT (doc_id, coalesce(source, ''))) <= 3 AND count(DISTINCT coalesce(source, '')) <= 1 AS live
             FROM wide GROUP BY v

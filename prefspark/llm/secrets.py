@@ -1,10 +1,11 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Three kinds are always reported where they stand: assignments, access keys and hexadecimal runs.
-A wider kind, long tokens that mix letters and digits, is only a candidate. Over the whole
-corpus the hash of each candidate is counted by distinct repositories and owners: what many
-repositories or several owners carry is a copied example, and what one owner has in few
-places looks live and is added to the spans. The counts never remove a span of the first kinds.
+A wider kind, long tokens that mix letters and digits, is a candidate; values of the first
+kinds are among them. Over the whole corpus the hash of each candidate is counted by distinct
+repositories and owners: what many repositories or several owners carry is a copied example, and
+what one owner has in few places looks live and is added to the spans. The counts never
+remove a span of the first kinds.
 
 Positions come from splitting a text at the same pattern that extracts the matches, so all is
 expressions. Only spans and hashes are shuffled, never texts. Counting combines the
@@ -35,7 +36,7 @@ KINDS = (
 # Matches that are too short are dropped, so patterns that allow none give the same spans and
 # far fewer pieces. For assignments a short match may cover the start of another, so it stays.
 _SCANS = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
-# Candidates: runs of 16 or more token characters, with a digit and letters of both cases.
+# Candidates: runs of 16 or more token characters, digits and letters among them.
 WIDE = r"[A-Za-z0-9+/_=-]{16,}"
 MAX_REPOSITORIES = 3
 MAX_OWNERS = 1
@@ -83,7 +84,7 @@ def _spans(text: Column, kind: str, rank: int, pattern: str, group: int, keep: C
 
 
 def _mixed(value: Column) -> Column:
-    return value.rlike("[0-9]") & value.rlike("[a-z]") & value.rlike("[A-Z]")
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
 
 
 def secret_spans(
