@@ -26,10 +26,10 @@ from prefspark.llm.pretokens import Chunker
 ship_by_value(__name__)
 
 # Bytes of text in a block, and of distinct pre-tokens that are replayed together.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 REPLAY_BYTES = 8_000_000
 # Chunks that a task remembers between blocks.
-REMEMBERED_CHUNKS = 300_000
+REMEMBERED_CHUNKS = 200_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
