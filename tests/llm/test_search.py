@@ -233,6 +233,43 @@ def test_pipeline(spark, rows, items, tmp_path):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_near_copies_of_similarity_leave_the_pipeline(spark, tmp_path):
+    """Every pair of 0.8 or more by five-word shingles, however many SimHash bits lie between."""
+    import random
+
+    from .brute import fingerprint
+
+    rng = random.Random(5)
+    rows, bits = [], []
+    for group in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        base = list(words)
+        rows.append((group * 10, " ".join(base)))
+        for copy in range(1, 5):
+            changed = list(base)
+            for at in rng.sample(range(0, 200, 10), copy + 1):
+                changed[at] = f"new{rng.randrange(10**6)}"
+            rows.append((group * 10 + copy, " ".join(changed)))
+            bits.append((fingerprint(rows[-1][1]) ^ fingerprint(rows[-1 - copy][1])).bit_count())
+    shingles = {i: {tuple(t.split()[s : s + 5]) for s in range(len(t.split()) - 4)} for i, t in rows}
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(sorted(root), 2):
+        if len(shingles[i] & shingles[j]) / len(shingles[i] | shingles[j]) >= 0.8:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    want = sorted(i for i in root if find(i) == i)
+    assert len(want) < len(rows) and max(bits) > 3
+    table = [(i, t, "en", "s", len(t)) for i, t in rows]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()) == want
+
+
 def test_stages_return_the_columns_of_documents(spark, docs, tmp_path):
     spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
