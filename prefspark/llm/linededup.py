@@ -119,11 +119,13 @@ def drop_repeated_lines(
     ends = id_and_text(docs).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     low, high = (ends.low, ends.high) if ends.low is not None else (0, 0)
     width = (high - low) // batches + 1
-    batch = F.floor((F.col("doc_id") - low) / width).cast("int")
+    # Exact bounds, compared as integers: a span of ids may be wider than doubles or longs can hold.
+    starts = [low + width * b for b in range(1, batches)]
+    batch = sum((F.when(F.col("doc_id") >= s, 1).otherwise(0) for s in starts if s <= high), F.lit(0))
     hashes = stage_table(line_hashes(docs, min_chars).withColumn("batch", batch))
     runs = LineRuns(spark, min_docs)
     for b in reversed(range(batches)):
-        runs.add(hashes.filter(F.col("batch") == b), low + width * (b + 1) - 1)
+        runs.add(hashes.filter(F.col("batch") == b), min(low + width * (b + 1) - 1, high))
     repeated = runs.entries().filter(F.col("n_docs") >= min_docs).select("h", "keeper")
     # A very common line stands in as many rows here as documents hold it: an inner join
     # over a shuffle, whose large partitions adaptive execution splits.

@@ -43,6 +43,15 @@ def test_line_dedup(docs, rows, batches):
     assert found.select("doc.*").columns == [c for c in docs.columns if c != "text"]
 
 
+@pytest.mark.parametrize("ids", [(0, 7, 11, 2**62 - 2, 2**62 - 1), (-(2**63), -5, 3, 2**63 - 2, 2**63 - 1), (2**63 - 5, 2**63 - 4, 2**63 - 3, 2**63 - 2, 2**63 - 1)])
+def test_line_dedup_of_wide_ids(spark, ids):
+    """The largest ids belong to the last batch, however far the ids lie apart."""
+    line = "This line stands in exactly five documents of the crawl."
+    table = spark.createDataFrame([(i, f"{line}\nown {i}") for i in ids], "doc_id long, text string")
+    got = drop_repeated_lines(table).select("doc.doc_id", "n_dropped").collect()
+    assert sorted(map(tuple, got)) == [(i, int(i != max(ids))) for i in ids]
+
+
 # --- substring dedup --------------------------------------------------------------
 
 
