@@ -6,7 +6,9 @@ position) of the ``RAREST`` rarest terms of each test window. A posting minus it
 item is a diagonal: lists are intersected offset-adjusted by counting, per document and item,
 the postings on a diagonal. Only diagonals that hold all the rarest terms of some window are
 compared word by word. Postings that meet within ``SLOP`` diagonals are proximity
-matches, which are reported but hit no word.
+matches, which are reported but hit no word. They may miss words that no document holds: their
+anchors are the rarest of the words that occur, and an item with fewer than ``RAREST`` of those
+needs just these, but two at least if it has two words.
 
 A window is ``WINDOW`` consecutive words of an item; a shorter item is one window. Test
 terms, anchors and items are broadcast while their number is below a bound, else joined by a shuffle.
@@ -59,7 +61,10 @@ def _windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def _anchors(items: DataFrame, tokens: DataFrame, window: int) -> DataFrame:
-    """``item``, ``place`` and ``term`` of the rarest words of the windows that can occur at all."""
+    """``item``, ``place`` and ``term`` of the rarest words that occur of each window.
+
+    ``whole`` tells anchors of windows that can occur as a phrase, all words of which the corpus holds.
+    """
     terms = _small(items.select(F.explode("terms").alias("term")).distinct(), BROADCAST_TERMS)
     seen = tokens.select(F.explode("tokens").alias("term")).join(terms, "term")
     frequency = seen.groupBy("term").agg(F.count("*").alias("frequency"))
@@ -68,10 +73,11 @@ def _anchors(items: DataFrame, tokens: DataFrame, window: int) -> DataFrame:
         _windows(items, window)
         .join(frequency, "term", "left")
         .withColumn("missing", F.count(F.when(F.col("frequency").isNull(), 1)).over(of_window))
-        .filter("missing = 0")
+        .filter("frequency IS NOT NULL")
         .withColumn("rarity", F.row_number().over(of_window.orderBy("frequency", "place")))
     )
-    return ranked.filter(F.col("rarity") <= RAREST).select("item", "place", "term").distinct()
+    rarest = ranked.filter(F.col("rarity") <= RAREST)
+    return rarest.groupBy("item", "place", "term").agg(F.max(F.col("missing") == 0).alias("whole"))
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -101,17 +107,26 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     )
     # Offset-adjusted intersection: postings of one document and item on one diagonal.
     met = postings.join(_small(anchors, BROADCAST_TERMS), "term").select(
-        "row", "item", (F.col("pos") - F.col("place")).alias("diagonal")
+        "row", "item", (F.col("pos") - F.col("place")).alias("diagonal"), "place", "whole"
+    )
+    counted = met.groupBy("row", "item", "diagonal").agg(
+        F.collect_list("place").alias("places"), F.count(F.when(F.col("whole"), 1)).alias("n_whole")
     )
-    counted = met.groupBy("row", "item", "diagonal").agg(F.count("*").alias("n"))
     nearby = Window.partitionBy("row", "item").orderBy("diagonal").rangeBetween(-SLOP, SLOP)
-    needed = items.select("item", F.least(F.lit(RAREST), F.size("terms")).alias("needed"))
+    # How many anchors have to meet: for a phrase, and for proximity, which lacks words that occur nowhere.
+    present = anchors.groupBy("item").agg(F.count("*").alias("present"))
+    needed = items.join(present, "item").select(
+        "item",
+        F.least(F.lit(RAREST), F.size("terms")).alias("needed"),
+        F.least(F.lit(RAREST), F.size("terms"), F.greatest("present", F.lit(2))).alias("needed_near"),
+    )
     close = (
-        counted.withColumn("near", F.sum("n").over(nearby))
+        # a word that a document repeats is one place of the item
+        counted.withColumn("near", F.size(F.array_distinct(F.flatten(F.collect_list("places").over(nearby)))))
         .join(_small(needed, BROADCAST_TERMS), "item")
-        .filter(F.col("near") >= F.col("needed"))
+        .filter(F.col("near") >= F.col("needed_near"))
     )
-    close = stage_table(close.select("row", "item", "diagonal", (F.col("n") >= F.col("needed")).alias("aligned")))
+    close = stage_table(close.select("row", "item", "diagonal", (F.col("n_whole") >= F.col("needed")).alias("aligned")))
 
     # Exact phrases: compare the aligned diagonals with the stored positions.
     aligned = close.filter("aligned").groupBy("row").agg(F.collect_list(F.struct("item", "diagonal")).alias("found"))
@@ -135,7 +150,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_hit``, ``items`` (sorted ids with phrases), ``n_near_items``, ``text_hash``."""
+    """``doc_id``, ``n_words``, ``n_hit``, ``items`` (sorted ids with phrases), ``n_near_items``, ``near_items`` (sorted ids), ``text_hash``."""
     per_document, matches = find_overlaps(docs, benchmark, window)
     matches = stage_table(matches)
     words = matches.select("row", F.explode("hits").alias("pos")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
@@ -147,6 +162,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .agg(
             F.array_sort(F.collect_list(F.when(phrase, F.col("item_id")))).alias("items"),
             F.count(F.when(~phrase, 1)).alias("n_near_items"),
+            F.array_sort(F.collect_list(F.when(~phrase, F.col("item_id")))).alias("near_items"),
         )
     )
     return (
@@ -157,6 +173,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             F.coalesce("n_near_items", F.lit(0)).alias("n_near_items"),
+            F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"),
             "text_hash",
         )
     )

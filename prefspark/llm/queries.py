@@ -107,6 +107,15 @@ def op8_decontamination(spark, sf_dir):
     )
 
 
+def op8_near_items(spark, sf_dir):
+    """Items that come near in a document without a phrase of theirs; the SQL of op8_decontamination has no place for them."""
+    from prefspark.llm.decontaminate import decontaminate
+
+    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", F.col("n_near_items").cast("long").alias("n_near_items"), F.array_join("near_items", ",").alias("near_items")
+    )
+
+
 def op9_quality_rules(spark, sf_dir):
     from prefspark.llm.quality import judge_quality
 
@@ -136,6 +145,7 @@ def queries() -> dict:
         op6_sharding,
         op7_substring_dedup,
         op8_decontamination,
+        op8_near_items,
         op9_quality_rules,
         op10_token_counts,
     )

@@ -177,6 +177,21 @@ def test_proximity(spark):
     assert (1, 10) in found and (2, 0) in found and not any(i == 3 for i, _ in found)
 
 
+def test_proximity_without_a_word_that_occurs_nowhere(spark, tmp_path):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    copied = " ".join([*words[:4], "other", *words[5:]])
+    table = [(1, copied), (2, "alpha kappa"), (3, "alpha " * 30)]
+    items = [(9, " ".join(words)), (8, "alpha nowhere1 nowhere2"), (7, " ".join(words + ["never", *words[::-1]]))]
+    spark.createDataFrame(table, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    from prefspark.llm.queries import queries
+
+    got = {r.doc_id: (r.n_near_items, r.near_items) for r in queries()["op8_near_items"](spark, str(tmp_path)).collect()}
+    assert got == {1: (2, "7,9"), 2: (0, ""), 3: (0, "")}
+    exact = queries()["op8_decontamination"](spark, str(tmp_path)).collect()
+    assert all(r.n_hit == 0 and not r.contaminated for r in exact)
+
+
 def test_empty_sides(spark, docs, no_docs, rows):
     nothing = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate(docs, nothing).collect()
