@@ -62,6 +62,18 @@ def op4_secret_scan(spark, sf_dir):
     )
 
 
+def op4_secret_ownership(spark, sf_dir):
+    """The verdict on every span; the SQL of op4_secret_scan has no place for those of the base kinds."""
+    from prefspark.llm.secrets import secret_verdicts, span_text
+
+    def spans(live):
+        return span_text(F.filter("verdicts", lambda s: s["is_live"] == live))
+
+    return secret_verdicts(_table(spark, sf_dir, "documents")).select(
+        "doc_id", spans(True).alias("live_spans"), spans(False).alias("example_spans")
+    )
+
+
 def op5_simhash(spark, sf_dir):
     from prefspark.llm.simhash import near_duplicates
 
@@ -141,6 +153,7 @@ def queries() -> dict:
         op2_line_dedup,
         op3_bpe_round_trip,
         op4_secret_scan,
+        op4_secret_ownership,
         op5_simhash,
         op6_sharding,
         op7_substring_dedup,
