@@ -147,6 +147,65 @@ def op10_token_counts(spark, sf_dir):
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts of op11: one id in ten, by its CRC, repeats its words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    # words are taken of the chosen texts only
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    placed = (
+        docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"), F.size(words).alias("n"))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+
+    def original(i):
+        return F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+
+    numbers = F.sequence(F.lit(0), F.col("n") - 1)
+    planted = F.array_join(F.transform(numbers, lambda i: F.get("words", original(i).cast("int"))), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    from prefspark.llm.periodic import find_runs
+
+    found = find_runs(_with_planted_runs(_table(spark, sf_dir, "documents")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    best = found.withColumn("best", F.array_max(ranked)).withColumn("size", F.size("runs").cast("long"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return best.select(
+        "doc_id",
+        F.col("size").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) DIV (-best.period)").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_filter_audit(spark, sf_dir):
+    from prefspark.llm.filteraudit import audit_filters
+
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_personal_data(spark, sf_dir):
+    from prefspark.llm.pii import KINDS, find_personal_data, span_text
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_personal_data(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(number, KINDS),
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def queries() -> dict:
     found = (
         op1_url_filter,
@@ -161,6 +220,9 @@ def queries() -> dict:
         op8_near_items,
         op9_quality_rules,
         op10_token_counts,
+        op11_periodic_runs,
+        op12_filter_audit,
+        op13_personal_data,
     )
     return {f.__name__: f for f in found}
 
@@ -345,4 +407,45 @@ def oracle_sql() -> dict[str, str]:
                  coalesce(n_hit, 0) > 0 AS contaminated
           FROM texts LEFT JOIN positions USING (rid) LEFT JOIN found USING (rid)
         """,
+        "op12_filter_audit": """
+          WITH flags AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+          ), texts AS (
+            SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+          ), smallest AS (
+            SELECT *, min(doc_id) OVER (PARTITION BY t) AS first FROM texts
+          ), failed AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+                   + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t))::INT
+                   + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+            FROM smallest LEFT JOIN flags USING (doc_id)
+          ), cells AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x
+            FROM failed GROUP BY part, mask
+          ), letters AS (
+            SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(l, bit)
+          ), steps AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, unnest([1, 2, 3, 4, 5]) AS step,
+                   unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) AS bit,
+                   unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, a.bit + b.bit + c.bit + d.bit]) AS earlier
+            FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+          ), counted AS (
+            SELECT part, filter_order, step, bit,
+                   sum(n) FILTER (WHERE mask & (earlier | bit) = 0) AS kept,
+                   sum(n) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0) AS removed,
+                   sum(n) FILTER (WHERE mask & earlier > 0 AND mask & bit > 0) AS redundant,
+                   sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+                   sum(g) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0) AS good_lost,
+                   sum(x) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0) AS toxic_lost
+            FROM cells, steps GROUP BY part, filter_order, step, bit
+          )
+          SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+                 CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+                 CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+                 CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+                 CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+          FROM counted
+        """,
     }
