@@ -49,3 +49,33 @@ def quality_counts(text):
 
 def base_failed(text):
     return quality_counts(text)[-1]
+
+
+def shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[s : s + size]) for s in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def text_hash(text):
+    import xxhash
+
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def near_copy_keepers(rows, similarity=0.8):
+    """(id, text hash) -> smallest (id, text hash) over pairs of similar shingle sets; rows are (id, text)."""
+    sets = {(i, text_hash(t)): shingles(t) for i, t in rows if i is not None}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {k: find(k) for k in sets}

@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import os
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from prefspark.llm.decontaminate import decontaminate, find_overlaps
@@ -202,38 +204,43 @@ def test_empty_sides(spark, docs, no_docs, rows):
 # --- pipeline ---------------------------------------------------------------------
 
 
-def test_pipeline(spark, rows, items, tmp_path):
-    """Each stage by brute force, without labels, so that quality is the base rules."""
+@pytest.mark.parametrize("labelled", [False, True])
+def test_pipeline(spark, rows, items, tmp_path, labelled):
+    """Each stage by brute force; with labels, the verdict of the trained field is the operator's own."""
     tiktoken = pytest.importorskip("tiktoken")
     public_tokenizers = pytest.importorskip("public_tokenizers")
     import numpy as np
 
     from prefspark.llm.bpe import read_ranks
+    from prefspark.llm.quality import judge_quality
 
-    from .brute import base_failed, fingerprint, without_repeated_lines
+    from .brute import base_failed, near_copy_keepers, text_hash, without_repeated_lines
 
-    table = [(i, t, "en", s, len(t or ""), "extra") for i, t, s in rows if i != 60 or s != "src0"]
+    rows = [*rows, (60, " ".join(f"own{k}" for k in range(80)), "src0")]  # shares its id with a good text
+    table = [(i, t, "en", s, len(t or ""), "extra") for i, t, s in rows]
     schema = "doc_id long, text string, lang string, source string, n_chars long, kept_text string"
-    spark.createDataFrame(table, schema).write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    documents = spark.createDataFrame(table, schema)
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    qualities = [(i, int(not base_failed(t)), 0) for i, t, _ in rows if i is not None and len(t or "") < 5000] if labelled else []
+    labels = spark.createDataFrame(qualities, "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-
-    kept = [(r[0], r[1]) for r in table if not base_failed(r[1])]
+    assert not labelled or {q for _, q, _ in qualities} == {0, 1}
+
+    if labelled:
+        stored = spark.read.parquet(str(tmp_path / "documents.parquet"))
+        # an id may hold texts of both verdicts, so rows are told apart by their length
+        sized = stored.withColumn("doc_id", 100_000 * F.coalesce("doc_id", F.lit(-1)) + F.coalesce(F.length("text"), F.lit(0)))
+        field = spark.createDataFrame([(100_000 * i + len(t or ""), q) for i, t, _ in rows for j, q, _ in qualities if i == j], "doc_id long, quality int")
+        good = {r.doc_id for r in judge_quality(sized, field).filter("kept").collect()}
+        kept = [(r[0], r[1]) for r in table if not base_failed(r[1]) and 100_000 * (-1 if r[0] is None else r[0]) + len(r[1] or "") in good]
+    else:
+        kept = [(r[0], r[1]) for r in table if not base_failed(r[1])]
     kept = without_repeated_lines(kept)
-    prints = {i: fingerprint(t) for i, t in kept if i is not None}
-    root = {i: i for i in prints}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i, j in itertools.combinations(sorted(prints), 2):
-        if (prints[i] ^ prints[j]).bit_count() <= 3:
-            a, b = find(i), find(j)
-            root[max(a, b)] = min(a, b)
-    once = {i: t for i, t in kept if i is not None and find(i) == i}
-    kept = [*once.items(), *[(i, t) for i, t in kept if i is None]]
+    keepers = near_copy_keepers(kept)
+    once = {(i, text_hash(t)): t for i, t in kept if i is not None and keepers[i, text_hash(t)] == (i, text_hash(t))}
+    assert labelled or sum(i == 60 for i, _ in once) == 2  # two texts share that id, and both are clean
+    kept = [*((i, t) for (i, _), t in once.items()), *((i, t) for i, t in kept if i is None)]
     kept = [(i, t) for i, t in kept if not slow_overlap(t, items)[1]]
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = read_ranks(f.read())
@@ -285,6 +292,69 @@ def test_near_copies_of_similarity_leave_the_pipeline(spark, tmp_path):
     assert sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()) == want
 
 
+def test_near_copies_against_all_pairs(spark, rows):
+    """Null, empty and repeated rows, shared ids, and keys of many blocks, against all pairs."""
+    import random
+
+    from prefspark.llm import similar
+
+    from .brute import near_copy_keepers, text_hash
+
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    table = [(i, t) for i, t, _ in rows]
+    for i in range(150):  # a large group of copies of which many are not alike
+        changed = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 6)):
+            changed[at] = f"v{rng.randrange(10**6)}"
+        table.append((1000 + i % 140, " ".join(changed)))
+    table += [(2000, " "), (2001, None), (1000, table[-1][1]), (None, table[-1][1])]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in table], "doc_id long, text string, key int, class int")
+    keepers = near_copy_keepers(table)
+    want = sorted((i, text_hash(t), keepers[i, text_hash(t)]) for i, t in table if i is not None)
+    limits = similar.BLOCK, similar.BLOCK_SHINGLES, similar.COLUMNS
+    try:
+        for similar.BLOCK, similar.BLOCK_SHINGLES, similar.COLUMNS in (limits, (16, 1 << 18, 64), (512, 1000, 64)):
+            got = similar.similar_documents(docs).collect()
+            assert sorted((r.doc_id, r.text_hash, tuple(r.keeper)) for r in got) == want
+    finally:
+        similar.BLOCK, similar.BLOCK_SHINGLES, similar.COLUMNS = limits
+    assert similar.similar_documents(docs.limit(0)).collect() == []
+
+
+def test_rows_that_share_an_id_stay(spark):
+    """Clean texts under one id are documents of their own; repeated rows leave the smallest."""
+    words = [[f"{c}{k}" for k in range(60)] for c in "abcde"]
+    near = [*words[0][:-1], "changed"]
+    texts = [(1, words[0]), (4, near), (4, words[1]), (5, words[2]), (5, words[3]), (6, words[4]), (6, words[4]), (None, words[0]), (None, None)]
+    table = [(i, t and " ".join(t), lang, "s", 1) for (i, t), lang in zip(texts, ["en"] * 5 + ["fr", "de", "en", None])]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.simhash_dedup(spark, docs, "").collect()
+    want = [table[k] for k in (0, 2, 3, 4, 6, 7, 8)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no driver tables")
+def test_recall_on_the_driver_tables(spark):
+    """Every pair of 0.8 or more among the documents, by exact counts over blocks, is linked."""
+    import numpy as np
+
+    from prefspark.llm import similar
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    of_set = {}
+    for r in docs.orderBy("doc_id").collect():
+        s = similar.shingle_set((r.text or "").encode())
+        of_set.setdefault(s.tobytes(), (r.doc_id, s))
+    classes = [c for c in of_set.values() if len(c[1])]
+    counts = similar.shared_counts([s for _, s in classes], [s for _, s in classes])
+    sizes = np.array([len(s) for _, s in classes])
+    pairs = np.argwhere(np.triu(counts >= 0.8 * (np.add.outer(sizes, sizes) - counts), 1))
+    keeper = {r.doc_id: r.keeper.doc_id for r in similar.similar_documents(docs).collect()}
+    linked = sum(keeper[classes[i][0]] == keeper[classes[j][0]] for i, j in pairs)
+    assert len(pairs) > 0 and linked == len(pairs)
+
+
 def test_stages_return_the_columns_of_documents(spark, docs, tmp_path):
     spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
