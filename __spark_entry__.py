@@ -190,6 +190,42 @@ def _flaky_remote() -> Callable:
     return factory
 
 
+def _marked_model(mark: str) -> Callable:
+    """Answers say which run gave them."""
+
+    def factory(settings):
+        return lambda prompts: [[f"{mark} {len(p)}"] for p in prompts]
+
+    return factory
+
+
+def _seeded_model() -> Callable:
+    def factory(settings):
+        return lambda prompts, seeds: [[f"{len(p)}/{seed}"] for p, seed in zip(prompts, seeds)]
+
+    return factory
+
+
+def _twice_asked_remote() -> Callable:
+    """Every request fails at first; those of long texts always do."""
+
+    def factory(settings):
+        failed = set()
+
+        def request(messages):
+            text = messages[1]["content"]
+            if len(text) > 300:
+                raise TimeoutError("too long")
+            if text not in failed:
+                failed.add(text)
+                raise ConnectionError("busy")
+            return None if len(text) < 100 else f" {messages[0]['role']}: {text} "
+
+        return request
+
+    return factory
+
+
 def _length_judge() -> Callable:
     def factory(settings):
         def verdict(prompts):
@@ -443,6 +479,43 @@ def _generate_remote_failures(spark, sf_dir):
     return asked.groupBy("error").agg(F.count("*").alias("requests"))
 
 
+def _generate_remote_retry(spark, sf_dir):
+    return po.generate_remote(
+        _turns(spark, sf_dir), _twice_asked_remote(), prompt=pf.chat_messages("instruction"), on_error="keep", retries=1, backoff=0.0
+    )
+
+
+def _generate_resumed(spark, sf_dir):
+    """A first run answered the English documents; the run over all takes their answers from the log."""
+    log = sources.scratch_dir(spark)
+    d = _blanked(spark, sf_dir).withColumn("instruction", _padded("instruction"))
+    po.generate(d.filter("lang = 'en'"), _marked_model("first"), log=log)
+    return po.generate(d, _marked_model("second"), log=log)
+
+
+def _judge_resumed(spark, sf_dir):
+    """A second judge, of another mind, is asked nothing: all rows are in the log."""
+    log = sources.scratch_dir(spark)
+    g = _groups(spark, sf_dir)
+    po.judge(g, _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM, log=log)
+    return _scores_by_row(po.judge(g, _marked_model("1000"), JUDGE_TEMPLATE, JUDGE_SYSTEM, log=log))
+
+
+def _generate_seeded(spark, sf_dir):
+    settings = po.GenerationSettings(seed=7)
+    return po.generate(_blanked(spark, sf_dir), _seeded_model(), settings=settings, prompt=F.col("instruction"))
+
+
+def _jsonl_replaced(spark, sf_dir):
+    """A folder is rewritten from its own rows: turns without a text go, the others get their length."""
+    path = sources.scratch_dir(spark)
+    sources.write_jsonl(_table(spark, sf_dir, "conversations"), path)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    back = sources.read_jsonl(spark, path, schema, on_error="fail")
+    sources.write_jsonl(back.filter("text <> ''").withColumn("n", F.length("text").cast("bigint")), path)
+    return sources.read_jsonl(spark, path, schema + ", n bigint", on_error="fail")
+
+
 def _generate_candidates(spark, sf_dir):
     out = po.generate_candidates(_blanked(spark, sf_dir), _echo_model())
     out = out.select("instruction", F.posexplode("responses").alias("pos", "response"))
@@ -529,6 +602,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "verbatim_lines": _verbatim_lines,
         "optional_source": _optional_source,
         "jsonl_round_trip": _jsonl_round_trip,
+        "jsonl_replaced": _jsonl_replaced,
         "dataset_registry": _registry,
         "first_present": _first_present,
         "first_truthy": _first_truthy,
@@ -557,9 +631,13 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "generate_remote": _generate_remote,
         "generate_remote_drop": _generate_remote_drop,
         "generate_remote_failures": _generate_remote_failures,
+        "generate_remote_retry": _generate_remote_retry,
+        "generate_resumed": _generate_resumed,
+        "generate_seeded": _generate_seeded,
         "generate_candidates": _generate_candidates,
         "judge": _judge,
         "judge_whole_texts": _judge_whole_texts,
+        "judge_resumed": _judge_resumed,
         "parse_score": _parse_score,
         "seed_curation": _seed_curation,
         "preference_chain": _preference_chain,
@@ -775,6 +853,7 @@ def own_sql() -> dict[str, str]:
           SELECT doc_id, instruction FROM ({_sql_unseen('instruction')})
         """,
         "jsonl_round_trip": _SQL_SLOTS,
+        "jsonl_replaced": "SELECT conv_id, turn, role, text, length(text) AS n FROM conversations WHERE text <> ''",
         "dataset_registry": f"""
           SELECT instruction AS prompt, chosen, rejected, NULL::VARCHAR AS response FROM ({_SQL_DIALOGUE_PAIRS})
           UNION ALL
@@ -842,6 +921,19 @@ def own_sql() -> dict[str, str]:
                  {_sql_strip(_sql_echo(_sql_chatml(_sql_strip('instruction'))))} AS output
           FROM ({_SQL_BLANKED}) WHERE {_sql_strip('instruction')} <> ''
         """,
+        "generate_resumed": f"""
+          WITH asked AS (
+            SELECT {_sql_strip('instruction')} AS instruction, lang FROM ({_SQL_BLANKED}) WHERE {_sql_strip('instruction')} <> ''
+          )
+          SELECT instruction, CASE WHEN instruction IN (SELECT instruction FROM asked WHERE lang = 'en') THEN 'first ' ELSE 'second ' END
+                 || length({_sql_chatml('instruction')}) AS output
+          FROM asked
+        """,
+        "generate_seeded": f"""
+          SELECT instruction, length(instruction) || '/' ||
+                 CAST('0x' || substr(md5('7|' || instruction), 1, 7) AS BIGINT) AS output
+          FROM (SELECT {_sql_strip('instruction')} AS instruction FROM ({_SQL_BLANKED})) WHERE instruction <> ''
+        """,
         "generate_unstripped": f"""
           SELECT {padded} AS instruction, {_sql_echo(_sql_chatml(padded, GENERIC_SYSTEM_PROMPT))} AS output
           FROM ({_SQL_BLANKED})
@@ -853,6 +945,13 @@ def own_sql() -> dict[str, str]:
                  CASE WHEN length(text) > 300 THEN 'TimeoutError: too long' END AS error
           FROM conversations WHERE {_sql_strip('text')} <> ''
         """,
+        "generate_remote_retry": f"""
+          SELECT text AS instruction,
+                 CASE WHEN length(text) > 300 THEN NULL WHEN length(text) < 100 THEN ''
+                      ELSE {_sql_strip("'system: ' || text")} END AS output,
+                 CASE WHEN length(text) > 300 THEN 'TimeoutError: too long' END AS error
+          FROM conversations WHERE {_sql_strip('text')} <> ''
+        """,
         "generate_remote_drop": f"""
           SELECT text AS instruction,
                  CASE WHEN length(text) < 100 THEN '' ELSE {_sql_strip("'system: ' || text")} END AS output
@@ -878,6 +977,11 @@ def own_sql() -> dict[str, str]:
                  {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score
           FROM ({_SQL_SLOTS})
         """,
+        "judge_resumed": f"""
+          SELECT instruction, pos, response,
+                 {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score
+          FROM ({_SQL_SLOTS})
+        """,
         "parse_score": r"""
           SELECT event_id, CASE event_id % 4
                    WHEN 0 THEN -CAST(event_id % 7 AS DOUBLE) - 0.25

@@ -8,13 +8,16 @@ Inputs stay in their row beside the answer, so nothing has to be zipped back.
 
 Prompts are rendered and answers are parsed by built-in expressions outside the worker.
 Stage the result (``stage_table``) before using it twice: models are often not
-deterministic and always the dearest step.
+deterministic and always the dearest step. Or name a ``log``: then each answer is written down as its
+task ends, and a job that is started again asks only for what is missing (:mod:`.answerlog`).
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Sequence
+import time
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
@@ -37,13 +40,19 @@ from prefspark.functions.prompts import (
     render_judge_prompt,
 )
 from prefspark.functions.scores import parse_score
-from prefspark.functions.text import is_blank, py_strip
+from prefspark.functions.text import is_blank, py_strip, seeded_hash
+from prefspark.operators.answerlog import answered_from_log
 
 # Ship what this module sends to the workers by value, so that executors need no
 # copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# Arrow batches of a task that may wait for their last remote answer; longest wait before a retry.
+READ_AHEAD = 8
+MAX_BACKOFF = 60.0
+
+
 @dataclass(frozen=True)
 class GenerationSettings:
     """What a model is asked for. Passed to the factory as it is."""
@@ -54,6 +63,9 @@ class GenerationSettings:
     repetition_penalty: float | None = None
     answers: int = 1
     stop: tuple[str, ...] = ()
+    # With a seed, every request goes to the model with a number of its own, made of this seed
+    # and the request. It does not depend on tasks, batches or attempts.
+    seed: int | None = None
 
     def __post_init__(self) -> None:
         if self.answers < 1:
@@ -82,58 +94,91 @@ CANDIDATES = GenerationSettings(
 JUDGEMENT = GenerationSettings(max_new_tokens=32, temperature=0.0)
 
 # prompts -> for each prompt, its answers. A prompt is text, or a list of
-# {role, content} dictionaries where chat messages are passed in.
-Model = Callable[[Sequence[Any]], Sequence[Sequence[str]]]
+# {role, content} dictionaries where chat messages are passed in. Where the settings have a seed,
+# a second argument holds the seed of each prompt.
+Model = Callable[..., Sequence[Sequence[str]]]
 ModelFactory = Callable[[GenerationSettings], Model]
-# one prompt -> one answer; may raise, and may return None for no text.
-RemoteModel = Callable[[Any], str | None]
+# one prompt (and its seed) -> one answer; may raise, and may return None for no text.
+RemoteModel = Callable[..., str | None]
 RemoteModelFactory = Callable[[GenerationSettings], RemoteModel]
 
 
-def _add_column(
+def request_seed(seed: int, request: Column) -> Column:
+    """A number below 2^28 from a seed and a request: text, or anything JSON can hold."""
+    return F.conv(F.substring(seeded_hash(seed, request), 1, 7), 16, 10).cast("int")
+
+
+def _run(
     df: DataFrame,
     prompt: Column,
     added: T.StructType,
-    make_worker: Callable[[], Callable[[Any], list]],
-    profile: ResourceProfile | None,
+    make_worker: Callable[[], Callable[[Iterator], Iterator]],
+    settings: GenerationSettings,
+    tasks: int,
+    profile: ResourceProfile | None = None,
+    log: str | None = None,
+    seed: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Run a worker over the ``prompt`` column and put its result columns in its place.
+    """Run a worker over the ``prompt`` column in so many tasks; its result columns are added to ``df``.
 
-    The worker turns an Arrow prompt array into one list per added column.
+    The worker turns Arrow pairs (requests, seeds or None) into one list per added column, in
+    order. It may read ahead. ``seed`` makes the seeds of a prompt column; null without a seed.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kept = len(df.columns)
-    schema = T.StructType([*df.schema.fields, *added.fields])
     arrow_types = [f.type for f in to_arrow_schema(added)]
-
     added_names = added.fieldNames()
+    seeded = settings.seed is not None
+    seed = seed or (lambda request: request_seed(settings.seed, as_text(df, request)))
 
-    def run(batches):
-        import pyarrow as pa
+    def ask(rows: DataFrame, request: Column) -> DataFrame:
+        kept = len(rows.columns)
+        schema = T.StructType([*rows.schema.fields, *added.fields])
+
+        def run(batches):
+            import pyarrow as pa
 
-        worker = make_worker()
-        for batch in batches:
-            values = worker(batch.column(kept))
-            arrays = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(values, arrow_types)]
-            names = batch.schema.names[:kept] + added_names
-            yield pa.RecordBatch.from_arrays(batch.columns[:kept] + arrays, names=names)
+            waiting = deque()
 
-    return df.withColumn("_prompt", prompt).mapInArrow(run, schema, profile=profile)
+            def requests():
+                for batch in batches:
+                    waiting.append(batch)
+                    yield batch.column(kept), batch.column(kept + 1) if seeded else None
+
+            for values in make_worker()(requests()):
+                batch = waiting.popleft()
+                arrays = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(values, arrow_types)]
+                yield pa.RecordBatch.from_arrays(batch.columns[:kept] + arrays, names=batch.schema.names[:kept] + added_names)
+
+        dealt = rows.repartition(tasks).withColumn("_prompt", request)
+        if seeded:
+            dealt = dealt.withColumn("_seed", seed(request))
+        return dealt.mapInArrow(run, schema, profile=profile)
+
+    if log is None:
+        return ask(df, prompt)
+    return answered_from_log(df, prompt, as_text(df, prompt), repr(settings), log, ask, added)
+
+
+def as_text(df: DataFrame, request: Column) -> Column:
+    """A request as text: itself, or as JSON where it is a list."""
+    plain = isinstance(df.select(request).schema[0].dataType, T.StringType)
+    return request if plain else F.to_json(request)
 
 
 def _batch_worker(factory: ModelFactory, settings: GenerationSettings, batch_size: int):
     def make():
         model = factory(settings)
 
-        def ask(prompts: list) -> list:
+        def ask(prompts: list, seeds: list | None) -> list:
             answers = []
             for start in range(0, len(prompts), batch_size):
-                part = prompts[start : start + batch_size]
-                got = [list(a) for a in model(part)]
-                if len(got) != len(part) or any(len(a) != settings.answers for a in got):
+                part = slice(start, start + batch_size)
+                asked = prompts[part]
+                got = [list(a) for a in (model(asked) if seeds is None else model(asked, seeds[part]))]
+                if len(got) != len(asked) or any(len(a) != settings.answers for a in got):
                     raise ValueError(
-                        f"the model must return {settings.answers} answer(s) for each of {len(part)} prompts"
+                        f"the model must return {settings.answers} answer(s) for each of {len(asked)} prompts"
                     )
                 answers.extend(got)
             return answers
@@ -143,6 +188,21 @@ def _batch_worker(factory: ModelFactory, settings: GenerationSettings, batch_siz
     return make
 
 
+def _one_by_one(make_ask: Callable, shape: Callable):
+    """A worker that answers batch after batch; ``shape`` turns a batch's answers into columns."""
+
+    def make_worker():
+        ask = make_ask()
+
+        def work(requests):
+            for prompts, seeds in requests:
+                yield shape(ask(prompts.to_pylist(), seeds and seeds.to_pylist()))
+
+        return work
+
+    return make_worker
+
+
 def _instructions(df: DataFrame, strip: bool) -> DataFrame:
     """Stripped, non-empty instructions, or all of them untouched."""
     if not strip:
@@ -169,21 +229,16 @@ def generate_candidates(
     batch_size: int = JUDGE_BATCH_SIZE,
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """``(instruction, responses)`` with ``n`` stripped answers per non-empty instruction."""
     if n is not None:
         settings = replace(settings, answers=n)
     rows = _instructions(df.select("instruction"), strip=True)
-    rows = rows.repartition(partitions or model_tasks(df))
     prompt = render_chatml("instruction") if prompt is None else prompt
-    make_ask = _batch_worker(factory, settings, batch_size)
-
-    def make_worker():
-        ask = make_ask()
-        return lambda prompts: [ask(prompts.to_pylist())]
-
+    make_worker = _one_by_one(_batch_worker(factory, settings, batch_size), lambda answers: [answers])
     added = T.StructType([T.StructField("responses", T.ArrayType(T.StringType()))])
-    answered = _add_column(rows, prompt, added, make_worker, profile)
+    answered = _run(rows, prompt, added, make_worker, settings, partitions or model_tasks(df), profile, log)
     return answered.select("instruction", F.transform("responses", py_strip).alias("responses"))
 
 
@@ -197,6 +252,7 @@ def generate(
     batch_size: int = JUDGE_BATCH_SIZE,
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """``(instruction, output)`` with one answer per instruction.
 
@@ -204,24 +260,82 @@ def generate(
     row is answered as it is. ``prompt`` is what the model gets to see: text by
     default, or a :func:`chat_messages` column. ``partitions`` sets how many tasks call
     the model (:func:`model_tasks` by default), and ``profile`` which executors they run on.
+    ``log`` names the answer log of the step; the model is then called at once, and only for
+    requests that the log does not answer yet.
     """
     if settings.answers != 1:
         raise ValueError("generate asks for one answer; use generate_candidates for more")
     rows = _instructions(df.select("instruction"), strip_input)
-    rows = rows.repartition(partitions or model_tasks(df))
     prompt = render_chatml("instruction") if prompt is None else prompt
-    make_ask = _batch_worker(factory, settings, batch_size)
-
-    def make_worker():
-        ask = make_ask()
-        return lambda prompts: [[a[0] for a in ask(prompts.to_pylist())]]
-
+    make_worker = _one_by_one(_batch_worker(factory, settings, batch_size), lambda answers: [[a[0] for a in answers]])
     added = T.StructType([T.StructField("output", T.StringType())])
-    answered = _add_column(rows, prompt, added, make_worker, profile)
+    answered = _run(rows, prompt, added, make_worker, settings, partitions or model_tasks(df), profile, log)
     output = py_strip("output") if strip_output else F.col("output")
     return answered.select("instruction", output.alias("output"))
 
 
+def _attempts(request: Callable, retries: int, backoff: float) -> Callable:
+    """Ask once more after each failure, up to ``retries`` times, and wait twice as long each time."""
+
+    def one(*asked):
+        for attempt in range(retries + 1):
+            if attempt:
+                time.sleep(min(MAX_BACKOFF, backoff * 2 ** (attempt - 1)))
+            try:
+                return (request(*asked) or ""), None
+            except Exception as e:  # noqa: BLE001 - any failure belongs to its row
+                failure = f"{type(e).__name__}: {e}"
+        return None, failure
+
+    return one
+
+
+def _window_worker(make_one: Callable[[], Callable], open_at_most: int, read_ahead: int):
+    """A worker with a window of requests that goes on over the ends of batches.
+
+    As soon as a request ends the next one starts, whichever batch it is in, so a slow one holds up
+    nothing but its own slot. Batches leave in order; up to ``read_ahead`` of them wait for their last answer.
+    """
+
+    def make_worker():
+        from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+
+        one = make_one()
+
+        def work(requests):
+            running: dict = {}  # future -> (outcomes of its batch, row)
+            batches: deque = deque()  # [outcomes, how many are missing]
+
+            def settle():
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    batch, row = running.pop(future)
+                    batch[0][row] = future.result()
+                    batch[1] -= 1
+
+            def ready(room):
+                while batches and (not batches[0][1] or len(batches) > room):
+                    while batches[0][1]:
+                        settle()
+                    outcomes = batches.popleft()[0]
+                    yield [[r[0] for r in outcomes], [r[1] for r in outcomes]]
+
+            with ThreadPoolExecutor(open_at_most) as pool:
+                for prompts, seeds in requests:
+                    asked = list(zip(prompts.to_pylist(), *([] if seeds is None else [seeds.to_pylist()])))
+                    batch = [[None] * len(asked), len(asked)]
+                    batches.append(batch)
+                    for row, args in enumerate(asked):
+                        while len(running) >= open_at_most:
+                            settle()
+                        running[pool.submit(one, *args)] = (batch, row)
+                    yield from ready(read_ahead)
+                yield from ready(0)
+
+        return work
+
+    return make_worker
+
+
 def generate_remote(
     df: DataFrame,
     factory: RemoteModelFactory,
@@ -230,49 +344,39 @@ def generate_remote(
     on_error: str = "drop",
     max_in_flight: int = MAX_REQUESTS_IN_FLIGHT,
     task_slots: int | None = None,
+    retries: int = 0,
+    backoff: float = 1.0,
+    read_ahead: int = READ_AHEAD,
+    log: str | None = None,
 ) -> DataFrame:
     """``(instruction, output)`` from a model that answers one request at a time.
 
     At most ``max_in_flight`` requests are open at once, however many tasks the cluster can run:
     the rows go to K tasks (``task_slots``, by default the cores of the session, and no more
-    than requests), each with ``max_in_flight // K`` requests. Speculative execution
-    would add to it.
-
-    A request that raises does not disturb the others. With ``drop`` its row is left
-    out, with ``keep`` it stays with its message in ``error`` and no output, with ``raise``
-    the query stops. An empty answer is an answer.
+    than requests), each with a window of ``max_in_flight // K`` requests that is refilled as
+    requests end. Speculative execution would add to it. A task holds up to ``read_ahead`` Arrow batches
+    while their slowest answers are out.
+
+    A request that raises is tried up to ``retries`` times more, after ``backoff`` seconds, then twice as
+    long, and so on; it keeps its place in the window while it waits. One that fails for good does not
+    disturb the others. With ``drop`` its row is left out, with ``keep`` it stays with its last message in
+    ``error`` and no output, with ``raise`` the query stops. An empty answer is an answer. In a ``log``,
+    failures are not answers: a job that is started again asks for them again.
     """
     if on_error not in ("drop", "keep", "raise"):
         raise ValueError(f"on_error must be drop, keep or raise, not {on_error!r}")
     if max_in_flight < 1:
         raise ValueError("max_in_flight must be at least 1")
+    if retries < 0 or backoff < 0 or read_ahead < 1:
+        raise ValueError("retries and backoff must not be negative, read_ahead must be at least 1")
     tasks = min(max_in_flight, task_slots or df.sparkSession.sparkContext.defaultParallelism)
-    rows = _instructions(df.select("instruction"), strip=True).repartition(tasks)
-    per_task = max_in_flight // tasks
+    rows = _instructions(df.select("instruction"), strip=True)
     prompt = render_chatml("instruction") if prompt is None else prompt
-
-    def make_worker():
-        from concurrent.futures import ThreadPoolExecutor
-
-        request = factory(settings)
-        pool = ThreadPoolExecutor(per_task)
-
-        def one(p):
-            try:
-                return (request(p) or ""), None
-            except Exception as e:  # noqa: BLE001 - any failure belongs to its row
-                return None, f"{type(e).__name__}: {e}"
-
-        def ask(prompts):
-            results = list(pool.map(one, prompts.to_pylist()))
-            return [[r[0] for r in results], [r[1] for r in results]]
-
-        return ask
-
+    make_worker = _window_worker(lambda: _attempts(factory(settings), retries, backoff), max_in_flight // tasks, read_ahead)
     added = T.StructType(
         [T.StructField("output", T.StringType()), T.StructField("error", T.StringType())]
     )
-    answered = _add_column(rows, prompt, added, make_worker, None)
+    answered = _run(rows, prompt, added, make_worker, settings, tasks, None, log)
     failed = F.col("error").isNotNull()
     if on_error == "drop":
         answered = answered.filter(~failed)
@@ -296,6 +400,7 @@ def judge(
     batch_size: int = JUDGE_BATCH_SIZE,
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
+    log: str | None = None,
 ) -> DataFrame:
     """``(instruction, responses, scores)`` with one score or null per response.
 
@@ -304,12 +409,11 @@ def judge(
     the Arrow batch, asked in lots of ``batch_size``, and its verdicts take the shape of
     its responses, so there is no explode and no join. Texts go whole unless ``max_chars`` cuts
     both. ``as_messages`` sends chat messages instead of text, for a judge with a chat
-    layout of its own.
+    layout of its own. In a ``log`` a row is one entry, with the verdicts on all its responses.
     """
     if settings.answers != 1:
         raise ValueError("a judge gives one answer per request")
     rows = df.select("instruction", "responses")
-    rows = rows.repartition(partitions or model_tasks(df))
 
     def request(response: Column) -> Column:
         instruction = F.col("instruction")
@@ -328,24 +432,28 @@ def judge(
 
         ask = make_ask()
 
-        def verdicts(requests):
-            flat = requests.flatten()
-            asked = pc.is_valid(flat)
-            answers = iter(ask(flat.filter(asked).to_pylist()))
-            texts = pa.array([next(answers)[0] if a else None for a in asked.to_pylist()], pa.string())
-            sizes = pc.fill_null(pc.list_value_length(requests), 0).to_pylist()
-            offsets = [0]
-            for size in sizes:
-                offsets.append(offsets[-1] + size)
-            shaped = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), texts, mask=requests.is_null()
-            )
-            return [shaped]
-
-        return verdicts
+        def work(batches):
+            for requests, seeds in batches:
+                flat = requests.flatten()
+                asked = pc.is_valid(flat)
+                own = seeds and seeds.flatten().filter(asked).to_pylist()
+                answers = iter(ask(flat.filter(asked).to_pylist(), own))
+                texts = pa.array([next(answers)[0] if a else None for a in asked.to_pylist()], pa.string())
+                sizes = pc.fill_null(pc.list_value_length(requests), 0).to_pylist()
+                offsets = [0]
+                for size in sizes:
+                    offsets.append(offsets[-1] + size)
+                yield [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts, mask=requests.is_null())]
+
+        return work
+
+    def seeds(requests: Column) -> Column:
+        text = F.to_json if as_messages else lambda r: r
+        return F.transform(requests, lambda r: request_seed(settings.seed, text(r)))
 
     added = T.StructType([T.StructField("_verdicts", T.ArrayType(T.StringType()))])
-    judged = _add_column(rows, F.transform("responses", request), added, make_worker, profile)
+    tasks = partitions or model_tasks(df)
+    judged = _run(rows, F.transform("responses", request), added, make_worker, settings, tasks, profile, log, seeds)
     return judged.select(
         "instruction", "responses", F.transform("_verdicts", lambda v: parse(py_strip(v))).alias("scores")
     )

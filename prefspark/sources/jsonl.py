@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prefspark.functions.text import bind, is_blank
+from prefspark.sources.replacing import write_files
 
 _OPTIONS = {
     "mode": "PERMISSIVE",
@@ -178,10 +179,14 @@ def nonblank_lines(lines: DataFrame) -> DataFrame:
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON object per row, UTF-8 unescaped, null fields written as null."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    """One JSON object per row, UTF-8 unescaped, null fields written as null.
+
+    ``overwrite`` puts the new files in place when all of them are written: a job that fails leaves the
+    old ones readable, and ``df`` may read from ``path`` itself.
+    """
+    write_files(df, path, mode, lambda writer, to: writer.option("ignoreNullFields", "false").json(to))
 
 
 def write_lines(df: DataFrame, path: str, column: str = "value", mode: str = "overwrite") -> None:
-    """Write ready-made lines as they are."""
-    df.select(F.col(column).alias("value")).write.mode(mode).text(path)
+    """Write ready-made lines as they are; ``overwrite`` works as in :func:`write_jsonl`."""
+    write_files(df.select(F.col(column).alias("value")), path, mode, lambda writer, to: writer.text(to))
