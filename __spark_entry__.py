@@ -370,6 +370,16 @@ def _unseen(spark, sf_dir):
     return po.unseen(d, _used(spark, sf_dir))
 
 
+def _unseen_stored(spark, sf_dir):
+    """The used keys come in two batches that overlap, into a store that the join does not move."""
+    d = _blanked(spark, sf_dir).withColumn("instruction", _padded("instruction"))
+    store = po.UsedKeys.open(spark, sources.scratch_dir(spark), buckets=8)
+    used = _used(spark, sf_dir)
+    store.add(used.filter(F.length("prompt") > 500))
+    store.add(used)
+    return po.unseen(d, store)
+
+
 def _unseen_shuffled(spark, sf_dir):
     hot = F.when(F.col("doc_id") % 3 == 0, F.lit("one instruction for a third of all rows"))
     d = _blanked(spark, sf_dir).withColumn("instruction", F.coalesce(hot, _padded("instruction")))
@@ -501,6 +511,12 @@ def _judge_resumed(spark, sf_dir):
     return _scores_by_row(po.judge(g, _marked_model("1000"), JUDGE_TEMPLATE, JUDGE_SYSTEM, log=log))
 
 
+def _judge_once(spark, sf_dir):
+    """Equal answers to one question are judged once, in lots filled from several Arrow batches."""
+    g = _groups(spark, sf_dir)
+    return _scores_by_row(po.judge(g, _length_judge(), JUDGE_TEMPLATE, JUDGE_SYSTEM, ask_once=True, read_ahead=4))
+
+
 def _generate_seeded(spark, sf_dir):
     settings = po.GenerationSettings(seed=7)
     return po.generate(_blanked(spark, sf_dir), _seeded_model(), settings=settings, prompt=F.col("instruction"))
@@ -612,6 +628,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "render_judge_prompt": _judge_prompt,
         "unseen": _unseen,
         "unseen_shuffled": _unseen_shuffled,
+        "unseen_stored": _unseen_stored,
         "sample_n": _sample_n,
         "sample_copies": _sample_copies,
         "sample_all": _sample_all,
@@ -638,6 +655,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "judge": _judge,
         "judge_whole_texts": _judge_whole_texts,
         "judge_resumed": _judge_resumed,
+        "judge_once": _judge_once,
         "parse_score": _parse_score,
         "seed_curation": _seed_curation,
         "preference_chain": _preference_chain,
@@ -879,6 +897,7 @@ def own_sql() -> dict[str, str]:
           FROM ({_SQL_SLOTS})
         """,
         "unseen": _sql_unseen(_sql_padded("instruction")),
+        "unseen_stored": _sql_unseen(_sql_padded("instruction")),
         "unseen_shuffled": _sql_unseen(
             "CASE WHEN doc_id % 3 = 0 THEN 'one instruction for a third of all rows' "
             f"ELSE {_sql_padded('instruction')} END"
@@ -977,6 +996,11 @@ def own_sql() -> dict[str, str]:
                  {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score
           FROM ({_SQL_SLOTS})
         """,
+        "judge_once": f"""
+          SELECT instruction, pos, response,
+                 {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score
+          FROM ({_SQL_SLOTS})
+        """,
         "judge_resumed": f"""
           SELECT instruction, pos, response,
                  {_sql_verdict(_sql_judge_prompt('instruction', 'response', None), 'response')} AS score

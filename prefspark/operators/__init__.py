@@ -28,8 +28,10 @@ from prefspark.operators.sampling import (
     number_copies,
     sample_n,
 )
+from prefspark.operators.usedkeys import UsedKeys
 
 __all__ = [
+    "UsedKeys",
     "GenerationSettings",
     "clean",
     "clean_report",

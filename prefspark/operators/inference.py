@@ -40,8 +40,9 @@ from prefspark.functions.prompts import (
     render_judge_prompt,
 )
 from prefspark.functions.scores import parse_score
-from prefspark.functions.text import is_blank, py_strip, seeded_hash
+from prefspark.functions.text import is_blank, py_strip, seeded_hash, text_digest
 from prefspark.operators.answerlog import answered_from_log
+from prefspark.sources.staging import stage_table
 
 # Ship what this module sends to the workers by value, so that executors need no
 # copy of the package.
@@ -50,6 +51,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Arrow batches of a task that may wait for their last remote answer; longest wait before a retry.
 READ_AHEAD = 8
+# A request at more places than this has its verdict broadcast.
+FREQUENT_REQUESTS = 100_000
 MAX_BACKOFF = 60.0
 
 
@@ -166,37 +169,68 @@ def as_text(df: DataFrame, request: Column) -> Column:
     return request if plain else F.to_json(request)
 
 
-def _batch_worker(factory: ModelFactory, settings: GenerationSettings, batch_size: int):
-    def make():
-        model = factory(settings)
+def _size(prompt: Any) -> int:
+    if isinstance(prompt, str) or prompt is None:
+        return len(prompt or "")
+    return sum(len(m["content"] or "") for m in prompt)
 
-        def ask(prompts: list, seeds: list | None) -> list:
-            answers = []
-            for start in range(0, len(prompts), batch_size):
-                part = slice(start, start + batch_size)
-                asked = prompts[part]
-                got = [list(a) for a in (model(asked) if seeds is None else model(asked, seeds[part]))]
-                if len(got) != len(asked) or any(len(a) != settings.answers for a in got):
-                    raise ValueError(
-                        f"the model must return {settings.answers} answer(s) for each of {len(asked)} prompts"
-                    )
-                answers.extend(got)
-            return answers
 
-        return ask
+def _each_row(shape: Callable[[list], list]):
+    """How a batch with one request per row is taken apart, and its answers put back."""
 
-    return make
+    def take(prompts, seeds):
+        return prompts.to_pylist(), None if seeds is None else seeds.to_pylist(), shape
 
+    return take
 
-def _one_by_one(make_ask: Callable, shape: Callable):
-    """A worker that answers batch after batch; ``shape`` turns a batch's answers into columns."""
+
+def _lot_worker(factory: ModelFactory, settings: GenerationSettings, batch_size: int, take: Callable, read_ahead: int):
+    """A worker that calls the model with lots of ``batch_size`` requests.
+
+    ``take`` makes of an Arrow batch its requests, their seeds, and a function from answers to columns.
+    With ``read_ahead`` above 1, lots are filled from so many batches, and requests of
+    like length share a lot, so that short ones do not wait for long ones. What does not fill a lot, the
+    requests read last, goes with the batches that follow. Batches leave in order.
+    """
+    if read_ahead < 1:
+        raise ValueError("read_ahead must be at least 1")
 
     def make_worker():
-        ask = make_ask()
+        model = factory(settings)
+
+        def ask(rows: list) -> None:
+            if read_ahead > 1:
+                rows = sorted(rows, key=lambda r: _size(r[2]))
+            for start in range(0, len(rows), batch_size):
+                lot = rows[start : start + batch_size]
+                asked = [r[2] for r in lot]
+                got = [list(a) for a in (model(asked) if settings.seed is None else model(asked, [r[3] for r in lot]))]
+                if len(got) != len(lot) or any(len(a) != settings.answers for a in got):
+                    raise ValueError(
+                        f"the model must return {settings.answers} answer(s) for each of {len(lot)} prompts"
+                    )
+                for (batch, place, *_), answers in zip(lot, got):
+                    batch[0][place] = answers
+                    batch[1] -= 1
 
         def work(requests):
+            batches: deque = deque()  # [answers, how many are missing, what makes columns of them]
+            waiting: list = []  # (batch, place in it, request, seed), as they came
             for prompts, seeds in requests:
-                yield shape(ask(prompts.to_pylist(), seeds and seeds.to_pylist()))
+                flat, own, shape = take(prompts, seeds)
+                batch = [[None] * len(flat), len(flat), shape]
+                batches.append(batch)
+                waiting += [(batch, k, p, own and own[k]) for k, p in enumerate(flat)]
+                if len(batches) >= read_ahead:
+                    full = len(waiting) if read_ahead == 1 else len(waiting) // batch_size * batch_size
+                    ask(waiting[:full])
+                    del waiting[:full]
+                while batches and not batches[0][1]:
+                    answers, _, shape = batches.popleft()
+                    yield shape(answers)
+            ask(waiting)
+            for answers, _, shape in batches:
+                yield shape(answers)
 
         return work
 
@@ -230,13 +264,14 @@ def generate_candidates(
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
     log: str | None = None,
+    read_ahead: int = 1,
 ) -> DataFrame:
     """``(instruction, responses)`` with ``n`` stripped answers per non-empty instruction."""
     if n is not None:
         settings = replace(settings, answers=n)
     rows = _instructions(df.select("instruction"), strip=True)
     prompt = render_chatml("instruction") if prompt is None else prompt
-    make_worker = _one_by_one(_batch_worker(factory, settings, batch_size), lambda answers: [answers])
+    make_worker = _lot_worker(factory, settings, batch_size, _each_row(lambda answers: [answers]), read_ahead)
     added = T.StructType([T.StructField("responses", T.ArrayType(T.StringType()))])
     answered = _run(rows, prompt, added, make_worker, settings, partitions or model_tasks(df), profile, log)
     return answered.select("instruction", F.transform("responses", py_strip).alias("responses"))
@@ -253,6 +288,7 @@ def generate(
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
     log: str | None = None,
+    read_ahead: int = 1,
 ) -> DataFrame:
     """``(instruction, output)`` with one answer per instruction.
 
@@ -261,13 +297,15 @@ def generate(
     default, or a :func:`chat_messages` column. ``partitions`` sets how many tasks call
     the model (:func:`model_tasks` by default), and ``profile`` which executors they run on.
     ``log`` names the answer log of the step; the model is then called at once, and only for
-    requests that the log does not answer yet.
+    requests that the log does not answer yet. ``read_ahead`` fills the lots of ``batch_size``
+    requests from so many Arrow batches, by length; a task holds that many batches.
     """
     if settings.answers != 1:
         raise ValueError("generate asks for one answer; use generate_candidates for more")
     rows = _instructions(df.select("instruction"), strip_input)
     prompt = render_chatml("instruction") if prompt is None else prompt
-    make_worker = _one_by_one(_batch_worker(factory, settings, batch_size), lambda answers: [[a[0] for a in answers]])
+    first = _each_row(lambda answers: [[a[0] for a in answers]])
+    make_worker = _lot_worker(factory, settings, batch_size, first, read_ahead)
     added = T.StructType([T.StructField("output", T.StringType())])
     answered = _run(rows, prompt, added, make_worker, settings, partitions or model_tasks(df), profile, log)
     output = py_strip("output") if strip_output else F.col("output")
@@ -401,6 +439,8 @@ def judge(
     partitions: int | None = None,
     profile: ResourceProfile | None = None,
     log: str | None = None,
+    read_ahead: int = 1,
+    ask_once: bool = False,
 ) -> DataFrame:
     """``(instruction, responses, scores)`` with one score or null per response.
 
@@ -410,6 +450,10 @@ def judge(
     its responses, so there is no explode and no join. Texts go whole unless ``max_chars`` cuts
     both. ``as_messages`` sends chat messages instead of text, for a judge with a chat
     layout of its own. In a ``log`` a row is one entry, with the verdicts on all its responses.
+
+    ``ask_once`` sends equal requests of all rows once (:func:`_judge_once`); the judge then sees
+    fewer requests, and the requests of a row are no longer asked together. With a ``log``, each
+    request is an entry.
     """
     if settings.answers != 1:
         raise ValueError("a judge gives one answer per request")
@@ -424,36 +468,70 @@ def judge(
             asked = render_judge_prompt(instruction, response, template, system, max_chars)
         return F.when(~is_blank(response), asked)
 
-    make_ask = _batch_worker(factory, settings, batch_size)
+    tasks = partitions or model_tasks(df)
+    if ask_once:
+        first = _each_row(lambda answers: [[a[0] for a in answers]])
+        make_worker = _lot_worker(factory, settings, batch_size, first, read_ahead)
+        added = T.StructType([T.StructField("verdict", T.StringType())])
+        judged = _judge_once(
+            rows, request, lambda asked: _run(asked, F.col("request"), added, make_worker, settings, tasks, profile, log)
+        )
+        return judged.select(
+            "instruction", "responses", F.transform("_verdicts", lambda v: parse(py_strip(v))).alias("scores")
+        )
 
-    def make_worker():
+    def take(requests, seeds):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        ask = make_ask()
-
-        def work(batches):
-            for requests, seeds in batches:
-                flat = requests.flatten()
-                asked = pc.is_valid(flat)
-                own = seeds and seeds.flatten().filter(asked).to_pylist()
-                answers = iter(ask(flat.filter(asked).to_pylist(), own))
-                texts = pa.array([next(answers)[0] if a else None for a in asked.to_pylist()], pa.string())
-                sizes = pc.fill_null(pc.list_value_length(requests), 0).to_pylist()
-                offsets = [0]
-                for size in sizes:
-                    offsets.append(offsets[-1] + size)
-                yield [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts, mask=requests.is_null())]
+        flat = requests.flatten()
+        asked = pc.is_valid(flat)
 
-        return work
+        def shape(answers):
+            each = iter(answers)
+            texts = pa.array([next(each)[0] if a else None for a in asked.to_pylist()], pa.string())
+            sizes = pc.fill_null(pc.list_value_length(requests), 0).to_pylist()
+            offsets = [0]
+            for size in sizes:
+                offsets.append(offsets[-1] + size)
+            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), texts, mask=requests.is_null())]
+
+        own = None if seeds is None else seeds.flatten().filter(asked).to_pylist()
+        return flat.filter(asked).to_pylist(), own, shape
+
+    make_worker = _lot_worker(factory, settings, batch_size, take, read_ahead)
 
     def seeds(requests: Column) -> Column:
         text = F.to_json if as_messages else lambda r: r
         return F.transform(requests, lambda r: request_seed(settings.seed, text(r)))
 
     added = T.StructType([T.StructField("_verdicts", T.ArrayType(T.StringType()))])
-    tasks = partitions or model_tasks(df)
     judged = _run(rows, F.transform("responses", request), added, make_worker, settings, tasks, profile, log, seeds)
     return judged.select(
         "instruction", "responses", F.transform("_verdicts", lambda v: parse(py_strip(v))).alias("scores")
     )
+
+
+def _judge_once(rows: DataFrame, request: Callable[[Column], Column], ask: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` with ``_verdicts``, where equal requests have been asked once.
+
+    Rows are staged with a number. Requests meet by digest, combined in each task, so one that a third of all rows
+    share is a row per task and one call. On the way back places, not texts, look their verdict up: requests that
+    more than ``FREQUENT_REQUESTS`` places share are few, and are broadcast; the others are joined by digest.
+    """
+    numbered = stage_table(rows.withColumn("_row", F.monotonically_increasing_id()))
+    asked = F.transform("responses", request)
+    places = numbered.select("_row", F.posexplode(asked).alias("_place", "request"))
+    text = as_text(places, F.col("request"))
+    places = places.filter("request IS NOT NULL").withColumn("_digest", text_digest(text))
+    distinct = places.groupBy("_digest").agg(F.any_value("request").alias("request"), F.count("*").alias("_times"))
+    verdicts = stage_table(ask(distinct).select("_digest", "_times", "verdict"))
+    # no more than the number of places over FREQUENT_REQUESTS
+    frequent = F.broadcast(verdicts.filter(F.col("_times") > FREQUENT_REQUESTS).select("_digest", "verdict"))
+    others = verdicts.filter(F.col("_times") <= FREQUENT_REQUESTS).select("_digest", "verdict")
+    narrow = places.select("_row", "_place", "_digest")
+    found = narrow.join(frequent, "_digest").unionByName(narrow.join(frequent, "_digest", "left_anti").join(others, "_digest"))
+    per_row = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_place", "verdict"))).alias("_found"))
+    joined = numbered.join(per_row, "_row", "left")
+    looked_up = F.transform("responses", lambda r, k: F.try_element_at("_found", k))
+    return joined.withColumn("_verdicts", looked_up)

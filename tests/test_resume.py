@@ -211,6 +211,80 @@ def test_retries_and_backoff(spark):
             generate_remote(df, factory, **wrong)
 
 
+# --- lots and requests asked once -------------------------------------------------
+
+
+def lot_model(settings):
+    calls = []
+
+    def model(prompts):
+        calls.append(1)
+        return [[f"{len(calls)} {len(prompts)} {min(map(len, prompts))}-{max(map(len, prompts))} {p}"] for p in prompts]
+
+    return model
+
+
+def test_lots_are_filled_from_several_batches(spark):
+    df = spark.range(0, 103, numPartitions=1).selectExpr("concat('p', id, repeat('x', cast(id * 37 % 50 as int))) as instruction")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        got = generate(df, lot_model, prompt=F.col("instruction"), batch_size=8, partitions=1, read_ahead=4).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    lots = {}
+    for r in got:
+        call, size, lengths, prompt = r.output.split(" ")
+        assert prompt == r.instruction  # every row has its own answer
+        lots[int(call)] = (int(size), lengths)
+    assert [lots[k][0] for k in sorted(lots)] == [8] * 12 + [7]
+    spread = [int(hi) - int(lo) for _, lengths in lots.values() for lo, hi in [lengths.split("-")]]
+    assert sum(spread) / len(spread) < 25  # of 50 in table order
+
+
+def test_read_ahead_of_a_judge_keeps_rows(spark):
+    rows = [(f"q{i}", [None if (i + j) % 5 == 0 else "r" * (i * 7 % 30 + j) for j in range(i % 4)] if i % 9 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "instruction string, responses array<string>")
+    judge_of = lambda s: lambda ps: [[str(len(p))] for p in ps]
+    want = sorted(map(repr, judge(df, judge_of, "{output}", "S").collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = judge(df, judge_of, "{output}", "S", read_ahead=3, batch_size=4, partitions=2).collect()
+        once = judge(df, judge_of, "{output}", "S", read_ahead=3, batch_size=4, partitions=2, ask_once=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(repr, got)) == want == sorted(map(repr, once))
+    with pytest.raises(ValueError):
+        judge(df, judge_of, "{output}", "S", read_ahead=0)
+
+
+@pytest.mark.parametrize("frequent", [100_000, 5])
+def test_equal_requests_cost_one_call(spark, tmp_path, monkeypatch, frequent):
+    """One response is a third of all rows."""
+    from prefspark.operators import inference
+
+    monkeypatch.setattr(inference, "FREQUENT_REQUESTS", frequent)
+    rows = [("q", ["same", f"own {i % 20}", " "][: 1 + i % 3]) for i in range(90)] + [("q", []), ("q", None), ("q", [None])]
+    df = spark.createDataFrame(rows, "instruction string, responses array<string>")
+    calls = str(tmp_path / "calls")
+
+    def factory(settings):
+        def model(prompts):
+            for p in prompts:
+                note(calls, str(len(p)))
+            return [[f"{len(p)}"] for p in prompts]
+
+        return model
+
+    want = judge(df, lambda s: lambda ps: [[f"{len(p)}"] for p in ps], "{output}", "S").collect()
+    for as_messages in (False, True):
+        got = judge(df, factory, "{output}", "S", ask_once=True, as_messages=as_messages).collect()
+        if not as_messages:
+            assert sorted(map(repr, got)) == sorted(map(repr, want))
+        assert len(got) == len(rows)
+    distinct = {r for _, rs in rows for r in rs or [] if r and r.strip()}
+    assert sum(noted(calls).values()) == 2 * len(distinct)
+
+
 # --- seeds ------------------------------------------------------------------------
 
 
