@@ -1,16 +1,23 @@
 """Quality rules: a linear-chain conditional random field marks lines, their share decides.
 
-Every line of a text is content or boilerplate. A field of two labels is trained here, on the
-lines of a bounded sample of labelled documents: lines of documents with quality 1 count as
-content, those of quality 0 as boilerplate. Viterbi decoding labels the lines of every text;
-a document is kept if at least half of the characters of its words stand in content lines and
+Every line of a text is content or boilerplate. Viterbi decoding labels the lines of every text; a
+document is kept if at least half of the characters of its words stand in content lines and
 the base rules pass. The work on a document needs that document alone, so nothing
 but the sample is moved, and the field's weights (a few dozen numbers) go to the workers.
 
+The field is trained here on the lines of a bounded sample of labelled documents. Targets are per line,
+so that one document may hold both kinds and the moves between them are learnt:
+- a line that stands between ``REPEATED`` different neighbours in the sample (licences, menus, footers) is boilerplate,
+  whatever the document; near copies of one document give a line one pair of neighbours only
+- any other line of a document of quality 1 is content
+- any other line of a document of quality 0 is latent: it may be either, with log odds of ``LATENT_ODDS`` for boilerplate
+The gradient is the difference of two forward-backward passes, one that is held to the targets and one that is free.
+
 Results
 - null and empty texts: all counts 0, base rule failed, not kept, ``content_share`` 0
 - no usable label (no labels, or one class only): every line counts as content
-- null ``doc_id``: judged, never part of the sample; repeated rows: one result row each
+- repeated rows of an id: one of its texts, of smallest hash, is in the sample; one result row each
+- an id with labels of both qualities, or without id: judged, never part of the sample
 - other columns are ignored; ``keep_good`` keeps them all
 """
 
@@ -25,9 +32,13 @@ from prefspark.llm.common import SPACE, arrow_map, arrow_schema, id_and_text, sh
 
 ship_by_value(__name__)
 
-# Bound of the sample: labelled documents of each class, and lines of each of them.
+# Bound of the sample: labelled documents of each class; a text is cut into pieces of so many lines,
+# and of a text of more pieces those with the smallest hash are taken, wherever they stand.
 SAMPLE_DOCS = 300
-SAMPLE_LINES = 64
+PIECE_LINES = 64
+SAMPLE_PIECES = 8
+REPEATED = 5
+LATENT_ODDS = 2.0
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -37,14 +48,14 @@ _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _DIGITS = bytes(range(48, 58))
 _HIGH = bytes(range(128, 256))
-FEATURES = 11
+FEATURES = 12
 
 
 # --- lines ----------------------------------------------------------------------
 
 
 def line_features(lines: list[bytes]):
-    """A row of ``FEATURES`` numbers for each line."""
+    """A row of ``FEATURES`` numbers for each line of a text."""
     import numpy as np
 
     rows, seen = [], set()
@@ -73,6 +84,7 @@ def line_features(lines: list[bytes]):
                 1.0 if line.rstrip(SPACE)[-1:] in b".?!:" else 0.0,
                 1.0 if line in seen else 0.0,
                 min(1.0, size / words / 20),
+                min(1.0, words / 30),
             )
         )
         seen.add(line)
@@ -104,47 +116,58 @@ def viterbi(scores, moves) -> list[int]:
 # --- training ---------------------------------------------------------------------
 
 
-def fit(sequences: list, labels: list[int], *, rounds: int = 100, rate: float = 0.1, penalty: float = 1e-3):
+CONTENT, BOILERPLATE, LATENT = 0, 1, -1
+
+
+def _sums(scores, there, moves):
+    """Log of the sum over all labellings, and the shares of labels and of moves, of padded sequences."""
+    import numpy as np
+
+    longest = scores.shape[1]
+    forward, backward = np.zeros_like(scores), np.zeros_like(scores)
+    forward[:, 0] = scores[:, 0]
+    for i in range(1, longest):
+        into = forward[:, i - 1, :, None] + moves
+        forward[:, i] = np.where(there[:, i, None], np.logaddexp(into[:, 0], into[:, 1]) + scores[:, i], forward[:, i - 1])
+    for i in range(longest - 2, -1, -1):
+        out = moves + (scores[:, i + 1] + backward[:, i + 1])[:, None, :]
+        backward[:, i] = np.where(there[:, i + 1, None], np.logaddexp(out[:, :, 0], out[:, :, 1]), 0)
+    total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
+    share = np.exp(forward + backward - total[:, None, None])
+    after = (scores[:, 1:] + backward[:, 1:])[:, :, None, :]
+    pair = np.exp(forward[:, :-1, :, None] + moves + after - total[:, None, None, None])
+    return share, pair
+
+
+def fit(sequences: list, targets: list, qualities: list[int], *, rounds: int = 100, rate: float = 0.1, penalty: float = 1e-3):
     """Weights (features x 2) and move scores (2 x 2) of the likeliest field.
 
-    ``sequences`` are feature matrices; all lines of one carry the same label (0 content,
-    1 boilerplate). Gradient by forward and backward sums, over all sequences at once. Both
-    classes weigh the same.
+    ``sequences`` are feature matrices, ``targets`` hold ``CONTENT``, ``BOILERPLATE`` or ``LATENT`` per
+    line. All sequences of a quality weigh the same, and so do the qualities.
     """
     import numpy as np
 
     longest = max(map(len, sequences))
     x = np.zeros((len(sequences), longest, FEATURES))
     there = np.zeros((len(sequences), longest), bool)
-    for i, s in enumerate(sequences):
+    held = np.zeros((len(sequences), longest, 2))
+    for i, (s, t) in enumerate(zip(sequences, targets)):
+        t = np.asarray(t)
         x[i, : len(s)], there[i, : len(s)] = s, True
-    y = np.array(labels)
-    lines = np.array([there[y == k].sum() for k in (0, 1)])
-    weight = (there.sum() / 2 / lines)[y][:, None] * there
+        held[i, : len(s), CONTENT] = np.where(t == BOILERPLATE, -50.0, 0.0)
+        held[i, : len(s), BOILERPLATE] = np.where(t == CONTENT, -50.0, np.where(t == LATENT, LATENT_ODDS, 0.0))
+    y = np.array(qualities)
+    each = there / there.sum(axis=1, keepdims=True)
+    lines = np.array([max(1e-9, each[y == k].sum()) for k in (0, 1)])
+    weight = (there.sum() / 2 / lines)[y][:, None] * each
     w, moves = np.zeros((FEATURES, 2)), np.zeros((2, 2))
     step = {"w": np.zeros_like(w), "w2": np.zeros_like(w), "m": np.zeros_like(moves), "m2": np.zeros_like(moves)}
     for t in range(1, rounds + 1):
         scores = x @ w
-        forward, backward = np.zeros_like(scores), np.zeros_like(scores)
-        forward[:, 0] = scores[:, 0]
-        for i in range(1, longest):
-            into = forward[:, i - 1, :, None] + moves
-            forward[:, i] = np.where(there[:, i, None], np.logaddexp(into[:, 0], into[:, 1]) + scores[:, i], forward[:, i - 1])
-        for i in range(longest - 2, -1, -1):
-            out = moves + (scores[:, i + 1] + backward[:, i + 1])[:, None, :]
-            backward[:, i] = np.where(there[:, i + 1, None], np.logaddexp(out[:, :, 0], out[:, :, 1]), 0)
-        total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        share = np.exp(forward + backward - total[:, None, None])
-        target = np.eye(2)[y][:, None, :]
-        grad_w = np.einsum("ntf,ntk->fk", x, (target - share) * weight[:, :, None])
-        pair = np.exp(
-            forward[:, :-1, :, None]
-            + moves
-            + (scores[:, 1:] + backward[:, 1:])[:, :, None, :]
-            - total[:, None, None, None]
-        )
-        both = np.einsum("nj,nk->njk", np.eye(2)[y], np.eye(2)[y])[:, None]
-        grad_m = np.einsum("ntjk,nt->jk", both - pair, weight[:, 1:])
+        share, pair = _sums(scores, there, moves)
+        wanted, wanted_pair = _sums(scores + held, there, moves)
+        grad_w = np.einsum("ntf,ntk->fk", x, (wanted - share) * weight[:, :, None])
+        grad_m = np.einsum("ntjk,nt->jk", wanted_pair - pair, weight[:, 1:])
         for name, value, grad in (("w", w, grad_w), ("m", moves, grad_m)):
             grad = grad / there.sum() - penalty * value
             step[name] = 0.9 * step[name] + 0.1 * grad
@@ -153,43 +176,78 @@ def fit(sequences: list, labels: list[int], *, rounds: int = 100, rate: float =
     return w, moves
 
 
+def line_targets(pieces: list) -> list[list[int]]:
+    """Targets of the lines of pieces (quality, [(key, key before, key after)])."""
+    from collections import defaultdict
+
+    before, after = defaultdict(set), defaultdict(set)
+    for _, lines in pieces:
+        for key, previous, following in lines:
+            before[key].add(previous)
+            after[key].add(following)
+    repeated = {k for k in before if k and max(len(before[k]), len(after[k])) >= REPEATED}
+    return [[BOILERPLATE if k in repeated else CONTENT if quality else LATENT for k, _, _ in lines] for quality, lines in pieces]
+
+
+def _pieces(text: bytes):
+    """(features, keys with those before and after) of the pieces of a text that are in the sample."""
+    import numpy as np
+    import xxhash
+
+    lines = text.split(b"\n")
+    keys = [xxhash.xxh64_intdigest(x.strip(SPACE).lower()) if x.strip(SPACE) else 0 for x in lines]
+    around = np.array([0, *keys, 0], np.uint64)
+    near = np.stack([around[1:-1], around[:-2], around[2:]], axis=1)
+    features = line_features(lines)
+    starts = range(0, len(lines), PIECE_LINES)
+    if len(starts) > SAMPLE_PIECES:
+        starts = sorted(starts, key=lambda s: xxhash.xxh64_intdigest(near[s : s + PIECE_LINES].tobytes()))[:SAMPLE_PIECES]
+    return [(features[s : s + PIECE_LINES], near[s : s + PIECE_LINES]) for s in starts]
+
+
 def train(docs: DataFrame, labels: DataFrame):
     """Fit the field on at most ``SAMPLE_DOCS`` documents of each quality; None without both.
 
     The sample is the labelled ids with the smallest hash, so it is the same for the same
-    ids wherever they lie. Only its line features reach the driver.
+    ids wherever they lie. Only its line features and key hashes reach the driver, at most
+    ``SAMPLE_PIECES`` pieces a document.
     """
     import numpy as np
 
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    known = known.filter("doc_id IS NOT NULL AND quality IN (0, 1)").withColumn("h", F.xxhash64("doc_id"))
+    known = known.filter("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
+    known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
+    known = known.select("doc_id", "quality", F.xxhash64("doc_id").alias("h"))
     picked = None
     for k in (0, 1):
-        own = known.filter(F.col("quality") == k).distinct().orderBy("h", "doc_id").limit(SAMPLE_DOCS)
+        own = known.filter(F.col("quality") == k).orderBy("h", "doc_id").limit(SAMPLE_DOCS)
         picked = own if picked is None else picked.unionByName(own)
-    # At most 2 * SAMPLE_DOCS ids are broadcast.
+    # At most 2 * SAMPLE_DOCS ids are broadcast. One text of each is left before any is measured.
     texts = id_and_text(docs).join(F.broadcast(picked), "doc_id")
-    schema = arrow_schema("doc_id long, quality int, n long, features binary")
+    texts = texts.groupBy("doc_id", "quality").agg(F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text"))
+    schema = arrow_schema("doc_id long, quality int, place int, features binary, keys binary")
 
     def measure(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [line_features(t.split(b"\n")[:SAMPLE_LINES]) for t in text_bytes(batch.column(1))]
-            columns = [batch.column(0), batch.column(2), [len(x) for x in found], [x.tobytes() for x in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema)], schema=schema)
+            rows = []
+            for i, quality, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), text_bytes(batch.column(1))):
+                rows += [(i, quality, k, f.tobytes(), near.tobytes()) for k, (f, near) in enumerate(_pieces(text))]
+            columns = zip(*rows) if rows else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     rows = (
         texts.select("doc_id", "text", "quality")
-        .mapInArrow(measure, "doc_id long, quality int, n long, features binary")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "features")
-        .limit(2 * SAMPLE_DOCS)
+        .mapInArrow(measure, "doc_id long, quality int, place int, features binary, keys binary")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "place")
         .collect()
     )
     if {r.quality for r in rows} != {0, 1}:
         return None
     sequences = [np.frombuffer(r.features).reshape(-1, FEATURES) for r in rows]
-    return fit(sequences, [1 - r.quality for r in rows])
+    keys = [(r.quality, np.frombuffer(r["keys"], np.uint64).reshape(-1, 3).tolist()) for r in rows]
+    return fit(sequences, line_targets(keys), [r.quality for r in rows])
 
 
 # --- documents --------------------------------------------------------------------

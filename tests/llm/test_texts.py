@@ -194,6 +194,74 @@ def test_quality_held_out(spark):
     assert sorted(r.doc_id for r in quality.keep_good(table, labels).collect()) == [i for i in range(120) if i % 2 == 0]
 
 
+def mixed_document(rng, good, framed):
+    words = lambda n: " ".join(rng.choice(["river", "stone", "walks", "under", "bright", "morning"]) + rng.choice("abcde") for _ in range(n))
+    if not good:
+        return "\n".join(" | ".join(w.upper() + "$$" for w in words(4).split()) for _ in range(rng.randint(4, 9)))
+    body = [words(rng.randint(25, 40)).capitalize() + "." for _ in range(rng.randint(2, 4))]
+    heads = ["Home | About us | Contact", "Menu: news, sport, weather", "Skip to the content"]
+    feet = ["All rights reserved 2020", "Licensed under some licence, version 3"]
+    return "\n".join([rng.choice(heads), *body, rng.choice(feet)] if framed else body)
+
+
+def test_lines_of_both_kinds_in_one_document(spark):
+    """Held out: prose between a repeated head and foot gets both labels, and only the prose is content."""
+    rng = random.Random(3)
+    texts = [(i, mixed_document(rng, i % 3 > 0, i % 3 == 2)) for i in range(180)]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id long, quality int")
+    weights, moves = quality.train(table, labels)
+    assert weights.shape == (quality.FEATURES, 2) and moves.shape == (2, 2)
+    judged = {r.doc_id: r for r in quality.judge_quality(table, labels).collect()}
+    held = [i for i in range(120, 180)]
+    framed = [judged[i] for i in held if i % 3 == 2]
+    assert sum(0 < r.content_share < 1 and r.n_content_lines == r.n_lines - 2 for r in framed) >= 0.9 * len(framed)
+    assert all(judged[i].kept for i in held if i % 3) and not any(judged[i].kept for i in held if i % 3 == 0)
+
+
+def test_line_targets():
+    """Many neighbours make a line boilerplate; copies of one document do not."""
+    copies = [(1, [(7, 0, 8), (8, 7, 0)])] * 20
+    framed = [(1, [(1, 0, 100 + k), (100 + k, 1, 0)]) for k in range(quality.REPEATED)]
+    bad = [(0, [(900, 0, 901), (901, 900, 1), (1, 901, 0)])]
+    targets = quality.line_targets(copies + framed + bad)
+    assert targets[:20] == [[quality.CONTENT] * 2] * 20
+    assert targets[20:-1] == [[quality.BOILERPLATE, quality.CONTENT]] * quality.REPEATED
+    assert targets[-1] == [quality.LATENT, quality.LATENT, quality.BOILERPLATE]
+
+
+def test_sums_are_those_of_all_labellings():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    scores, moves = rng.normal(size=(1, 4, 2)), rng.normal(size=(2, 2))
+    share, pair = quality._sums(scores, np.ones((1, 4), bool), moves)
+    weight = {p: np.exp(sum(scores[0, t, k] for t, k in enumerate(p)) + sum(moves[a, b] for a, b in zip(p, p[1:]))) for p in itertools.product((0, 1), repeat=4)}
+    total = sum(weight.values())
+    for t in range(4):
+        assert np.isclose(share[0, t, 1], sum(w for p, w in weight.items() if p[t]) / total)
+    assert np.isclose(pair[0, 1, 0, 1], sum(w for p, w in weight.items() if p[1:3] == (0, 1)) / total)
+
+
+def test_repeated_rows_of_a_sampled_id(spark, monkeypatch):
+    """One text of an id is in the sample, and all pieces of a long text may be, wherever they stand."""
+    rng = random.Random(5)
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 10)
+    rows = [(i, mixed_document(rng, i % 2 == 0, False)) for i in range(20)] + [(0, mixed_document(rng, True, False))] * 100
+    table = spark.createDataFrame([*rows, (1, None), (3, "x\n" * 3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(20)] + [(0, 1), (5, 1), (6, None)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda sequences, targets, qualities: seen.append((sequences, targets, qualities)))
+    quality.train(table, labels)
+    sequences, _, qualities = seen[0]
+    assert qualities.count(1) == 10 and set(qualities) == {0, 1}
+    assert max(map(len, sequences)) <= quality.PIECE_LINES
+    pieces = quality._pieces("\n".join(f"line {k}" for k in range(3000)).encode())
+    assert len(pieces) == quality.SAMPLE_PIECES and len({f.tobytes() for f, _ in pieces} | {k.tobytes() for _, k in pieces}) > quality.SAMPLE_PIECES
+
+
 # --- sharding ---------------------------------------------------------------------
 
 
