@@ -283,23 +283,34 @@ def oracle_sql() -> dict[str, str]:
                        lambda x: x <> ''), lambda x: 'key=' || x)) END AS tokens
             FROM parsed
           ), baskets AS (
-            SELECT tokens, bad FROM tokenized JOIN (
+            SELECT rid, tokens, bad FROM tokenized JOIN (
               SELECT doc_id, bool_or(quality = 0) AS bad FROM labels
               WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id) ON doc_id = page_id
             WHERE len(tokens) > 0 OR bad
+          ), whole AS (
+            SELECT count(*) AS n_all, count(*) FILTER (WHERE bad) AS n_all_bad,
+                   greatest(10, ceil(CAST(0.005 AS DOUBLE) * count(*))) AS least FROM baskets
+          ), merged AS (
+            SELECT rids, min(token) AS item, list(token) AS tokens FROM (
+              SELECT token, list_sort(list(rid)) AS rids FROM (SELECT rid, unnest(tokens) AS token FROM baskets) GROUP BY token)
+            WHERE len(rids) >= (SELECT least FROM whole) GROUP BY rids
+          ), held AS (
+            SELECT rid, list_sort(list(item)) AS items FROM (SELECT unnest(rids) AS rid, item FROM merged) GROUP BY rid
           ), counted AS (
             SELECT s, count(*) AS n, count(*) FILTER (WHERE bad) AS n_bad FROM (
-              SELECT bad, list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS s
-              FROM (SELECT *, unnest(range(1, CAST(1 AS BIGINT) << len(tokens))) AS mask FROM baskets)) GROUP BY s
-          ), whole AS (
-            SELECT count(*) AS n_all, count(*) FILTER (WHERE bad) AS n_all_bad FROM baskets
-          ), rules AS (
-            SELECT s FROM counted, whole
-            WHERE n_bad >= greatest(10, ceil(CAST(0.005 AS DOUBLE) * n_all))
-              AND CAST(n_bad AS DOUBLE) / n >= CAST(0.6 AS DOUBLE)
+              SELECT bad, list_filter(items, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS s
+              FROM (SELECT *, unnest(range(1, CAST(1 AS BIGINT) << len(items))) AS mask FROM held JOIN baskets USING (rid))) GROUP BY s
+          ), passed AS (
+            SELECT s, CAST(n_bad AS DOUBLE) / n AS confidence FROM counted, whole
+            WHERE n_bad >= least AND CAST(n_bad AS DOUBLE) / n >= CAST(0.6 AS DOUBLE)
               AND (CAST(n_bad AS DOUBLE) / n) / (CAST(n_all_bad AS DOUBLE) / n_all) >= CAST(1.5 AS DOUBLE)
+          ), rules AS (
+            SELECT flatten(list(tokens)) AS needed FROM (
+              SELECT s, unnest(s) AS item FROM passed r WHERE NOT EXISTS (
+                SELECT 1 FROM passed q WHERE len(q.s) < len(r.s) AND list_has_all(r.s, q.s) AND q.confidence >= r.confidence))
+            JOIN merged USING (item) GROUP BY s
           ), fired AS (
-            SELECT rid, count(*) AS n_mined FROM tokenized, rules WHERE list_has_all(tokens, s) GROUP BY rid
+            SELECT rid, count(*) AS n_mined FROM tokenized, rules WHERE list_has_all(tokens, needed) GROUP BY rid
           ), ruled AS (
             SELECT *, CASE
               WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'

@@ -2,22 +2,30 @@
 
 The URLs of labelled pages are sets of tokens (host labels, path segments with digits folded,
 query keys). FP-growth finds the token combinations that are frequent together with a bad
-label; rules below the least confidence, support or lift are pruned. To match, rules are kept in an
+label; rules below the least confidence, support or lift are pruned. Before mining, tokens that stand
+in exactly the same labelled pages are merged into one item, so a URL that is merely repeated is one
+item however long it is. After it, a rule goes if another one with fewer of its items has at least its
+confidence. A rule asks for all tokens of its items. To match, rules are kept in an
 inverted index under their rarest token: a URL meets only rules posted under one of its
 tokens, and a rule fires if the URL holds all of its tokens. A fixed rule that fits
 decides before any mined rule.
 
+Rules are as many as the combinations of items that stand in different, frequent sets of pages: k tokens in
+ever smaller ones of each other's pages still make 2^k. A higher support is the remedy.
+
 Mining sees the labelled pages alone. Matching shuffles only the rows that fire; the rules are
 broadcast while there are at most ``BROADCAST_RULES`` of them, else joined by a shuffle.
 
 Results
 - null URL, or one without ``://``: empty host and path, no rule, no token, allowed
 - no labelled page, or fewer than ``min_count``, or no bad one: no mined rule; null labels and ids are ignored
-- repeated rows: one result row each; other columns are ignored
+- repeated rows: one result row each, each counts as a page; long URLs that are repeated: one item, one rule
+- other columns are ignored
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -67,34 +75,70 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     )
 
 
+def merged_items(baskets: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``row``, ``items`` of every basket, and the items: ``item``, ``n`` and ``tokens``.
+
+    An item is a set of tokens that stand in the same baskets, named by the smallest, in ``least`` baskets or
+    more. Basket sets are compared by their number and two sums of 64-bit hashes.
+    """
+    postings = baskets.select("row", F.explode("tokens").alias("token"))
+
+    def total(seed):
+        return F.sum(F.xxhash64(F.lit(seed), "row").cast("decimal(38,0)"))
+
+    sets = postings.groupBy("token").agg(F.count("*").alias("n"), total(1).alias("h1"), total(2).alias("h2")).filter(F.col("n") >= least)
+    # all tokens of an item stand in one URL
+    items = sets.groupBy("n", "h1", "h2").agg(F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("tokens"))
+    items = stage_table(items.select("item", "n", "tokens"))
+    # no more rows than all tokens of the baskets over ``least``, a fixed share of the baskets
+    named = postings.join(F.broadcast(items.select(F.col("item").alias("token"))), "token")
+    held = named.groupBy("row").agg(F.collect_list("token").alias("items"))
+    return baskets.select("row", "bad").join(held, "row", "left").withColumn("items", F.coalesce("items", F.array())), items
+
+
+def minimal_rules(rules: DataFrame) -> DataFrame:
+    """The ``rules`` (``rule_id``, ``items``, ``confidence``, ``key``) with no sub-rule of at least their confidence.
+
+    A sub-rule is met under its key, its rarest item, which the longer rule holds too.
+    """
+    sub = rules.select("key", F.col("rule_id").alias("sub_id"), F.col("items").alias("fewer"), F.col("confidence").alias("sub_confidence"))
+    met = rules.select("rule_id", "items", "confidence", F.explode("items").alias("key")).join(sub, "key")
+    covered = met.filter(
+        (F.size("fewer") < F.size("items")) & (F.col("sub_confidence") >= F.col("confidence")) & (F.size(F.array_except("fewer", "items")) == 0)
+    )
+    return rules.join(covered.select("rule_id").distinct(), "rule_id", "left_anti")
+
+
 def mine_rules(
     baskets: DataFrame, min_support: float, min_count: int, min_confidence: float, min_lift: float
 ) -> DataFrame | None:
     """Rules that lead to a bad label: ``rule_id``, ``tokens``, ``confidence`` and the index ``key``.
 
-    ``baskets`` has ``tokens`` and ``bad``. The key is the rule's rarest token in the baskets.
+    ``baskets`` has ``row``, ``tokens`` and ``bad``. The key is a token of the rule's rarest item.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    items = baskets.select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")
-    )
-    items = stage_table(items.filter(F.size("items") > 0))
-    if not items.filter(F.array_contains("items", _BAD)).head(1):
+    baskets = stage_table(baskets.filter(F.col("bad") | (F.size("tokens") > 0)))
+    if not baskets.filter("bad").head(1):
         return None
     # Half a page less, as the share is rounded up to a number of pages again.
-    support = max(min_support, (min_count - 0.5) / items.count())
+    n = baskets.count()
+    support = max(min_support, (min_count - 0.5) / n)
     if support > 1:
         return None
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
+    held, items = merged_items(baskets, math.ceil(support * n))
+    held = stage_table(held.select(F.when(F.col("bad"), F.array_append("items", F.lit(_BAD))).otherwise(F.col("items")).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(held)
     bad = model.associationRules.filter(
         (F.col("consequent")[0] == _BAD) & (F.col("lift") >= min_lift) & (F.size("antecedent") > 0)
     )
-    rules = stage_table(bad.select(F.monotonically_increasing_id().alias("rule_id"), F.col("antecedent").alias("tokens"), "confidence"))
-    single = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    keyed = rules.select("rule_id", F.explode("tokens").alias("token")).join(single, "token")
-    key = keyed.groupBy("rule_id").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
-    return stage_table(rules.join(key, "rule_id"))
+    rules = stage_table(bad.select(F.monotonically_increasing_id().alias("rule_id"), F.col("antecedent").alias("items"), "confidence"))
+    named = rules.select("rule_id", F.explode("items").alias("item")).join(F.broadcast(items), "item")
+    named = named.groupBy("rule_id").agg(
+        F.min(F.struct("n", "item"))["item"].alias("key"), F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens")
+    )
+    keyed = stage_table(rules.join(named, "rule_id"))
+    return stage_table(minimal_rules(keyed).select("rule_id", "tokens", "confidence", "key"))
 
 
 def judge_urls(
@@ -124,7 +168,7 @@ def judge_urls(
     parsed = stage_table(parsed)
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("page_id"))
     known = known.agg(F.bool_or(F.col("quality") == 0).alias("bad"))
-    mined = mine_rules(parsed.join(known, "page_id").select("tokens", "bad"), min_support, min_count, min_confidence, min_lift)
+    mined = mine_rules(parsed.join(known, "page_id").select("row", "tokens", "bad"), min_support, min_count, min_confidence, min_lift)
     rule = fitting_rule(F.col("host"), F.col("path"), rules).alias("rule")
     if mined is None:
         judged = parsed.select("page_id", "host", "path", rule, F.lit(0).cast("long").alias("n_mined"))

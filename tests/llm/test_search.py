@@ -95,18 +95,34 @@ def test_mined_rules(spark):
     url_of = dict(pages)
     baskets = [(slow_tokens(url_of[i]), q == 0) for i, q in labelled if i is not None and q is not None]
     n_bad = sum(b for _, b in baskets)
+    least = -(-3 * len(baskets) // 100)
+    rows_of = defaultdict(set)
+    for row, (tokens, _) in enumerate(baskets):
+        for t in tokens:
+            rows_of[t].add(row)
+    merged = defaultdict(set)  # tokens that stand in the same pages are one item
+    for t, where in rows_of.items():
+        if len(where) >= least:
+            merged[frozenset(where)].add(t)
+    assert any(len(m) > 1 for m in merged.values())
     seen, with_bad = defaultdict(int), defaultdict(int)
-    for tokens, b in baskets:
-        for k in range(1, len(tokens) + 1):
-            for subset in itertools.combinations(sorted(tokens), k):
+    for row, (_, b) in enumerate(baskets):
+        items = sorted(tuple(sorted(m)) for where, m in merged.items() if row in where)
+        for k in range(1, len(items) + 1):
+            for subset in itertools.combinations(items, k):
                 seen[subset] += 1
                 with_bad[subset] += b
-    least = -(-3 * len(baskets) // 100)
-    rules = [
-        set(s)
+    passed = {
+        s: n / seen[s]
         for s, n in with_bad.items()
         if n >= least and n / seen[s] >= 0.7 and n / seen[s] / (n_bad / len(baskets)) >= 1.5
+    }
+    rules = [
+        {t for item in s for t in item}
+        for s, c in passed.items()
+        if not any(set(q) < set(s) and passed[q] >= c for q in passed)
     ]
+    assert len(rules) < len(passed)
     assert rules
     for r in got:
         fired = sum(rule <= slow_tokens(url_of[r.page_id]) for rule in rules)
@@ -115,6 +131,17 @@ def test_mined_rules(spark):
     assert {r.verdict for r in got} == {"allow", "block"}
 
 
+def test_a_long_url_that_is_repeated_is_one_rule(spark):
+    """Twelve bad pages of one URL of forty segments, which have 2^40 token sets between them."""
+    url = "http://long.example.com/" + "/".join(f"seg{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40)) + "?q=1"
+    pages = [(i, url) for i in range(12)] + [(i, f"http://good.org/{chr(97 + i % 20)}") for i in range(12, 60)] + [(99, url[:-8]), (100, url)]
+    labels = spark.createDataFrame([(i, int(i >= 12)) for i in range(60)], "doc_id long, quality int")
+    got = judge_urls(spark.createDataFrame(pages, "page_id long, url string"), labels, {})
+    found = {r.page_id: (r.verdict, r.n_mined) for r in got.collect()}
+    assert all(found[i] == ("block", 1) for i in (*range(12), 100))
+    assert all(found[i] == ("allow", 0) for i in (*range(12, 60), 99))
+
+
 # --- decontamination --------------------------------------------------------------
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
