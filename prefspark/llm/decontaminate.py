@@ -11,12 +11,12 @@ anchors are the rarest of the words that occur, and an item with fewer than ``RA
 needs just these, but two at least if it has two words.
 
 A window is ``WINDOW`` consecutive words of an item; a shorter item is one window. Test
-terms, anchors and items are broadcast while their number is below a bound, else joined by a shuffle.
+terms, anchors and items are broadcast while their bytes are below a bound, else joined by a shuffle.
 
 Results
 - null and empty texts, and texts without words: no words, no hits; such items have no window
 - null ``doc_id``: kept; repeated rows: one result row each; repeated items count once
-- an item without id takes part in hits but is not among the item ids
+- an item without id takes part in hits but is not among the item ids, nor counted with them
 - other columns are ignored, whatever their names
 """
 
@@ -30,9 +30,9 @@ from prefspark.llm.common import ascii_lower, stage_table
 WINDOW = 10
 RAREST = 3
 SLOP = 2
-# Rows up to which a side is broadcast: narrow rows, 16 to 64 bytes each.
-BROADCAST_TERMS = 1_000_000
-BROADCAST_CANDIDATES = 200_000
+# Bytes up to which a side is broadcast, and what a row of a few numbers takes there.
+BROADCAST_BYTES = 64 << 20
+NARROW_ROW = 64
 
 
 def word_hashes(text: Column) -> Column:
@@ -46,8 +46,10 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def _small(df: DataFrame, most: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= most else df
+def _small(df: DataFrame, more: Column | None = None) -> DataFrame:
+    """For broadcast if its rows, and ``more`` bytes that each takes, are within the bound."""
+    size = F.lit(NARROW_ROW) if more is None else NARROW_ROW + F.coalesce(more, F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def _windows(items: DataFrame, window: int) -> DataFrame:
@@ -65,7 +67,7 @@ def _anchors(items: DataFrame, tokens: DataFrame, window: int) -> DataFrame:
 
     ``whole`` tells anchors of windows that can occur as a phrase, all words of which the corpus holds.
     """
-    terms = _small(items.select(F.explode("terms").alias("term")).distinct(), BROADCAST_TERMS)
+    terms = _small(items.select(F.explode("terms").alias("term")).distinct())
     seen = tokens.select(F.explode("tokens").alias("term")).join(terms, "term")
     frequency = seen.groupBy("term").agg(F.count("*").alias("frequency"))
     of_window = Window.partitionBy("item", "start")
@@ -101,12 +103,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     per_document = tokens.select("row", "doc_id", "text_hash", F.size("tokens").cast("long").alias("n_words"))
 
     anchors = stage_table(_anchors(items, tokens, window))
-    listed = _small(anchors.select("term").distinct(), BROADCAST_TERMS)
+    listed = _small(anchors.select("term").distinct())
     postings = stage_table(
         tokens.select("row", F.posexplode("tokens").alias("pos", "term")).join(listed, "term").select("term", "row", "pos")
     )
     # Offset-adjusted intersection: postings of one document and item on one diagonal.
-    met = postings.join(_small(anchors, BROADCAST_TERMS), "term").select(
+    met = postings.join(_small(anchors), "term").select(
         "row", "item", (F.col("pos") - F.col("place")).alias("diagonal"), "place", "whole"
     )
     counted = met.groupBy("row", "item", "diagonal").agg(
@@ -123,16 +125,15 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     close = (
         # a word that a document repeats is one place of the item
         counted.withColumn("near", F.size(F.array_distinct(F.flatten(F.collect_list("places").over(nearby)))))
-        .join(_small(needed, BROADCAST_TERMS), "item")
+        .join(_small(needed), "item")
         .filter(F.col("near") >= F.col("needed_near"))
     )
     close = stage_table(close.select("row", "item", "diagonal", (F.col("n_whole") >= F.col("needed")).alias("aligned")))
 
     # Exact phrases: compare the aligned diagonals with the stored positions.
-    aligned = close.filter("aligned").groupBy("row").agg(F.collect_list(F.struct("item", "diagonal")).alias("found"))
-    aligned = tokens.select("row", "tokens").join(_small(aligned, BROADCAST_CANDIDATES), "row")
-    aligned = aligned.select("row", "tokens", F.explode("found").alias("f"))
-    aligned = aligned.select("row", "tokens", "f.item", "f.diagonal").join(_small(items, BROADCAST_CANDIDATES), "item")
+    aligned = close.filter("aligned").select("row", "item", "diagonal")
+    aligned = tokens.select("row", "tokens").join(_small(aligned), "row")
+    aligned = aligned.join(_small(items, 8 * F.size("terms") + F.octet_length("item_id")), "item")
     n = F.size("terms")
     size = F.least(F.lit(window), n)
     starts = F.filter(
@@ -144,7 +145,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         F.flatten(F.transform(starts, lambda s: F.sequence(s + F.col("diagonal"), s + F.col("diagonal") + size - 1)))
     )
     exact = aligned.select("row", "item_id", hits.alias("hits")).filter(F.size("hits") > 0)
-    near = close.select("row", "item").distinct().join(_small(items.select("item", "item_id"), BROADCAST_TERMS), "item")
+    near = close.select("row", "item").distinct().join(_small(items.select("item", "item_id"), F.octet_length("item_id")), "item")
     near = near.select("row", "item_id", F.array().cast("array<int>").alias("hits"))
     return per_document, exact.unionByName(near)
 
@@ -161,7 +162,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         .groupBy("row")
         .agg(
             F.array_sort(F.collect_list(F.when(phrase, F.col("item_id")))).alias("items"),
-            F.count(F.when(~phrase, 1)).alias("n_near_items"),
+            F.count(F.when(~phrase, F.col("item_id"))).alias("n_near_items"),
             F.array_sort(F.collect_list(F.when(~phrase, F.col("item_id")))).alias("near_items"),
         )
     )

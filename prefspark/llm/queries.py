@@ -45,32 +45,28 @@ def op3_bpe_round_trip(spark, sf_dir):
 
 
 def op4_secret_scan(spark, sf_dir):
-    from prefspark.llm.secrets import secret_spans, span_text
+    from prefspark.llm.secrets import KINDS, secret_verdicts, span_text
+
+    def chosen(holds):
+        return F.filter("verdicts", holds)
+
+    def is_base(s):
+        return s["rank"] < len(KINDS)
 
     def number(kind):
-        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(chosen(lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return secret_spans(_table(spark, sf_dir, "documents")).select(
+    return secret_verdicts(_table(spark, sf_dir, "documents")).select(
         "doc_id",
         number("assign"),
         number("access"),
         number("hex"),
-        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
-        span_text(F.array_sort(F.concat("base", "live"))).alias("spans"),
-        F.size("live").cast("long").alias("n_live"),
-        F.col("examples").cast("long").alias("n_examples"),
-    )
-
-
-def op4_secret_ownership(spark, sf_dir):
-    """The verdict on every span; the SQL of op4_secret_scan has no place for those of the base kinds."""
-    from prefspark.llm.secrets import secret_verdicts, span_text
-
-    def spans(live):
-        return span_text(F.filter("verdicts", lambda s: s["is_live"] == live))
-
-    return secret_verdicts(_table(spark, sf_dir, "documents")).select(
-        "doc_id", spans(True).alias("live_spans"), spans(False).alias("example_spans")
+        F.sha2(span_text(chosen(is_base)), 256).alias("base_sha256"),
+        span_text(chosen(lambda s: is_base(s) | s["is_live"])).alias("spans"),
+        F.size(chosen(lambda s: ~is_base(s) & s["is_live"])).cast("long").alias("n_live"),
+        F.size(chosen(lambda s: ~is_base(s) & ~s["is_live"])).cast("long").alias("n_examples"),
+        span_text(chosen(lambda s: s["is_live"])).alias("live_spans"),
+        span_text(chosen(lambda s: ~s["is_live"])).alias("example_spans"),
     )
 
 
@@ -116,15 +112,8 @@ def op8_decontamination(spark, sf_dir):
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-    )
-
-
-def op8_near_items(spark, sf_dir):
-    """Items that come near in a document without a phrase of theirs; the SQL of op8_decontamination has no place for them."""
-    from prefspark.llm.decontaminate import decontaminate
-
-    return decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).select(
-        "doc_id", "n_words", F.col("n_near_items").cast("long").alias("n_near_items"), F.array_join("near_items", ",").alias("near_items")
+        "n_near_items",
+        F.array_join("near_items", ",").alias("near_items"),
     )
 
 
@@ -212,12 +201,10 @@ def queries() -> dict:
         op2_line_dedup,
         op3_bpe_round_trip,
         op4_secret_scan,
-        op4_secret_ownership,
         op5_simhash,
         op6_sharding,
         op7_substring_dedup,
         op8_decontamination,
-        op8_near_items,
         op9_quality_rules,
         op10_token_counts,
         op11_periodic_runs,
@@ -353,25 +340,37 @@ def oracle_sql() -> dict[str, str]:
           ), wide AS (
             SELECT * FROM ({_sql_spans("live", 3, "[A-Za-z0-9+/_=-]{16,}", 0, "true")})
             WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+          ), parted AS (
+            SELECT *, list_filter(string_split_regex(v, '[=/]+'),
+                                  lambda p: length(p) >= 16 AND regexp_matches(p, '[0-9]') AND regexp_matches(p, '[A-Za-z]')) AS parts FROM wide
+          ), entries AS (
+            SELECT rid, doc_id, source, rank, a, v, true AS judged FROM base
+            UNION ALL SELECT rid, doc_id, source, rank, a, v, len(parts) = 0 FROM parted
+            UNION ALL SELECT rid, doc_id, source, rank, a, unnest(parts), true FROM parted
+          ), named AS (
+            SELECT * REPLACE (regexp_replace(v, '[=.]+$', '') AS v) FROM entries
           ), ownership AS (
-            SELECT v, count(DISTINCT (doc_id, coalesce(source, ''))) <= 3 AND count(DISTINCT coalesce(source, '')) <= 1 AS live
-            FROM wide GROUP BY v
-          ), judged AS (
-            SELECT wide.*, live FROM wide JOIN ownership USING (v)
+            SELECT v, count(DISTINCT (coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(source, ''))) <= 3 AND count(DISTINCT coalesce(source, '')) <= 1 AS live
+            FROM named GROUP BY v
+          ), verdicts AS (
+            SELECT rid, rank, a, bool_or(live) AS live FROM named JOIN ownership USING (v) WHERE judged GROUP BY rid, rank, a
           ), every AS (
-            SELECT rid, kind, rank, a, b FROM base UNION ALL SELECT rid, kind, rank, a, b FROM judged WHERE live
+            SELECT rid, kind, rank, a, b, live, kind || ':' || a || ':' || b AS span
+            FROM (SELECT rid, kind, rank, a, b FROM base UNION ALL SELECT rid, kind, rank, a, b FROM wide) JOIN verdicts USING (rid, rank, a)
           ), per_text AS (
             SELECT rid, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
-                   count(*) FILTER (WHERE kind = 'hex') AS n_hex, count(*) FILTER (WHERE kind = 'live') AS n_live,
-                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (WHERE kind <> 'live') AS base,
-                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans
+                   count(*) FILTER (WHERE kind = 'hex') AS n_hex, count(*) FILTER (WHERE kind = 'live' AND live) AS n_live,
+                   count(*) FILTER (WHERE kind = 'live' AND NOT live) AS n_examples,
+                   string_agg(span, ',' ORDER BY a, rank) FILTER (WHERE kind <> 'live') AS base,
+                   string_agg(span, ',' ORDER BY a, rank) FILTER (WHERE kind <> 'live' OR live) AS spans,
+                   string_agg(span, ',' ORDER BY a, rank) FILTER (WHERE live) AS live_spans,
+                   string_agg(span, ',' ORDER BY a, rank) FILTER (WHERE NOT live) AS example_spans
             FROM every GROUP BY rid
           )
           SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
                  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-                 coalesce(n_examples, 0) AS n_examples
+                 coalesce(n_examples, 0) AS n_examples, coalesce(live_spans, '') AS live_spans, coalesce(example_spans, '') AS example_spans
           FROM texts LEFT JOIN per_text USING (rid)
-          LEFT JOIN (SELECT rid, count(*) AS n_examples FROM judged WHERE NOT live GROUP BY rid) USING (rid)
         """,
         "op7_substring_dedup": f"""
           WITH texts AS (
@@ -410,13 +409,41 @@ def oracle_sql() -> dict[str, str]:
           ), positions AS (
             SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(s, s + size)) AS pos FROM hits) GROUP BY rid
           ), found AS (
-            SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+            SELECT rid, count(item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
             FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY rid
+          ), benches AS (
+            SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id, ws FROM items)
+          ), tokens AS (
+            SELECT rid, unnest(range(len(ws))) AS pos, unnest(ws) AS term FROM texts
+          ), frequency AS (
+            SELECT term, count(*) AS f FROM tokens SEMI JOIN (SELECT DISTINCT unnest(ws) AS term FROM benches) USING (term) GROUP BY term
+          ), places AS (
+            SELECT item, start, start + i AS place, ws[start + i + 1] AS term FROM (
+              SELECT *, unnest(range(least(10, len(ws)))) AS i FROM (
+                SELECT *, unnest(range(greatest(len(ws) - 10, 0) + 1)) AS start FROM benches))
+          ), anchors AS (
+            SELECT DISTINCT item, place, term FROM (
+              SELECT *, row_number() OVER (PARTITION BY item, start ORDER BY f, place) AS r FROM places JOIN frequency USING (term))
+            WHERE r <= 3
+          ), met AS (
+            SELECT DISTINCT rid, item, pos - place AS d, place FROM tokens JOIN anchors USING (term)
+          ), beside AS (
+            SELECT x.rid, x.item, x.d, count(DISTINCT y.place) AS near
+            FROM (SELECT DISTINCT rid, item, d FROM met) x JOIN met y ON x.rid = y.rid AND x.item = y.item AND y.d BETWEEN x.d - 2 AND x.d + 2
+            GROUP BY x.rid, x.item, x.d
+          ), needed AS (
+            SELECT item, item_id, least(3, len(ws), greatest(2, present)) AS least_near
+            FROM benches JOIN (SELECT item, count(*) AS present FROM anchors GROUP BY item) USING (item)
+          ), near AS (
+            SELECT rid, count(item_id) AS n_near_items, string_agg(item_id, ',' ORDER BY item_id) AS near_items FROM (
+              SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item_id FROM beside JOIN needed USING (item) WHERE near >= least_near
+              EXCEPT SELECT rid, CAST(item_id AS VARCHAR) FROM hits) GROUP BY rid
           )
           SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
                  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-                 coalesce(n_hit, 0) > 0 AS contaminated
-          FROM texts LEFT JOIN positions USING (rid) LEFT JOIN found USING (rid)
+                 coalesce(n_hit, 0) > 0 AS contaminated,
+                 coalesce(n_near_items, 0) AS n_near_items, coalesce(near_items, '') AS near_items
+          FROM texts LEFT JOIN positions USING (rid) LEFT JOIN found USING (rid) LEFT JOIN near USING (rid)
         """,
         "op12_filter_audit": """
           WITH flags AS (

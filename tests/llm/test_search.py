@@ -215,10 +215,35 @@ def test_proximity_without_a_word_that_occurs_nowhere(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     from prefspark.llm.queries import queries
 
-    got = {r.doc_id: (r.n_near_items, r.near_items) for r in queries()["op8_near_items"](spark, str(tmp_path)).collect()}
-    assert got == {1: (2, "7,9"), 2: (0, ""), 3: (0, "")}
-    exact = queries()["op8_decontamination"](spark, str(tmp_path)).collect()
-    assert all(r.n_hit == 0 and not r.contaminated for r in exact)
+    found = queries()["op8_decontamination"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_near_items, r.near_items) for r in found} == {1: (2, "7,9"), 2: (0, ""), 3: (0, "")}
+    assert all(r.n_hit == 0 and not r.contaminated for r in found)
+
+
+@pytest.mark.parametrize("name", ["op4_secret_scan", "op8_decontamination"])
+def test_sql_of_verdicts_and_proximity(spark, rows, items, tmp_path, name):
+    """Null, empty and long texts, repeated rows, shared ids and owners: the query and its SQL agree."""
+    duckdb = pytest.importorskip("duckdb")
+    from prefspark.llm.queries import oracle_sql, queries
+
+    words = [t.split()[:9] for _, t in items if t and len(t.split()) > 12]
+    extra = [(500 + k, " ".join([*w[:4], "other", *w[4:]]), "src1") for k, w in enumerate(words)]
+    value = "aZ3k9QwX7bT2mL5pR8vN"
+    texts = [f"api_key={value}", f'x "{value}" y', f"path/{value}", f"secret: {value}.", f"dir/{value}=/{value[::-1]}", f"{value}=="]
+    extra += [(600 + k, t, f"own{k % 2}") for k, t in enumerate(texts)] + [(700, "AKIA" + "Q" * 18, None), (None, "AKIA" + "Q" * 18, None)]
+    documents = spark.createDataFrame([*rows, *extra], "doc_id long, text string, source string")
+    documents.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    want = con.sql(oracle_sql()[name])
+    got = queries()[name](spark, str(tmp_path))
+    assert got.columns == want.columns
+    have, hold = sorted(map(repr, map(tuple, got.collect()))), sorted(map(repr, want.fetchall()))
+    assert have == hold
+    if name.startswith("op4"):
+        assert any(r.live_spans for r in got.collect()) and any(r.example_spans for r in got.collect())
 
 
 def test_empty_sides(spark, docs, no_docs, rows):
