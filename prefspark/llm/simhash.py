@@ -9,14 +9,16 @@ fingerprint. In a bucket the third budget prunes pairs before the full Hamming c
 
 Equal fingerprints are one class before anything is compared, and only classes are indexed.
 A bucket gives back at most one link per member: a spanning forest of the links in it,
-which keeps every connection without listing all pairs. Large buckets are compared in
-square blocks, so memory follows the number of classes in a bucket, not its pairs.
+which keeps every connection without listing all pairs. A bucket of more than ``BUCKET`` classes is
+cut into parts by hash, and every two parts are compared by a task of their own, so
+what a task holds and compares is bounded by the part and not by the bucket.
 
 Results
 - null and empty texts, and texts of white space: fingerprint 0, linked like any other
 - fewer words than a shingle: the whole word sequence is the one shingle
 - null ``doc_id``: gets its fingerprint, takes no part in linking, ``component_id`` is null
 - repeated rows: one result row each; other columns are ignored
+- rows that share a ``doc_id``: one node with all their fingerprints, so they get the same ``component_id``
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefspark.llm.common import arrow_map, arrow_schema, id_and_text, ship_by_value, stage_table, text_bytes
+from prefspark.llm.common import arrow_map, id_and_text, ship_by_value, stage_table, text_bytes
 from prefspark.llm.components import components
 
 ship_by_value(__name__)
@@ -33,8 +35,9 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 SEGMENTS = 4
-# Side of the blocks in which a large bucket is compared.
+# Side of the squares in which classes are compared, and classes in a part of a bucket.
 BLOCK = 2048
+BUCKET = 8192
 
 
 def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -95,8 +98,11 @@ def _index(batch):
     return [keys.ravel(), np.repeat(np.asarray(batch.column(0)), per), np.repeat(fp.view(np.int64), per)]
 
 
-def bucket_links(ids, fps, start: int):
-    """Spanning forest of the links inside one bucket, as (id, smaller id) pairs."""
+def bucket_links(ids, fps, start: int, split: int | None = None):
+    """Spanning forest of the links inside one bucket, as (id, smaller id) pairs.
+
+    With ``split``, of the links between the first ``split`` members and the others.
+    """
     import numpy as np
 
     n = len(fps)
@@ -111,9 +117,11 @@ def bucket_links(ids, fps, start: int):
         return i
 
     out = []
-    for r in range(0, n, BLOCK):
-        for c in range(r, n, BLOCK):
-            differ = chain[r : r + BLOCK, None] ^ chain[None, c : c + BLOCK]
+    end = n if split is None else split
+    for r in range(0, end, BLOCK):
+        to = min(r + BLOCK, end)
+        for c in range(r if split is None else split, n, BLOCK):
+            differ = chain[r:to, None] ^ chain[None, c : c + BLOCK]
             near = np.bitwise_count(differ >> np.uint64(32)) <= 1  # the chain of two segments
             near &= np.bitwise_count(differ >> np.uint64(16)) <= 2  # of three
             near &= np.bitwise_count(differ) <= MAX_BITS
@@ -123,7 +131,7 @@ def bucket_links(ids, fps, start: int):
             rows, columns = rows + r, columns + c
             while len(rows):
                 # roots at this moment; links inside one tree are done with
-                top = np.array([find(i) for i in range(r, min(r + BLOCK, n))])
+                top = np.array([find(i) for i in range(r, to)])
                 side = np.array([find(i) for i in range(c, min(c + BLOCK, n))])
                 a, b = top[rows - r], side[columns - c]
                 open_ = a != b
@@ -140,50 +148,67 @@ def bucket_links(ids, fps, start: int):
 
 
 def _link_buckets(batches):
-    """Rows come sorted by key; a bucket is compared when its last row is there."""
+    """Rows (key, i, j, part, id, fp) come sorted by task and part; a task is done when its last row is there."""
     import numpy as np
     import pyarrow as pa
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    open_key, open_ids, open_fps = None, [], []
+    task, held = None, []
 
     def close():
-        ids, fps = np.concatenate(open_ids), np.concatenate(open_fps).view(np.uint64)
-        return bucket_links(ids, fps, open_key >> 30) if len(ids) > 1 else []
+        part, ids, fps = (np.concatenate(c) for c in zip(*held))
+        key, i, j = task
+        split = None if i == j else int(np.searchsorted(part, j))
+        return bucket_links(ids, fps.view(np.uint64), key >> 30, split) if len(ids) > 1 else []
+
+    def rows(links):
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], schema=schema)
 
     for batch in batches:
-        keys, ids, fps = (np.asarray(batch.column(i)) for i in range(3))
-        cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        if not batch.num_rows:
+            continue
+        key, i, j, part, ids, fps = (np.asarray(c) for c in batch.columns)
+        new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        cuts = np.flatnonzero(np.append(True, new)).tolist()
         links = []
-        sizes = np.diff(np.append(cuts, len(keys)))
-        for at, size in zip(cuts.tolist(), sizes.tolist()):
-            key = int(keys[at])
-            if key != open_key:
-                if open_key is not None:
+        for at, end in zip(cuts, [*cuts[1:], len(key)]):
+            if (own := (int(key[at]), int(i[at]), int(j[at]))) != task:
+                if held:
                     links += close()
-                open_key, open_ids, open_fps = key, [], []
-            open_ids.append(ids[at : at + size])
-            open_fps.append(fps[at : at + size])
+                task, held = own, []
+            held.append((part[at:end], ids[at:end], fps[at:end]))
         if links:
-            a, b = zip(*links)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-    if open_key is not None and (links := close()):
-        a, b = zip(*links)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+            yield rows(links)
+    if held and (links := close()):
+        yield rows(links)
 
 
 def class_links(classes: DataFrame) -> DataFrame:
     """Links that connect all classes (``id``, ``fp``) within ``MAX_BITS`` bits of each other."""
     indexed = arrow_map(classes.select("id", "fp"), _index, "key long, id long, fp long")
-    met = indexed.repartition("key").sortWithinPartitions("key", "id")
-    return met.mapInArrow(_link_buckets, "a long, b long").distinct()
+    # Most keys have one class and nothing to compare; they are not sent on.
+    parts = indexed.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts"), F.count("*").alias("n"))
+    met = indexed.join(parts.filter("n > 1").select("key", "parts"), "key")
+    met = met.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tasks = met.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "fp")
+    dealt = tasks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "part", "id")
+    return dealt.mapInArrow(_link_buckets, "a long, b long").distinct()
+
+
+def _id_links(prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between an id of several fingerprints and the classes of all of them."""
+    several = prints.groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select("doc_id")
+    own = prints.join(several, "doc_id").distinct()
+    return own.join(classes, "fp").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``, the smallest id reachable over links."""
     prints = stage_table(fingerprints(docs))
-    classes = stage_table(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")))
-    roots = components(class_links(classes))
+    named = prints.filter("doc_id IS NOT NULL")
+    classes = stage_table(named.groupBy("fp").agg(F.min("doc_id").alias("id")))
+    roots = components(class_links(classes).unionByName(_id_links(named, classes)))
     labelled = classes.join(roots, classes["id"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "id").alias("component_id")
     )

@@ -91,37 +91,39 @@ def test_near_duplicates(docs, rows):
             i = root[i]
         return i
 
+    # an id is one node, whatever texts its rows hold
     for i, a in prints:
         for j, b in prints:
             if i is not None and j is not None and (a ^ b).bit_count() <= 3:
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
-    # rows that share an id belong to their own fingerprint's component; the fixture's twin differs
-    fp_root = {}
-    for i, a in prints:
-        if i is not None:
-            fp_root.setdefault(a, i)
     got = near_duplicates(docs).collect()
-    assert sorted((r.doc_id, r.fp % 2**64) for r in got if r.doc_id is not None) == sorted(p for p in prints if p[0] is not None)
-    for r in got:
-        if r.doc_id is None:
-            assert r.component_id is None
-        elif r.doc_id != 60:
-            assert r.component_id == find(r.doc_id)
+    same([(r.doc_id, r.fp % 2**64, r.component_id) for r in got], [(i, p, None if i is None else find(i)) for i, p in prints])
+
 
+def test_near_duplicates_over_a_shared_id(spark):
+    """5 and 60 share a text, 60 and 70 another: all reach 5."""
+    first, second = "one text of many words that two ids hold", "quite another story told under two other names"
+    table = spark.createDataFrame([(5, first), (60, first), (60, second), (70, second), (80, "alone here")], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(table).collect()}
+    assert got == {(5, 5), (60, 5), (70, 5), (80, 80)}
 
-def test_near_duplicates_of_close_prints(spark):
-    """Links between prints that differ in few bits, against all pairs."""
+
+@pytest.mark.parametrize("bucket, block", [(8192, 2048), (7, 3)])
+def test_near_duplicates_of_close_prints(spark, monkeypatch, bucket, block):
+    """Links between prints that differ in few bits, against all pairs; also with buckets cut into parts."""
+    from prefspark.llm import simhash
     from prefspark.llm.simhash import class_links
 
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+
     rng = random.Random(11)
     centres = [rng.getrandbits(64) for _ in range(12)]
     prints = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for c in centres for _ in range(60)}
     rows = [(k, p - 2**64 if p >= 2**63 else p) for k, p in enumerate(sorted(prints))]
     links = class_links(spark.createDataFrame(rows, "id long, fp long"))
     values = [p for _, p in rows]
-    for a, b in links.collect():
-        assert ((values[a] ^ values[b]) % 2**64).bit_count() <= 64
     got = {r.node: r.root for r in components(links).collect()}
     root = list(range(len(values)))
 
