@@ -6,7 +6,7 @@ on file order, partitioning or task retries.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,14 +64,17 @@ def sample_n(
     n: int = PREFERENCE_SAMPLE_SIZE,
     seed: int = SFT_SAMPLE_SEED,
     key: str | Sequence[str] | None = None,
+    stage: Callable[[DataFrame], DataFrame] = stage_table,
 ) -> DataFrame:
     """Exactly ``n`` rows without replacement, or all rows where there are fewer.
 
     ``key`` names columns that tell rows apart. The rows with the ``n`` smallest key hashes are
-    taken by a filter: no row is shuffled or sorted. Where the filter ends is found on
-    the hashes alone. A histogram over 65,536 hash buckets, at most that many small rows, names
-    the bucket in which the sample ends, and only the hashes of that bucket are put in
-    order. A key that repeats just where the sample would end stops the query.
+    taken by a filter: no row is shuffled or sorted. A first scan sketches the hashes: counts
+    over 65,536 equal buckets, which add up over tasks and bound the end of the sample to one
+    bucket. A second scan stages the rows up to that bound, about ``n`` and 1/65,536 of the
+    others, and only there the hashes of the last bucket are put in order. Both
+    run when the sample is made. A sample of more than half of the rows is not staged; it is a
+    filter on a third scan. A key that repeats just where the sample would end stops the query.
 
     Without ``key`` whole rows are compared, and copies are drawn one by one like any
     other row. Rows are counted and drawn by 32-byte digests of their JSON form, which are
@@ -79,16 +82,20 @@ def sample_n(
     drawn ones are shuffled.
 
     ``df`` is computed two or three times, each time with the columns needed. Stage a costly
-    one first.
+    one first. ``stage`` writes a table and reads it back.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     if n == 0:
         return df.limit(0)
     if key is None:
-        return _sample_whole_rows(df, n, seed)
+        return _sample_whole_rows(df, n, seed, stage)
     keys = [key] if isinstance(key, str) else list(key)
     hashed = seeded_hash(seed, *keys)
+    sketch = _sketch(df.select(F.substring(hashed, 1, _BUCKET_DIGITS).alias("_bucket")))
+    bound = sketch.filter((F.col("_upto") >= n) & (2 * F.col("_upto") <= F.col("_all"))).orderBy("_bucket").first()
+    if bound is not None:
+        df = stage(df.filter(F.substring(hashed, 1, _BUCKET_DIGITS) <= F.lit(bound["_bucket"])))
     end = _nth_hash(df.select(hashed.alias("_hash")), n)
     # No end: fewer than n rows in all, and every hex digit sorts before 'g'.
     upto = F.coalesce(end["hash"], F.lit("g"))
@@ -96,6 +103,14 @@ def sample_n(
     return df.filter(F.when(F.coalesce(end["over"], F.lit(False)), stop).otherwise(hashed <= upto))
 
 
+def _sketch(bucketed: DataFrame) -> DataFrame:
+    """``_rows`` of each ``_bucket``, ``_upto`` with all buckets before it, and ``_all``; at most 65,536 rows."""
+    counted = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy("_bucket")
+    upto = Window.rowsBetween(Window.unboundedPreceding, 0).orderBy("_bucket")
+    return counted.select("*", F.sum("_rows").over(upto).alias("_upto"), F.sum("_rows").over(everything).alias("_all"))
+
+
 def _nth_hash(hashes: DataFrame, n: int) -> Column:
     """The ``n``-th smallest ``_hash`` and whether it is there more often than needed; null for fewer.
 
@@ -103,11 +118,9 @@ def _nth_hash(hashes: DataFrame, n: int) -> Column:
     """
     bucketed = hashes.select("_hash", F.substring("_hash", 1, _BUCKET_DIGITS).alias("_bucket"))
     before = Window.rowsBetween(Window.unboundedPreceding, 0)
-    histogram = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    upto = F.sum("_rows").over(before.orderBy("_bucket"))
     reached = F.col("_upto") >= n
     edge = (
-        histogram.withColumn("_upto", upto)
+        _sketch(bucketed)
         .filter(reached & (F.col("_upto") - F.col("_rows") < n))
         .select(F.struct(F.col("_bucket").alias("bucket"), (F.col("_upto") - F.col("_rows")).alias("below")))
         .scalar()
@@ -128,10 +141,10 @@ def row_digest(df: DataFrame) -> Column:
     return text_digest(F.to_json(row, {"ignoreNullFields": "false"}))
 
 
-def _sample_whole_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
+def _sample_whole_rows(df: DataFrame, n: int, seed: int, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     columns = df.columns
     digests = df.select(row_digest(df).alias("_digest"))
-    counted = stage_table(digests.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")))
+    counted = stage(digests.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")))
     copies = _spread(counted, ["_digest"], "_copy")
     drawn_as = seeded_hash(seed, F.lower(F.hex("_digest")), "_copy")
     end = _nth_hash(copies.select(drawn_as.alias("_hash")), n)

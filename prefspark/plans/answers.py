@@ -14,7 +14,7 @@ from prefspark.functions.text import py_strip
 from prefspark.operators.inference import BATCH_ANSWERS, generate, generate_remote
 from prefspark.operators.sampling import head_n
 from prefspark.sources.jsonl import FILE_ORDER, parse_lines, read_jsonl, read_ordered, write_jsonl
-from prefspark.sources.staging import stages
+from prefspark.sources.staging import stage_table, stages
 
 
 def seed_instructions(
@@ -23,13 +23,34 @@ def seed_instructions(
     max_samples: int | None = None,
     order_by: str | Sequence[str] = FILE_ORDER,
 ) -> DataFrame:
-    """Stripped, non-empty instructions, or the first ``max_samples`` of them, in file order."""
+    """Stripped, non-empty instructions, or the first ``max_samples`` of them, in file order.
+
+    A head is found on a staged table without texts: all lines are parsed once for the places of
+    the rows, and only the lines up to the end of the head a second time. In another order than
+    that of the files the parsed rows are staged, and each line is parsed once.
+    """
     if max_samples is None:
-        rows = read_jsonl(spark, path, "instruction string", on_error="fail")
-    else:
-        rows = parse_lines(read_ordered(spark, path), "instruction string", on_error="fail", keep=FILE_ORDER)
-    rows = rows.withColumn("instruction", py_strip("instruction")).filter(F.col("instruction") != "")
-    return head_n(rows, max_samples, order_by).select("instruction")
+        return _instructions(read_jsonl(spark, path, "instruction string", on_error="fail")).select("instruction")
+    order = (order_by,) if isinstance(order_by, str) else tuple(order_by)
+    lines = read_ordered(spark, path)
+    with stages(spark) as stage:
+        if order != FILE_ORDER:
+            rows = stage_table(_placed(lines))
+            return head_n(rows, max_samples, order).select("instruction")
+        head = head_n(stage(_placed(lines).select(*order)), max_samples, order)
+        last = head.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    if last is None:
+        return spark.createDataFrame([], "instruction string")
+    end = F.struct(*[F.lit(v).alias(c) for c, v in zip(order, last)])
+    return _placed(lines.filter(F.struct(*order) <= end)).select("instruction")
+
+
+def _instructions(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("instruction", py_strip("instruction")).filter(F.col("instruction") != "")
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    return _instructions(parse_lines(lines, "instruction string", on_error="fail", keep=FILE_ORDER))
 
 
 def answer_seeds(

@@ -40,7 +40,8 @@ def sample_seeds(
     the lines need not be counted against each other first.
     """
     lines = read_lines(spark, clean_path)
-    write_lines(sample_n(lines, n, seed, key="value" if distinct_lines else None), sample_path)
+    with stages(spark) as stage:
+        write_lines(sample_n(lines, n, seed, key="value" if distinct_lines else None, stage=stage), sample_path)
     written = spark.read.text(sample_path).count()
     if written < n:
         warnings.warn(f"asked for {n} lines, only {written} available", stacklevel=2)

@@ -36,7 +36,7 @@ def pick_prompts(
     used = read_jsonl(spark, used_path, _KEYS, on_error="fail", missing_ok=True)
     with stages(spark) as stage:
         unused = stage(unseen(prompts, used).select("_line"))
-        write_lines(sample_n(unused, n, seed), out_path, column="_line")
+        write_lines(sample_n(unused, n, seed, stage=stage), out_path, column="_line")
         counts = {
             "used": distinct_keys(used, instruction_key(used), "used_keys").first()[0],
             "unused": unused.count(),

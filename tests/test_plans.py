@@ -117,3 +117,17 @@ def test_model_steps_run_once_per_row(spark, tmp_path):
     assert got.count() == 9 and len(got.collect()) == 9
     assert all(len(r.chosen) == len(r.rejected) + 2 for r in got.collect())
     assert calls.value == 9
+
+
+def test_seed_head_parses_only_its_own_lines_for_texts(spark, plan, tmp_path):
+    lines = [f'{{"instruction": " text {i} "}}' if i % 5 else '{"instruction": "  "}' for i in range(400)]
+    (tmp_path / "seeds.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    path = str(tmp_path / "seeds.jsonl")
+    whole = [f"text {i}" for i in range(400) if i % 5]
+    for n in (0, 1, 37, 320, 500):
+        assert sorted(r.instruction for r in plans.seed_instructions(spark, path, n).collect()) == sorted(whole[:n])
+    got = plans.seed_instructions(spark, path, 7, "instruction")
+    assert sorted(r.instruction for r in got.collect()) == sorted(whole)[:7]
+    # the cut lies below the parse, right above the scan
+    text = plan(plans.seed_instructions(spark, path, 37))
+    assert text.index("from_json") < text.index("_block")

@@ -77,6 +77,22 @@ def test_sample_never_sorts_or_gathers_the_rows(spark, plan, tmp_path):
     assert "Exchange" not in every[: every.index("Subquery")]
 
 
+def test_sample_scans_its_input_twice(spark, plan, tmp_path):
+    """Once for the sketch of the hashes and once for the rows up to its bound, however often it is read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(3000, numPartitions=4).mapInArrow(count, "id long")
+    found = sample_n(df, 40, 9, key="id")
+    want = set(sorted(range(3000), key=lambda i: md5(9, i))[:40])
+    assert {r.id for r in found.collect()} == want and found.count() == 40
+    assert read.value == 6000 and "MapInArrow" not in plan(found)
+
+
 def test_sample_of_whole_rows_shuffles_digests(spark, plan, tmp_path):
     spark.range(1000).selectExpr("id", "repeat('x', 50) as text").write.parquet(str(tmp_path / "d"))
     df = sample_n(spark.read.parquet(str(tmp_path / "d")), 10, 1)
