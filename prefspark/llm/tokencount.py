@@ -1,16 +1,18 @@
 """Token counts without token ids: pieces per distinct pre-token, joined to frequencies.
 
-1. Each block of documents (one Arrow batch) is turned into posting lists: for every
-   distinct pre-token of the block, the documents that hold it and how often. The lists of
-   a block that fall into the same bucket of pre-token hashes travel as one packed row.
-2. Rows are shuffled and sorted by bucket, so a pre-token of the whole corpus is met in one
-   place and its pieces are counted once. Its count is joined to the posting lists
-   there, and each task adds up the tokens per document of a block.
-3. These partial sums meet per block, beside the block's document ids, and are added.
-
-A pre-token that every document holds has one posting list per block, so frequent words
-put no more rows than blocks into one task. No step holds more than a block, the pre-tokens of
-one of ``8 * spark.sql.shuffle.partitions`` buckets, or the sums of ``SUMS_AT_ONCE`` documents.
+1. Each block of documents (one Arrow batch) is turned into the distinct pre-tokens of the
+   block, by buckets of their hashes, and posting lists: for every pre-token of the block,
+   the documents that hold it and how often. The lists of a block are one packed row.
+2. The pre-tokens are shuffled and sorted by bucket, so a pre-token of the whole corpus is met in
+   one place and its pieces are counted once. The lists go to their block's place
+   beside them and pass through.
+3. The counts of pieces come back to each block, meet its posting lists there and are added up
+   per document.
+
+A pre-token that every document holds costs one entry per block on its bucket's side; the
+documents that hold it stay with their block and never meet those of other blocks. No step
+holds more than a block, or the distinct pre-tokens of one of ``8 * spark.sql.shuffle.partitions``
+buckets with their counts.
 
 Results
 - null and empty texts: 0 bytes, 0 tokens; null ``doc_id`` is kept as null
@@ -31,14 +33,13 @@ ship_by_value(__name__)
 
 # Documents of a block; a document's place in its block has to fit 16 bits.
 BLOCK_DOCS = 65_536
-# Documents whose sums a task holds before it hands them on.
-SUMS_AT_ONCE = 4_000_000
+# Pre-tokens a task hands to the tokenizer at once.
+TERMS_AT_ONCE = 20_000
 
-_POSTINGS = (
-    "bucket int, block long, size int, terms binary, term_sizes binary, list_sizes binary, places binary,"
-    " counts binary, ids array<long>, bytes array<long>"
-)
-_SUMS = "block long, places binary, sums binary, ids array<long>, bytes array<long>"
+# Rows of pre-tokens (terms, term_sizes) or of lists (list_sizes to bytes), told apart by ``lists``.
+_INDEX = "bucket int, lists boolean, block long, terms binary, term_sizes binary, list_sizes binary, postings binary, ids array<long>, bytes array<long>"
+# Rows of counted pieces (bucket, pieces) or of lists as above.
+_COUNTED = "block long, bucket int, pieces binary, list_sizes binary, postings binary, ids array<long>, bytes array<long>"
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
@@ -51,10 +52,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, pattern: str) -> DataFram
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     n_buckets = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings = id_and_text(docs).mapInArrow(_index_blocks(shared, pattern, n_buckets), _POSTINGS)
-    met = postings.repartition("bucket").sortWithinPartitions("bucket")
-    sums = met.mapInArrow(_add_pieces(shared), _SUMS)
-    return sums.groupBy("block").applyInArrow(_add_block, "doc_id long, n_bytes long, n_tokens long")
+    index = id_and_text(docs).mapInArrow(_index_blocks(shared, pattern, n_buckets), _INDEX)
+    met = index.repartition("bucket").sortWithinPartitions("bucket", "lists")
+    counted = met.mapInArrow(_count_pieces(shared), _COUNTED)
+    return counted.groupBy("block").applyInArrow(_add_block, "doc_id long, n_bytes long, n_tokens long")
 
 
 def _load(shared):
@@ -73,14 +74,16 @@ def _rows(rows: list[tuple], schema):
 
 
 def _index_blocks(shared, pattern: str, n_buckets: int):
-    schema = arrow_schema(_POSTINGS)
+    schema = arrow_schema(_INDEX)
 
     def run(batches):
         import numpy as np
         import regex
         import xxhash
+        import zstandard
         from pyspark import TaskContext
 
+        pack = zstandard.ZstdCompressor(level=1).compress
         chunker = Chunker(pattern)
         special = sorted((t.content for t in _load(shared).get_added_tokens_decoder().values() if t.special), key=len, reverse=True)
         cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split if special else None
@@ -110,8 +113,9 @@ def _index_blocks(shared, pattern: str, n_buckets: int):
                     codes.append(np.array(own, np.int32))
                 chunk_codes.clear()
                 block, size = next(numbers), len(n_bytes)
-                yield _rows([(block % n_buckets, block, size, *[None] * 5, batch.column(0).to_pylist(), n_bytes)], schema)
+                ids = batch.column(0).to_pylist()
                 if not code_of:
+                    yield _rows([(block % n_buckets, True, block, None, None, b"", pack(b""), ids, n_bytes)], schema)
                     continue
                 # Number the pre-tokens anew, by bucket, so that each bucket's lists lie together.
                 words = [w.encode() for w in code_of]
@@ -134,96 +138,76 @@ def _index_blocks(shared, pattern: str, n_buckets: int):
                 list_sizes = np.bincount(pair >> 16, minlength=len(order))
                 list_ends = np.cumsum(list_sizes)
                 places = (pair & 0xFFFF).astype("<u2")
+                # gaps from the list's place before; frequent pre-tokens have small ones
+                places = (places - np.append(np.uint16(0), places[:-1])).astype("<u2")
+                postings = pack(places.tobytes() + parts.tobytes())
+                rows = [(block % n_buckets, True, block, None, None, list_sizes.astype("<u4").tobytes(), postings, ids, n_bytes)]
                 cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])).tolist()
-                rows = []
                 for a, b in zip(cuts, [*cuts[1:], len(order)]):
                     own = [words[i] for i in order[a:b].tolist()]
-                    low, high = int(list_ends[a - 1]) if a else 0, int(list_ends[b - 1])
-                    rows.append(
-                        (
-                            int(bucket[order[a]]),
-                            block,
-                            size,
-                            b"".join(own),
-                            np.fromiter(map(len, own), "<u4", b - a).tobytes(),
-                            list_sizes[a:b].astype("<u4").tobytes(),
-                            places[low:high].tobytes(),
-                            parts[low:high].tobytes(),
-                            None,
-                            None,
-                        )
-                    )
+                    sizes = np.fromiter(map(len, own), "<u4", b - a).tobytes()
+                    rows.append((int(bucket[order[a]]), False, block, b"".join(own), sizes, *[None] * 4))
                 yield _rows(rows, schema)
 
     return run
 
 
-def _add_pieces(shared):
-    schema = arrow_schema(_SUMS)
+def _count_pieces(shared):
+    schema = arrow_schema(_COUNTED)
 
     def run(batches):
         import numpy as np
 
         tokenizer = _load(shared)
-        sums: dict[int, np.ndarray] = {}
-
-        def partial():
-            rows = []
-            for block, total in sums.items():
-                places = np.flatnonzero(total)
-                rows.append((block, places.astype("<u2").tobytes(), total[places].astype("<i8").tobytes(), None, None))
-            sums.clear()
-            return _rows(rows, schema)
-
-        def join(rows):
-            """Count the pieces of a bucket's pre-tokens and add them to its documents."""
-            code_of: dict[bytes, int] = {}
-            codes = []
-            for row in rows:
-                ends = np.cumsum(np.frombuffer(row["term_sizes"], "<u4").astype(np.int64)).tolist()
-                terms = row["terms"]
-                words = [terms[a:b] for a, b in zip([0, *ends[:-1]], ends)]
-                codes.append([code_of.setdefault(w, len(code_of)) for w in words])
-            found = tokenizer.encode_batch([w.decode() for w in code_of], add_special_tokens=False)
-            pieces = np.fromiter((len(e.ids) for e in found), np.int64, len(found))
-            for row, own in zip(rows, codes):
-                counts = np.frombuffer(row["counts"], np.uint8)
-                weight = np.repeat(pieces[own], np.frombuffer(row["list_sizes"], "<u4")) * counts
-                added = np.bincount(np.frombuffer(row["places"], "<u2"), weights=weight, minlength=row["size"])
-                if row["block"] in sums:
-                    sums[row["block"]] += added
-                else:
-                    sums[row["block"]] = added
-
-        bucket, held = None, []
+        bucket, pieces_of = None, {}
         for batch in batches:
+            rows, waiting, new = [], [], {}
+
+            def close():
+                words = list(new)
+                for at in range(0, len(words), TERMS_AT_ONCE):
+                    some = words[at : at + TERMS_AT_ONCE]
+                    found = tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)
+                    pieces_of.update(zip(some, (len(e.ids) for e in found)))
+                for block, own in waiting:
+                    pieces = np.fromiter(map(pieces_of.__getitem__, own), "<u4", len(own))
+                    rows.append((block, bucket, pieces.tobytes(), *[None] * 4))
+                waiting.clear()
+                new.clear()
+
             for row in batch.to_pylist():
-                if row["ids"] is not None:
-                    yield _rows([(row["block"], None, None, row["ids"], row["bytes"])], schema)
+                if row["lists"]:
+                    rows.append((row["block"], None, None, row["list_sizes"], row["postings"], row["ids"], row["bytes"]))
                     continue
                 if row["bucket"] != bucket:
-                    if held:
-                        join(held)
-                    bucket, held = row["bucket"], []
-                    if sum(map(len, sums.values())) > SUMS_AT_ONCE:
-                        yield partial()
-                held.append(row)
-        if held:
-            join(held)
-        if sums:
-            yield partial()
+                    close()
+                    bucket, pieces_of = row["bucket"], {}
+                ends = np.cumsum(np.frombuffer(row["term_sizes"], "<u4").astype(np.int64)).tolist()
+                terms = row["terms"]
+                words = [terms[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+                new.update((w, None) for w in words if w not in pieces_of)
+                waiting.append((row["block"], words))
+            close()
+            yield _rows(rows, schema)
 
     return run
 
 
 def _add_block(table):
+    """One block: its lists, and the pieces of its pre-tokens in the order of their buckets."""
     import numpy as np
     import pyarrow as pa
-
-    ids = next(i for i in table.column("ids").to_pylist() if i is not None)
-    n_bytes = next(i for i in table.column("bytes").to_pylist() if i is not None)
-    total = np.zeros(len(ids), np.int64)
-    for places, sums in zip(table.column("places").to_pylist(), table.column("sums").to_pylist()):
-        if places:
-            total[np.frombuffer(places, "<u2")] += np.frombuffer(sums, "<i8")
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(n_bytes, pa.int64()), "n_tokens": pa.array(total)})
+    import zstandard
+
+    rows = table.to_pylist()
+    lists = next(r for r in rows if r["ids"] is not None)
+    counted = sorted((r["bucket"], r["pieces"]) for r in rows if r["ids"] is None)
+    pieces = np.frombuffer(b"".join(p for _, p in counted), "<u4")
+    postings = zstandard.ZstdDecompressor().decompress(lists["postings"])
+    n = len(postings) // 3
+    # gaps add up modulo 2^16, which is what a place has
+    places = np.cumsum(np.frombuffer(postings, "<u2", n), dtype=np.uint16)
+    weight = np.repeat(pieces.astype(np.int64), np.frombuffer(lists["list_sizes"], "<u4")) * np.frombuffer(postings, np.uint8, n, 2 * n)
+    total = np.zeros(len(lists["ids"]), np.int64)
+    np.add.at(total, places, weight)
+    return pa.table({"doc_id": pa.array(lists["ids"], pa.int64()), "n_bytes": pa.array(lists["bytes"], pa.int64()), "n_tokens": pa.array(total)})

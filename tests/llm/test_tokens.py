@@ -9,6 +9,7 @@ tiktoken = pytest.importorskip("tiktoken")
 tokenizers = pytest.importorskip("tokenizers")
 np = pytest.importorskip("numpy")
 
+from prefspark.llm import tokencount  # noqa: E402
 from prefspark.llm.bpe import MergeReplay, decode, encode, read_ranks  # noqa: E402
 from prefspark.llm.pretokens import Chunker  # noqa: E402
 from prefspark.llm.tokencount import count_tokens  # noqa: E402
@@ -62,7 +63,11 @@ def test_encode_and_decode(spark, docs, rows, library):
     assert sorted(bytes(r.decoded) for r in back) == sorted(w[3] for w in want)
 
 
-def test_count_tokens(spark, docs, rows):
+@pytest.mark.parametrize("block, at_once", [(65_536, 20_000), (7, 3)])
+def test_count_tokens(spark, docs, monkeypatch, block, at_once):
+    """Against the library, also over many blocks with the same pre-tokens."""
+    monkeypatch.setattr(tokencount, "BLOCK_DOCS", block)
+    monkeypatch.setattr(tokencount, "TERMS_AT_ONCE", at_once)
     specials = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y", " <|endoftext|"]
     more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([*specials, *odd_texts(400)])], "doc_id long, text string")
     table = docs.select("doc_id", "text").unionByName(more)
