@@ -113,9 +113,11 @@ def _index_blocks(shared, pattern: str, n_buckets: int):
                     codes.append(np.array(own, np.int32))
                 chunk_codes.clear()
                 block, size = next(numbers), len(n_bytes)
+                # both halves count: 2^32 and the number of buckets share factors
+                place = ((block >> 32) + (block & 0xFFFFFFFF)) % n_buckets
                 ids = batch.column(0).to_pylist()
                 if not code_of:
-                    yield _rows([(block % n_buckets, True, block, None, None, b"", pack(b""), ids, n_bytes)], schema)
+                    yield _rows([(place, True, block, None, None, b"", pack(b""), ids, n_bytes)], schema)
                     continue
                 # Number the pre-tokens anew, by bucket, so that each bucket's lists lie together.
                 words = [w.encode() for w in code_of]
@@ -141,7 +143,7 @@ def _index_blocks(shared, pattern: str, n_buckets: int):
                 # gaps from the list's place before; frequent pre-tokens have small ones
                 places = (places - np.append(np.uint16(0), places[:-1])).astype("<u2")
                 postings = pack(places.tobytes() + parts.tobytes())
-                rows = [(block % n_buckets, True, block, None, None, list_sizes.astype("<u4").tobytes(), postings, ids, n_bytes)]
+                rows = [(place, True, block, None, None, list_sizes.astype("<u4").tobytes(), postings, ids, n_bytes)]
                 cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1])).tolist()
                 for a, b in zip(cuts, [*cuts[1:], len(order)]):
                     own = [words[i] for i in order[a:b].tolist()]
