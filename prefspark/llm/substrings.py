@@ -4,12 +4,16 @@
    any repeat of ``window`` words holds a whole block of each document it is in. Every
    rolling window of that length is a probe. Probes are dealt out by hash; those that are
    blocks, too, form the index of their partition, and each probe is held against it. Probes travel
-   packed: per batch and partition one row of 32-bit hashes and position gaps. As a
+   packed: per slice of texts and partition one row of 32-bit hashes and position gaps. As a
    partition sees a constant share of the hashes, false hits stay as rare on more partitions.
-2. Hits are extended: each window of ``window`` words that contains a hit is hashed (64 bits twice
-   over) and the smallest document that starts it is found. A window goes if a smaller
-   document starts it; the union of such windows is the maximal repeat. No pairs of
-   documents are listed, so a passage in a third of all documents costs a row for each.
+   A slice asks for each hash at most twice, so a passage in a third of all documents makes
+   no large partition; the other places of that hash wait with the slice for the answer.
+2. Hits are extended: each window of ``window`` words that contains a hit is hashed, and the
+   smallest document that starts it is found. A window goes if a smaller document starts
+   it; the union of such windows is the maximal repeat. What a slice can settle itself (a
+   smaller document of its own starts the window) is not sent, so again a frequent window
+   costs a row for each slice. Windows are equal if 64 bits agree and a second hash, which
+   picks the partition. No pairs of documents are listed.
 3. The words of removed windows are taken out of the texts.
 
 Results
@@ -34,8 +38,8 @@ WINDOW = 50
 SLICE_BYTES = 8_000_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
-_PROBES = "part int, block long, runs binary, gaps binary, hashes binary, ids array<long>, tags array<int>"
-_HITS = "block long, runs binary, gaps binary, ids array<long>, tags array<int>"
+_PROBES = "part int, block long, runs binary, gaps binary, hashes binary, ids array<long>, tags array<int>, repeats binary"
+_HITS = "block long, runs binary, gaps binary, ids array<long>, tags array<int>, repeats binary"
 _WINDOWS = "part int, ids binary, tags binary, counts binary, gaps binary, hashes binary"
 _TAKEN = "bucket int, ids binary, tags binary, counts binary, gaps binary"
 _BY_DOC = "doc_id long, taken array<struct<tag:int,starts:binary>>"
@@ -123,6 +127,19 @@ def _untwo(runs: bytes):
     return both[: len(both) // 2], both[len(both) // 2 :]
 
 
+def _steps(*columns) -> bytes:
+    """Columns of places as differences, which are small and alike along a copied passage."""
+    import numpy as np
+
+    return np.concatenate([np.diff(c.astype("<u4"), prepend=np.uint32(0)) for c in columns]).tobytes()
+
+
+def _unsteps(steps: bytes, n_columns: int):
+    import numpy as np
+
+    return np.cumsum(np.frombuffer(steps, "<u4").reshape(n_columns, -1), axis=1, dtype=np.uint32).astype(np.int64)
+
+
 def _by_part(parts, n_parts: int):
     """(part, indices in order) for every part that occurs."""
     import numpy as np
@@ -157,6 +174,43 @@ def _groups(batches, key: int):
 # --- 1. probes against reference blocks --------------------------------------------
 
 
+def _ask_once(hashes, owner, block):
+    """Which windows of a slice to probe, which are hits anyway, and which go by another's answer.
+
+    ``block`` marks the windows that are reference blocks. Of a hash the slice probes a block of
+    its first and one of its last document with such a block, or any window if there is none: so
+    the index learns the smallest and largest holder. Returns the places to probe, the places
+    hit because another document of the slice holds the block, the places that are hit if a
+    probed one is, and for each of these that probed place.
+    """
+    import numpy as np
+
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    alike = ordered[1:] == ordered[:-1]
+    repeated = np.zeros(len(order), bool)
+    repeated[1:] = alike
+    repeated[:-1] |= alike
+    at = order[repeated]
+    if not len(at):
+        return np.arange(len(hashes)), at, at, at
+    starts = np.flatnonzero(np.append(True, hashes[at][1:] != hashes[at][:-1]))
+    group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(at))))
+    here, whose = np.arange(len(at)), owner[at]
+    first = np.minimum.reduceat(np.where(block[at], here, len(at)), starts)
+    last = np.maximum.reduceat(np.where(block[at], here, -1), starts)
+    held = last >= 0
+    first = np.where(held, first, starts)
+    last = np.where(held & (whose[last] != whose[first]), last, first)
+    other = np.ones(len(at), bool)
+    other[first] = other[last] = False
+    sure = other & held[group] & ((whose != whose[first][group]) | (whose != whose[last][group]))
+    waits = other & ~sure
+    asked = np.ones(len(hashes), bool)
+    asked[at[other]] = False
+    return np.flatnonzero(asked), np.sort(at[sure]), at[waits], at[first[group[waits]]]
+
+
 def _probe(length: int, n_parts: int):
     schema = arrow_schema(_PROBES)
 
@@ -177,11 +231,22 @@ def _probe(length: int, n_parts: int):
                 owner = np.repeat(np.arange(len(texts)), windows)
                 place = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
                 hashes = hashes[starts[owner] + place]
-                rows = [(block % n_parts, block, None, None, None, piece.column(0).to_pylist(), piece.column(2).to_pylist())]
-                for part, at in _by_part((hashes % np.uint64(n_parts)).astype(np.int64), n_parts):
+                asked, sure, waiting, asks = _ask_once(hashes, owner, place % length == 0)
+                runs = gaps = None
+                if len(sure):
+                    owners, counts, gaps = _pack(owner[sure], place[sure])
+                    runs = _two(owners, counts)
+                by_place = np.argsort(waiting)
+                waiting, asks = waiting[by_place], asks[by_place]
+                repeats = _steps(owner[waiting], place[waiting], owner[asks], place[asks])
+                head = int(_mix(np.full(1, block, np.uint64))[0]) % n_parts
+                names = (piece.column(0).to_pylist(), piece.column(2).to_pylist())
+                rows = [(head, block, runs, gaps, None, *names, repeats)]
+                for part, at in _by_part((hashes[asked] % np.uint64(n_parts)).astype(np.int64), n_parts):
+                    at = asked[at]
                     owners, counts, gaps = _pack(owner[at], place[at])
                     high = (hashes[at] >> np.uint64(32)).astype("<u4").tobytes()
-                    rows.append((part, block, _two(owners, counts), gaps, high, None, None))
+                    rows.append((part, block, _two(owners, counts), gaps, high, None, None, None))
                 yield _batch(rows, schema)
 
     return run
@@ -194,7 +259,7 @@ def _match(length: int):
         import numpy as np
 
         for _, rows in _groups(batches, 0):
-            heads = [(r[1], None, None, r[5], r[6]) for r in rows if r[4] is None]
+            heads = [(r[1], r[2], r[3], r[5], r[6], r[7]) for r in rows if r[4] is None]
             if heads:
                 yield _batch(heads, schema)
             rows = [r for r in rows if r[4] is not None]
@@ -223,7 +288,7 @@ def _match(length: int):
                 found = a + np.flatnonzero(hit[a:b])
                 if len(found):
                     owners, counts, gaps = _pack(owner[found], place[found])
-                    out.append((r[1], _two(owners, counts), gaps, None, None))
+                    out.append((r[1], _two(owners, counts), gaps, None, None, None))
             if out:
                 yield _batch(out, schema)
 
@@ -246,6 +311,10 @@ def _spans(window: int, length: int):
                 owner.append(np.repeat(owners, counts))
                 place.append(_places(counts, row["gaps"]))
         owner, place = np.concatenate(owner), np.concatenate(place)
+        waiting_owner, waiting_place, asked_owner, asked_place = _unsteps(head.column("repeats")[0].as_py(), 4)
+        answered = np.isin(asked_owner << 32 | asked_place, owner << 32 | place)
+        owner = np.concatenate([owner, waiting_owner[answered]])
+        place = np.concatenate([place, waiting_place[answered]])
         order = np.lexsort((place, owner))
         owner, place = owner[order], place[order]
         low = np.maximum(place - (window - length), 0)
@@ -271,6 +340,19 @@ def _spans(window: int, length: int):
 # --- 2. extension of hits ----------------------------------------------------------
 
 
+def _smaller_here(hashes, parts, ids):
+    """Whether a smaller document among these starts the same window."""
+    import numpy as np
+
+    order = np.lexsort((ids, parts, hashes))
+    hashes, parts, ordered = hashes[order], parts[order], ids[order]
+    starts = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (parts[1:] != parts[:-1])))
+    smallest = np.repeat(ordered[starts], np.diff(np.append(starts, len(order))))
+    smaller = np.empty(len(order), bool)
+    smaller[order] = smallest < ordered
+    return smaller
+
+
 def _extend(window: int, n_parts: int):
     schema = arrow_schema(_WINDOWS)
 
@@ -303,32 +385,46 @@ def _extend(window: int, n_parts: int):
                     continue
                 owner, place, hashes, parts = map(np.concatenate, (owner, place, hashes, parts))
                 ids, tags = np.array(ids, "<i8"), np.array(tags, "<i4")
+                settled = _smaller_here(hashes, parts, ids[owner])
+                buckets = _mix(ids.view(np.uint64)) % np.uint64(n_parts)
                 rows = []
-                for part, at in _by_part((parts % np.uint64(n_parts)).astype(np.int64), n_parts):
-                    owners, counts, gaps = _pack(owner[at], place[at])
-                    rows.append(
-                        (
-                            part,
-                            ids[owners].tobytes(),
-                            tags[owners].tobytes(),
-                            counts.astype("<u4").tobytes(),
-                            gaps,
-                            hashes[at].astype("<u8").tobytes(),
+                for where, open_ones in ((buckets[owner], False), (parts % np.uint64(n_parts), True)):
+                    chosen = np.flatnonzero(settled != open_ones)
+                    for part, at in _by_part(where[chosen].astype(np.int64), n_parts):
+                        at = chosen[at]
+                        owners, counts, gaps = _pack(owner[at], place[at])
+                        rows.append(
+                            (
+                                part,
+                                ids[owners].tobytes(),
+                                tags[owners].tobytes(),
+                                counts.astype("<u4").tobytes(),
+                                gaps,
+                                hashes[at].astype("<u8").tobytes() if open_ones else None,
+                            )
                         )
-                    )
                 yield _batch(rows, schema)
 
     return run
 
 
 def _take(n_parts: int):
-    """Starts of windows that a smaller document starts, packed by part and bucket of ids."""
+    """Starts of windows that a smaller document starts, packed by part and bucket of ids.
+
+    Rows without hashes were settled in their slice; their part is the bucket.
+    """
     schema = arrow_schema(_TAKEN)
 
     def run(batches):
         import numpy as np
 
         for _, rows in _groups(batches, 0):
+            settled = [r[:5] for r in rows if r[5] is None]
+            if settled:
+                yield _batch(settled, schema)
+            rows = [r for r in rows if r[5] is not None]
+            if not rows:
+                continue
             counts = [np.frombuffer(r[3], "<u4").astype(np.int64) for r in rows]
             place = np.concatenate([_places(c, r[4]) for c, r in zip(counts, rows)])
             hashes = np.concatenate([np.frombuffer(r[5], "<u8") for r in rows])

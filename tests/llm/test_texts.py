@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 pytest.importorskip("xxhash")
@@ -18,7 +19,7 @@ from prefspark.llm.linededup import drop_repeated_lines  # noqa: E402
 from prefspark.llm.secrets import KINDS, secret_spans, secret_verdicts  # noqa: E402
 from prefspark.llm.sharding import shard_documents  # noqa: E402
 from prefspark.llm.simhash import near_duplicates  # noqa: E402
-from prefspark.llm.substrings import drop_repeats  # noqa: E402
+from prefspark.llm.substrings import _ask_once, drop_repeats  # noqa: E402
 
 from .brute import fingerprint, quality_counts, without_repeated_lines  # noqa: E402
 
@@ -59,8 +60,7 @@ def windows(words, n):
     return [tuple(words[s : s + n]) for s in range(len(words) - n + 1)]
 
 
-@pytest.mark.parametrize("window", [50, 8])
-def test_substring_dedup(docs, rows, window):
+def without_repeats(rows, window):
     first = {}
     for i, text, _ in rows:
         for w in windows((text or "").encode().split(), window) if i is not None else ():
@@ -75,9 +75,54 @@ def test_substring_dedup(docs, rows, window):
         kept = b" ".join(w for k, w in enumerate(words) if k not in gone).decode()
         want.append((i, len(words), len(gone), kept))
     assert any(w[2] for w in want)
+    return want
+
+
+@pytest.mark.parametrize("window", [50, 8])
+def test_substring_dedup(docs, rows, window):
+    want = without_repeats(rows, window)
     same(drop_repeats(docs, window).select("doc.doc_id", "n_words", "n_removed", "kept_text").collect(), want)
 
 
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_substring_dedup_of_frequent_passages(spark, partitions):
+    """Passages that most documents share, at any offset, several times in one document, within a slice and across slices."""
+    rng = random.Random(11)
+    passages = [[f"w{rng.randrange(30)}" for _ in range(n)] for n in (8, 9, 13, 30)]
+    rows = []
+    for i in rng.sample(range(1000), 90):
+        words = []
+        for _ in range(rng.randrange(4)):
+            words += [f"own{rng.randrange(10**6)}" for _ in range(rng.randrange(9))] + rng.choice(passages)
+        rows.append((i, " ".join(words), None))
+    rows += [(rows[3][0], rows[5][1], None), (5000, "same " * 400, None), (5001, "same " * 9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(partitions)
+    got = drop_repeats(table, 8).select("doc.doc_id", "n_words", "n_removed", "kept_text").collect()
+    same(got, without_repeats(rows, 8))
+
+
+def test_a_slice_asks_for_a_hash_at_most_twice():
+    """What is asked, known, and waiting gives the answer that asking for every window gives."""
+    rng = random.Random(5)
+    for _ in range(200):
+        n = rng.randrange(1, 60)
+        hashes = np.array([rng.randrange(12) for _ in range(n)], np.uint64)
+        owner = np.sort([rng.randrange(6) for _ in range(n)])
+        block = np.array([rng.random() < 0.3 for _ in range(n)])
+        elsewhere = {h: rng.choice(["none", "held"]) for h in range(12)}
+        asked, sure, waiting, asks = _ask_once(hashes, owner, block)
+        assert max(Counter(hashes[asked].tolist()).values()) <= 2
+        assert sorted([*asked, *sure, *waiting]) == list(range(n))
+
+        def hit(k, places):
+            held = {int(owner[j]) for j in places if block[j] and hashes[j] == hashes[k]}
+            return elsewhere[int(hashes[k])] == "held" or bool(held - {int(owner[k])})
+
+        found = {k for k in asked if hit(k, asked)}
+        got = {*found, *sure, *(w for w, a in zip(waiting, asks) if a in found)}
+        assert got == {k for k in range(n) if hit(k, range(n))}
+
+
 # --- SimHash ----------------------------------------------------------------------
 
 
