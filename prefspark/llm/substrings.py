@@ -525,11 +525,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .agg(F.collect_list(F.struct("tag", "spans")).alias("spans"))
     )
     # The texts are shuffled by id once: extension and removal read the same exchange, as long
-    # as both take the same columns from it.
+    # as both take the same rows and columns from it. So rows without id go another way.
     others = F.struct(*[plain_column(docs, c) for c in docs.columns if c != "text"])
-    placed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), tag.alias("tag"), others.alias("doc")
-    ).repartition("doc_id")
+    beside_id = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), tag.alias("tag"), others.alias("doc"))
+    placed = beside_id.filter("doc_id IS NOT NULL").repartition("doc_id")
     beside = placed.join(spans.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "tag", "spans", "doc")
     windows = beside.mapInArrow(_extend(window, n_parts), _WINDOWS)
     taken = (
@@ -541,6 +540,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .mapInArrow(_gather(), _BY_DOC)
     )
     joined = placed.join(taken.hint("shuffle_hash"), "doc_id", "left").select("text", "tag", "taken", "doc")
+    nothing = F.lit(None).cast(joined.schema["taken"].dataType)
+    joined = joined.unionAll(beside_id.filter("doc_id IS NULL").select("text", "tag", nothing.alias("taken"), "doc"))
     doc_type = joined.schema["doc"].dataType.simpleString()
     schema = arrow_schema("n_words long, n_removed long, kept_text string")
     return joined.mapInArrow(_cut(window, schema), f"n_words long, n_removed long, kept_text string, doc {doc_type}")
