@@ -374,6 +374,55 @@ def test_near_copies_against_all_pairs(spark, rows):
     assert similar.similar_documents(docs.limit(0)).collect() == []
 
 
+def test_near_copies_are_found_by_simhash(spark):
+    """The fingerprint, the groups of near prints, and keys cut into parts, against plain counts and all pairs."""
+    import random
+
+    import numpy as np
+
+    from prefspark.llm import similar
+
+    from .brute import near_copy_keepers, text_hash
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 255, 256, 700):
+        hashes = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        each = np.array([similar.simhash(hashes[k : k + 1]) for k in range(n)]).reshape(n, 64 * similar.WORDS)
+        assert (similar.simhash(hashes) == (2 * each.sum(axis=0) > n)).all()
+    sets = rng.integers(0, 1 << 63, (40, 200)).astype(np.uint64)
+    sets[20:, :190] = sets[:20, :190]  # 0.9 by counts
+    prints = np.array([similar.simhash(s)[: similar.PRINT_BITS] for s in sets])
+    apart = (prints[:, None] != prints[None]).sum(axis=2)
+    assert (np.diagonal(apart, 20) <= similar.NEAR_BITS).all() and 45 < np.median(apart) < 80
+    low, high = np.array([np.packbits(p).view(np.uint64) for p in prints]).T
+    small = similar.SMALL
+    try:
+        for similar.SMALL in (small, 3):
+            task = np.repeat([0, 1, 2], [36, 0, 4])
+            root = similar.near_groups(task, low, high)
+            assert root.tolist() == [*range(20), *range(16), 36, 37, 38, 39]
+            assert similar.near_groups(np.zeros(40, int), low, high).tolist() == [*range(20)] * 2
+    finally:
+        similar.SMALL = small
+
+    rng = random.Random(2)
+    base, table = [f"w{k}" for k in range(100)], []
+    for i in range(120):
+        changed = list(base)
+        for at in rng.sample(range(100), rng.randint(0, 5)):
+            changed[at] = f"v{rng.randrange(10**6)}"
+        table.append((i, " ".join(changed)))
+    keepers = near_copy_keepers(table)
+    want = sorted((i, keepers[i, text_hash(t)]) for i, t in table)
+    limits = similar.BUCKET, similar.SIZED_BY
+    try:
+        for similar.BUCKET, similar.SIZED_BY in (limits, (16, 1), (16, 4)):
+            got = similar.similar_documents(spark.createDataFrame(table, "doc_id long, text string")).collect()
+            assert sorted((r.doc_id, tuple(r.keeper)) for r in got) == want
+    finally:
+        similar.BUCKET, similar.SIZED_BY = limits
+
+
 def test_rows_that_share_an_id_stay(spark):
     """Clean texts under one id are documents of their own; repeated rows leave the smallest."""
     words = [[f"{c}{k}" for k in range(60)] for c in "abcde"]
