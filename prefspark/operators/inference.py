@@ -51,6 +51,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Arrow batches of a task that may wait for their last remote answer; longest wait before a retry.
 READ_AHEAD = 8
+# Bytes of an Arrow batch that are turned into Python texts, and answered, at a time.
+PIECE_BYTES = 4 << 20
 # A request at more places than this has its verdict broadcast.
 FREQUENT_REQUESTS = 100_000
 MAX_BACKOFF = 60.0
@@ -124,8 +126,8 @@ def _run(
 ) -> DataFrame:
     """Run a worker over the ``prompt`` column in so many tasks; its result columns are added to ``df``.
 
-    The worker turns Arrow pairs (requests, seeds or None) into one list per added column, in
-    order. It may read ahead. ``seed`` makes the seeds of a prompt column; null without a seed.
+    The worker gets each Arrow batch in pieces, as (requests, seeds or None, whether the batch ends), and turns each
+    into one list per added column, in order. It may read ahead. ``seed`` makes the seeds of a prompt column; null without a seed.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -145,8 +147,11 @@ def _run(
 
             def requests():
                 for batch in batches:
-                    waiting.append(batch)
-                    yield batch.column(kept), batch.column(kept + 1) if seeded else None
+                    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+                    for at in range(0, max(1, batch.num_rows), rows):
+                        piece = batch.slice(at, rows)
+                        waiting.append(piece)
+                        yield piece.column(kept), piece.column(kept + 1) if seeded else None, at + rows >= batch.num_rows
 
             for values in make_worker()(requests()):
                 batch = waiting.popleft()
@@ -176,7 +181,7 @@ def _size(prompt: Any) -> int:
 
 
 def _each_row(shape: Callable[[list], list]):
-    """How a batch with one request per row is taken apart, and its answers put back."""
+    """How a piece with one request per row is taken apart, and its answers put back."""
 
     def take(prompts, seeds):
         return prompts.to_pylist(), None if seeds is None else seeds.to_pylist(), shape
@@ -187,10 +192,12 @@ def _each_row(shape: Callable[[list], list]):
 def _lot_worker(factory: ModelFactory, settings: GenerationSettings, batch_size: int, take: Callable, read_ahead: int):
     """A worker that calls the model with lots of ``batch_size`` requests.
 
-    ``take`` makes of an Arrow batch its requests, their seeds, and a function from answers to columns.
+    ``take`` makes of a piece of an Arrow batch its requests, their seeds, and a function from answers to columns.
+    A lot goes as soon as it is full, and what a batch has left over at its end, so that a task holds the Python
+    texts of a piece and a lot and not of the batch.
     With ``read_ahead`` above 1, lots are filled from so many batches, and requests of
     like length share a lot, so that short ones do not wait for long ones. What does not fill a lot, the
-    requests read last, goes with the batches that follow. Batches leave in order.
+    requests read last, goes with the batches that follow. Pieces leave in order.
     """
     if read_ahead < 1:
         raise ValueError("read_ahead must be at least 1")
@@ -209,27 +216,27 @@ def _lot_worker(factory: ModelFactory, settings: GenerationSettings, batch_size:
                     raise ValueError(
                         f"the model must return {settings.answers} answer(s) for each of {len(lot)} prompts"
                     )
-                for (batch, place, *_), answers in zip(lot, got):
-                    batch[0][place] = answers
-                    batch[1] -= 1
+                for (piece, place, *_), answers in zip(lot, got):
+                    piece[0][place] = answers
+                    piece[1] -= 1
 
         def work(requests):
-            batches: deque = deque()  # [answers, how many are missing, what makes columns of them]
-            waiting: list = []  # (batch, place in it, request, seed), as they came
-            for prompts, seeds in requests:
+            pieces: deque = deque()  # [answers, how many are missing, what makes columns of them, whether a batch ends]
+            waiting: list = []  # (piece, place in it, request, seed), as they came
+            for prompts, seeds, ends in requests:
                 flat, own, shape = take(prompts, seeds)
-                batch = [[None] * len(flat), len(flat), shape]
-                batches.append(batch)
-                waiting += [(batch, k, p, own and own[k]) for k, p in enumerate(flat)]
-                if len(batches) >= read_ahead:
-                    full = len(waiting) if read_ahead == 1 else len(waiting) // batch_size * batch_size
+                piece = [[None] * len(flat), len(flat), shape, ends]
+                pieces.append(piece)
+                waiting += [(piece, k, p, own and own[k]) for k, p in enumerate(flat)]
+                if read_ahead == 1 or ends and sum(p[3] for p in pieces) >= read_ahead:
+                    full = len(waiting) if read_ahead == 1 and ends else len(waiting) // batch_size * batch_size
                     ask(waiting[:full])
                     del waiting[:full]
-                while batches and not batches[0][1]:
-                    answers, _, shape = batches.popleft()
+                while pieces and not pieces[0][1]:
+                    answers, _, shape, _ = pieces.popleft()
                     yield shape(answers)
             ask(waiting)
-            for answers, _, shape in batches:
+            for answers, _, shape, _ in pieces:
                 yield shape(answers)
 
         return work
@@ -341,8 +348,8 @@ def _window_worker(make_one: Callable[[], Callable], open_at_most: int, read_ahe
         one = make_one()
 
         def work(requests):
-            running: dict = {}  # future -> (outcomes of its batch, row)
-            batches: deque = deque()  # [outcomes, how many are missing]
+            running: dict = {}  # future -> (outcomes of its piece, row)
+            batches: deque = deque()  # pieces of them: [outcomes, how many are missing, whether the batch ends]
 
             def settle():
                 for future in wait(running, return_when=FIRST_COMPLETED).done:
@@ -351,16 +358,16 @@ def _window_worker(make_one: Callable[[], Callable], open_at_most: int, read_ahe
                     batch[1] -= 1
 
             def ready(room):
-                while batches and (not batches[0][1] or len(batches) > room):
+                while batches and (not batches[0][1] or sum(b[2] for b in batches) > room):
                     while batches[0][1]:
                         settle()
                     outcomes = batches.popleft()[0]
                     yield [[r[0] for r in outcomes], [r[1] for r in outcomes]]
 
             with ThreadPoolExecutor(open_at_most) as pool:
-                for prompts, seeds in requests:
+                for prompts, seeds, *ends in requests:
                     asked = list(zip(prompts.to_pylist(), *([] if seeds is None else [seeds.to_pylist()])))
-                    batch = [[None] * len(asked), len(asked)]
+                    batch = [[None] * len(asked), len(asked), all(ends)]
                     batches.append(batch)
                     for row, args in enumerate(asked):
                         while len(running) >= open_at_most:
